@@ -1,0 +1,121 @@
+"""Splitting keys that hold too many rows for one task.
+
+A key above ``rows_per_segment`` rows is cut into consecutive pieces of its
+(time, tie) order: first at quantiles of time, then, where one instant alone is
+too heavy, at quantiles of the tie-breaker. Pieces are numbered so that
+``(_seg, _sub)`` ascends with (time, tie). Quantiles are approximate, which only
+affects how even the pieces are.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..session import cut_lineage
+
+ROWS_PER_SEGMENT = 4_000_000
+SEGMENT = ["_seg", "_sub"]
+
+
+def same_keys(left: str, right: str, keys: list[str]) -> Column:
+    """Null-safe equality of all keys of two aliased frames."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return cond
+
+
+def lookup(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join a table of at most (rows / rows_per_segment) rows: its size is bounded
+    by how it is made, so it is broadcast."""
+    extra = [c for c in table.columns if c not in keys]
+    joined = df.alias("l").join(F.broadcast(table).alias("r"), same_keys("l", "r", keys), how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
+
+
+def hot_keys(df: DataFrame, keys: list[str], rows_per_segment: int) -> DataFrame:
+    """Keys above the bound with their row counts: at most rows/bound of them."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return cut_lineage(counted.filter(F.col("_n") > rows_per_segment))
+
+
+def _cuts(df: DataFrame, keys: list[str], order: str, hot: DataFrame, per: int) -> DataFrame:
+    """Per hot key the upper ends of its pieces, as rows of a two-level array."""
+    parts = math.ceil(hot.agg(F.max("_n")).first()[0] / per)
+    shares = [i / parts for i in range(1, parts)]
+    wanted = F.greatest(F.ceil(F.col("_n") / per).cast("int") - 1, F.lit(1))
+    marks = (
+        lookup(df.select(*keys, order), hot, keys, "inner")
+        .groupBy(*keys, "_n")
+        .agg(F.percentile_approx(order, shares, max(10_000, 10 * parts)).alias("_q"))
+        .withColumn("_w", wanted)
+        .withColumn(
+            "_q",
+            F.expr(
+                "array_sort(array_distinct(transform(sequence(1, _w), "
+                f"i -> _q[cast(greatest(round(i * {parts} / (_w + 1.0)), 1) as int) - 1])))"
+            ),
+        )
+    )
+    # Two levels: about 2 * sqrt(pieces) comparisons per row instead of one per piece.
+    marks = marks.withColumn("_width", F.ceil(F.sqrt(F.size("_q"))).cast("int")).withColumn(
+        "_cut",
+        F.expr(
+            "transform(sequence(0, cast((size(_q) - 1) div _width as int)), "
+            "i -> slice(_q, i * _width + 1, _width))"
+        ),
+    )
+    return cut_lineage(marks.select(*keys, "_cut", "_width"))
+
+
+_POSITION = """
+case when _cut is null then 0
+     when _cut[0][0] >= {o} then 0
+     else (size(filter(transform(_cut, c -> c[0]), h -> h < {o})) - 1) * _width
+          + size(filter(_cut[size(filter(transform(_cut, c -> c[0]), h -> h < {o})) - 1],
+                        x -> x < {o}))
+end
+"""
+
+
+def _place(df: DataFrame, cuts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Piece number, and whether the row lies on the upper end of its piece."""
+    end = f"coalesce(get(get(_cut, cast(_seg div _width as int)), _seg % _width) = {order}, false)"
+    return (
+        lookup(df, cuts, keys)
+        .withColumn("_seg", F.expr(_POSITION.format(o=order)).cast("int"))
+        .withColumn("_end", F.expr(end))
+        .drop("_cut", "_width")
+    )
+
+
+def segment(
+    df: DataFrame,
+    keys: list[str],
+    time: str,
+    tie: str | None = None,
+    rows_per_segment: int = ROWS_PER_SEGMENT,
+    hot: DataFrame | None = None,
+) -> tuple[DataFrame, bool]:
+    """Add ``_seg`` and ``_sub``; the flag tells whether any key was split."""
+    hot = hot_keys(df, keys, rows_per_segment) if hot is None else hot
+    if hot.isEmpty():
+        return df.withColumns({"_seg": F.lit(0), "_sub": F.lit(0)}), False
+    placed = _place(df, _cuts(df, keys, time, hot, rows_per_segment), keys, time)
+    if tie is None:
+        return placed.withColumn("_sub", F.lit(0)).drop("_end"), True
+    instant = [*keys, time]
+    heavy = hot_keys(placed.filter("_end"), instant, rows_per_segment)
+    if heavy.isEmpty():
+        return placed.withColumn("_sub", F.lit(0)).drop("_end"), True
+    inner = _cuts(placed, instant, tie, heavy, rows_per_segment)
+    marked = inner.withColumn("_heavy", F.lit(1))
+    out = lookup(placed, marked, instant)
+    out = out.withColumn("_sub", F.expr(_POSITION.format(o=tie)).cast("int"))
+    # Rows of the piece before the heavy instant come first.
+    out = out.withColumn("_sub", F.when(F.col("_heavy") == 1, F.col("_sub") + 1).otherwise(0))
+    return out.drop("_cut", "_width", "_heavy", "_end"), True
