@@ -129,9 +129,10 @@ def _release(pages: DataFrame, html: str, usable, actual, missing: str) -> DataF
         )
 
     entries = F.filter(
-        F.transform(rows_of(html), entry), lambda e: e["date"].isNotNull() & (e["actual"] != "") & usable(e)
+        F.transform("_rows", entry), lambda e: e["date"].isNotNull() & (e["actual"] != "") & usable(e)
     )
-    best = pages.select(*rest, F.array_max(entries).alias("_e")).filter("_e is not null")
+    rows = pages.select(*rest, rows_of(html).alias("_rows"))
+    best = rows.select(*rest, F.array_max(entries).alias("_e")).filter("_e is not null")
     consensus = consensus_value(F.col("_e.consensus"), missing)
     out = best.select(
         *rest,

@@ -6,6 +6,7 @@ Stored pages hold no rendered state: visibility and script-made text do not exis
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -89,22 +90,28 @@ class Page(HTMLParser):
 _PART = re.compile(r"""([\w-]+)|\#([\w-]+)|\.([\w-]+)|\[([\w-]+)(\*?=)['"]?([^'"\]]*)['"]?\]""")
 
 
-def simple_matches(node: Node, part: str) -> bool:
-    for tag, ident, cls, attr, op, value in _PART.findall(part):
-        have = node.attrs.get(attr) or "" if attr else ""
+@lru_cache(maxsize=1024)
+def parts_of(selector: str) -> list[list[tuple]]:
+    return [_PART.findall(part) for part in selector.split()]
+
+
+def simple_matches(node: Node, tests: list[tuple]) -> bool:
+    for tag, ident, cls, attr, op, value in tests:
         if tag and node.tag != tag.lower():
             return False
         if ident and node.attrs.get("id") != ident:
             return False
         if cls and cls not in (node.attrs.get("class") or "").split():
             return False
-        if attr and not (value in have if op == "*=" else have == value):
-            return False
+        if attr:
+            have = node.attrs.get(attr) or ""
+            if not (value in have if op == "*=" else have == value):
+                return False
     return True
 
 
 def matches(node: Node, selector: str) -> bool:
-    *above, own = selector.split()
+    *above, own = parts_of(selector)
     if not simple_matches(node, own):
         return False
     node = node.parent
@@ -154,10 +161,15 @@ ROW = T.StructType(
 
 
 @F.pandas_udf(T.ArrayType(ROW))
-def rows_of(html: pd.Series) -> pd.Series:
+def _rows_of(html: pd.Series) -> pd.Series:
     return html.map(table_rows)
 
 
+# Declared not deterministic, so that the planner never repeats a parse per use of
+# its result; the result itself is a function of the page.
+rows_of = _rows_of.asNondeterministic()
+
+
 def texts_of(html: Column, selectors: list[str]) -> Column:
     """Array with the text of the first element of each selector, in one parse."""
 
@@ -165,4 +177,4 @@ def texts_of(html: Column, selectors: list[str]) -> Column:
     def read(pages: pd.Series) -> pd.Series:
         return pages.map(lambda page: first_texts(page, selectors))
 
-    return read(html)
+    return read.asNondeterministic()(html)

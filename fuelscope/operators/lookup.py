@@ -53,10 +53,11 @@ def latest_with_fallback(
     first: DataFrame, second: DataFrame, keys: list[str], fields: list[str], time: str = "scraped_at", tie: str = "seq"
 ) -> DataFrame:
     """Per key the newest row of ``first``; keys it lacks come from ``second``."""
-    both = first.select(*keys, *fields, time, tie, F.lit(1).alias("_rank")).unionByName(
-        second.select(*keys, *fields, time, tie, F.lit(0).alias("_rank"))
-    )
     kept = list(dict.fromkeys([*fields, time]))
+    columns = list(dict.fromkeys([*keys, *kept, tie]))
+    both = first.select(*columns, F.lit(1).alias("_rank")).unionByName(
+        second.select(*columns, F.lit(0).alias("_rank"))
+    )
     row = F.max_by(F.struct(*kept), F.struct("_rank", time, tie)).alias("_row")
     return both.groupBy(*keys).agg(row).select(*keys, "_row.*")
 

@@ -1,11 +1,12 @@
 """Sequential plausibility replay: only accepted rows become reference prices.
 
 A key that fits one task is scanned in order. A larger key is cut into pieces of
-less than seven days. Every round scans all pieces at the same time, each from the
-last accepted price before it and with week-old prices taken from the round
-before. A round in which nothing changes is the sequential answer: the first piece
-is right after one round, and every further round makes at least one more piece
-right.
+less than seven days. Every round scans all pieces of some weeks at the same time,
+each from the last accepted price before it and with week-old prices taken from the
+round before. A round in which nothing changes is the sequential answer: the first
+piece is right after one round, and every further round makes at least one more
+piece right. Two scans of a piece from different prices meet as soon as both accept
+the same row, so large pieces settle in few rounds.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from ..session import broadcast_if_small, cut_lineage
+from ..session import broadcast_if_small, cut_lineage, new_folder
 from .lookup import asof
 from .skew import ROWS_PER_SEGMENT, SEGMENT, hot_keys, lookup, segment
 
@@ -69,45 +70,81 @@ def _whole(df: DataFrame, keys: list[str], time: str, tie: str, limit: float) ->
     return df.groupBy(*keys).applyInPandas(run, _with_flag(df))
 
 
-def _rounds(
+def _large(
     df: DataFrame, keys: list[str], time: str, tie: str, limit: float, per: int
 ) -> DataFrame:
-    columns = df.columns
-    # Pieces never span a week, so week-old prices always come from earlier ones.
-    slab = f"cast(floor(timestampdiff(DAY, {EPOCH}, {time}) / 7.0) as int)"
+    """Week by week, or several weeks at once while they settle quickly."""
+    spark, columns = df.sparkSession, df.columns
     cut, _ = segment(df, keys, time, tie, per)
-    cut = cut.withColumnsRenamed({"_seg": "_piece", "_sub": "_part"})
-    cut = cut_lineage(
-        cut.withColumn("_slab", F.expr(slab)).withColumn("accepted", F.col("price").isNotNull())
-    )
+    # Pieces never span a week, so week-old prices always come from earlier ones.
+    slab = F.expr(f"cast(floor(timestampdiff(DAY, {EPOCH}, {time}) / 7.0) as int)")
+    cut = cut.withColumnsRenamed({"_seg": "_piece", "_sub": "_part"}).withColumn("_slab", slab)
+    folder = new_folder(spark, "weeks")
+    cut.write.partitionBy("_slab").parquet(folder)
+    cut = spark.read.schema(cut.schema).parquet(folder)
+    # One number per calendar week.
+    weeks = [r[0] for r in cut.select("_slab").distinct().orderBy("_slab").collect()]
+    tail = spark.createDataFrame([], cut.select(*keys, "_slab", time, tie, "price").schema)
+    done: list[DataFrame] = []
+    at, width = 0, 1
+    while at < len(weeks):
+        first, last = weeks[at], weeks[min(at + width, len(weeks)) - 1]
+        part = cut.filter(F.col("_slab").between(first, last))
+        settled, rounds = _settle(part, tail, keys, time, tie, limit, per)
+        done.append(settled.select(*columns, "accepted"))
+        at += width
+        width = width * 2 if rounds <= 3 else max(1, width // 2)
+        # The next weeks look back into the last one and to one older row per key.
+        seen = tail.unionByName(settled.filter("accepted").select(*tail.columns))
+        older = seen.filter(F.col("_slab") < last)
+        row = F.max_by(F.struct("_slab", time, tie, "price"), F.struct(time, tie)).alias("_r")
+        older = older.groupBy(*keys).agg(row).select(*keys, "_r.*")
+        tail = cut_lineage(seen.filter(F.col("_slab") >= last).unionByName(older))
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _settle(
+    part: DataFrame, tail: DataFrame, keys: list[str], time: str, tie: str, limit: float, per: int
+) -> tuple[DataFrame, int]:
+    """Rounds over all pieces of ``part`` until none changes; ``tail`` holds the
+    accepted rows before it."""
     inner = ["_slab", "_piece", "_part"]
     piece = [*keys, *inner]
     order = F.struct(time, tie)
     before = W.partitionBy(*keys).orderBy(*inner).rowsBetween(W.unboundedPreceding, -1)
+    origin = tail.groupBy(*keys).agg(F.max_by("price", order).alias("_end")).select(
+        *keys, F.lit(-(2**31)).alias("_slab"), F.lit(0).alias("_piece"), F.lit(0).alias("_part"), "_end"
+    )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([time, tie])
+        start = pdf["_last"].iloc[0]
         flags = scan_piece(
             pdf["price"].to_numpy("float64"),
             pdf["_week"].to_numpy("float64"),
-            float(pdf["_last"].iloc[0]) if pd.notna(pdf["_last"].iloc[0]) else float("nan"),
+            float(start) if pd.notna(start) else float("nan"),
             limit,
         )
         return pdf.assign(_old=pdf["accepted"], accepted=flags)
 
+    now = part.withColumn("accepted", F.col("price").isNotNull())
+    columns = now.columns
+    rounds = 0
     while True:
-        good = cut.filter("accepted")
-        ends = cut.groupBy(*piece).agg(
-            F.max_by("price", F.when(F.col("accepted"), order)).alias("_end")
-        )
-        starts = ends.withColumn("_last", F.last("_end", ignorenulls=True).over(before)).drop("_end")
-        asked = asof(cut, good, keys, "price", "_week", "7 days", time, tie, per)
-        ready = asked.join(broadcast_if_small(starts), piece, "left")
+        rounds += 1
+        good = tail.unionByName(now.filter("accepted").select(*tail.columns))
+        ends = now.groupBy(*piece).agg(F.max_by("price", F.when(F.col("accepted"), order)).alias("_end"))
+        starts = ends.unionByName(origin).withColumn("_last", F.last("_end", ignorenulls=True).over(before))
+        asked = asof(now, good, keys, "price", "_week", "7 days", time, tie, per)
+        ready = asked.join(broadcast_if_small(starts.drop("_end")), piece, "left")
         shape = T.StructType([*_with_flag(ready).fields, T.StructField("_old", T.BooleanType())])
         after = cut_lineage(ready.groupBy(*piece).applyInPandas(run, shape))
+        now = after.select(*columns)
         if after.filter("accepted <> _old").isEmpty():
-            return after.select(*columns, "accepted")
-        cut = after.select(*cut.columns)
+            return now, rounds
 
 
 def replay(
@@ -125,7 +162,7 @@ def replay(
     cold = lookup(df, hot, keys, "left_anti")
     large = lookup(df, hot, keys, "left_semi")
     return _whole(cold, keys, time, tie, limit).unionByName(
-        _rounds(large, keys, time, tie, limit, rows_per_segment)
+        _large(large, keys, time, tie, limit, rows_per_segment)
     )
 
 

@@ -73,7 +73,7 @@ def _cuts(df: DataFrame, keys: list[str], order: str, hot: DataFrame, per: int)
 
 
 _POSITION = """
-case when _cut is null then 0
+case when _cut is null or {o} is null then 0
      when _cut[0][0] >= {o} then 0
      else (size(filter(transform(_cut, c -> c[0]), h -> h < {o})) - 1) * _width
           + size(filter(_cut[size(filter(transform(_cut, c -> c[0]), h -> h < {o})) - 1],

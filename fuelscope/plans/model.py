@@ -250,7 +250,7 @@ def nowcast(
     holdout: bool = False,
 ) -> Nowcast:
     """Fit every region; those with fewer than ``min_rows`` training rows get the
-    fallback. The features are written once, since six frames read them."""
+    fallback. The features are written once, since all other frames read them."""
     if panel is None:
         panel = daily_panel(df, keys, keep_releases=pulse_on == "release")
     feats = cut_lineage(features(panel, keys, pulse_on=pulse_on))
@@ -263,7 +263,7 @@ def nowcast(
     starts = horizon(feats, keys)
     modelled = recursive_forecast(feats, starts, chosen, keys)
     short = starts.join(chosen.select(*keys), keys, "left_anti")
-    forecast = cut_lineage(modelled.unionByName(fallback_forecast(short, keys)))
+    forecast = modelled.unionByName(fallback_forecast(short, keys))
     return Nowcast(
         feats, fit, chosen, residuals(fit, feats, chosen, keys), starts, forecast, points(forecast, starts, keys)
     )

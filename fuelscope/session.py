@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,11 +32,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def new_folder(spark: SparkSession, kind: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame once to the shared folder; later reads do not recompute it
-    and survive the loss of an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the frame once to the shared folder and read it back: it is not
+    computed again, survives the loss of an executor, and later plans see its true
+    size."""
+    folder = new_folder(df.sparkSession, "cut")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -7,7 +7,6 @@ no such rule.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,7 +17,6 @@ from ..functions.clock import to_new_york
 from ..operators.lookup import keep_first
 from ..operators.replay import WEEK_US, too_far
 from ..schema import KEY
-from ..session import shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -31,7 +29,8 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: s
 
 def distinct_ingest(stream: DataFrame, keys: list[str] = KEY, time: str = "scraped_at", delay: str = "7 days") -> DataFrame:
     """First arrival of each key; state is kept for ``delay``."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    clocked = stream.withColumn("_clock", F.col(time).cast("timestamp")).withWatermark("_clock", delay)
+    return clocked.dropDuplicatesWithinWatermark(keys).drop("_clock")
 
 
 class Screen(StatefulProcessor):
@@ -90,7 +89,7 @@ def screen_stream(
 
 def daily_mean_stream(stream: DataFrame, keys: list[str], delay: str = "7 days") -> DataFrame:
     """Mean per New York day."""
-    wall = stream.withColumn("_ny", to_new_york(F.col("scraped_at"))).withWatermark("_ny", delay)
+    wall = stream.withColumn("_ny", to_new_york(F.col("scraped_at")).cast("timestamp")).withWatermark("_ny", delay)
     days = wall.groupBy(*keys, F.window("_ny", "1 day").alias("_w")).agg(F.avg("price").alias("price"))
     return days.select(*keys, F.to_date("_w.start").alias("date"), "price")
 
@@ -101,10 +100,6 @@ def latest_stream(stream: DataFrame, keys: list[str], tie: str = "seq") -> DataF
     return stream.groupBy(*keys).agg(row.alias("_r")).select(*keys, "_r.price", "_r.scraped_at")
 
 
-def new_run(spark: SparkSession) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def run_append(stream: DataFrame, folder: str) -> StreamingQuery:
     """Everything available now into parquet, exactly once."""
     query = (

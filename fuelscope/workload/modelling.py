@@ -9,12 +9,12 @@ from ..plans import model
 from ..plans.panel import DESIGN, daily_panel, features, training_rows
 from . import panel_sql
 from .frames import OBS, ORD, observations, order_observations
-from .registry import bigint, query, rounded
+from .registry import NUDGE, bigint, query, rounded
 
 KEYS = ["region"]
 NO_MODEL = 10**9
 PANEL = "region, date, " + ", ".join(
-    f"round({c}, 6) AS {c}"
+    f"round({c} + {NUDGE}, 6) AS {c}"
     for c in (
         "aaa", "gb", "rbob", "wti", "stocks_surprise", "refinery_runs", "gas_price", "GB_gap", "rbob_sm", "wti_sm",
     )
@@ -23,23 +23,23 @@ PANEL = "region, date, " + ", ".join(
 
 @query("i1_daily_panel_events", f"WITH {OBS}, {panel_sql.panel('obs')} SELECT {PANEL} FROM panel")
 def _(spark, d):
-    return rounded(daily_panel(observations(spark, d)))
+    return rounded(daily_panel(observations(spark, d)), nudge=NUDGE)
 
 
 @query("i1_daily_panel_orders", f"WITH {ORD}, {panel_sql.panel('ord')} SELECT {PANEL} FROM panel")
 def _(spark, d):
-    return rounded(daily_panel(order_observations(spark, d)))
+    return rounded(daily_panel(order_observations(spark, d)), nudge=NUDGE)
 
 
 FEATURES = "region, date, " + ", ".join(
-    f"round({c}, 6) AS {c}" for c in ("Y", "rb_sm", "wti_sm", *[c for c in DESIGN if c != "one"])
+    f"round({c} + {NUDGE}, 6) AS {c}" for c in ("Y", "rb_sm", "wti_sm", *[c for c in DESIGN if c != "one"])
 )
 
 
 @query("i2_features", f"WITH {ORD}, {panel_sql.features('ord')} SELECT {FEATURES} FROM feats")
 def _(spark, d):
     feats = features(daily_panel(order_observations(spark, d)))
-    return rounded(feats.select("region", "date", "Y", "rb_sm", "wti_sm", *[c for c in DESIGN if c != "one"]))
+    return rounded(feats.select("region", "date", "Y", "rb_sm", "wti_sm", *[c for c in DESIGN if c != "one"]), nudge=NUDGE)
 
 
 def weighted_fit(spark, d):
@@ -50,7 +50,7 @@ def weighted_fit(spark, d):
 @query("i2_training_rows", f"WITH {ORD}, {panel_sql.fit('ord')} SELECT {FEATURES}, round(w, 9) AS w FROM fit")
 def _(spark, d):
     rows = weighted_fit(spark, d).select("region", "date", "Y", "rb_sm", "wti_sm", *[c for c in DESIGN if c != "one"], "w")
-    return rounded(rounded(rows, 9, "w"), 6, *[c for c, t in rows.dtypes if t == "double" and c != "w"])
+    return rounded(rounded(rows, 9, "w"), 6, *[c for c, t in rows.dtypes if t == "double" and c != "w"], nudge=NUDGE)
 
 
 @query(

@@ -20,7 +20,7 @@ def filled(x: str) -> str:
 def ewm(x: str, span: int) -> str:
     """Exponential mean of a column without gaps: a fold over the whole past."""
     a = 2.0 / (span + 1)
-    return f"list_reduce(list({x}) OVER {PAST}, (s, v) -> {1 - a!r} * s + {a!r} * v)"
+    return f"list_reduce(list({x}) OVER {PAST}, lambda s, v: {1 - a!r} * s + {a!r} * v)"
 
 
 def hampel_steps(least: int, tag: str) -> str:

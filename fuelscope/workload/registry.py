@@ -25,10 +25,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def rounded(df: DataFrame, digits: int = 6, *names: str) -> DataFrame:
+# Added before rounding where exact halves are common (means of halves), so that
+# both engines round them the same way.
+NUDGE = 1e-9
+
+
+def rounded(df: DataFrame, digits: int = 6, *names: str, nudge: float = 0.0) -> DataFrame:
     """Doubles rounded for comparison; all of them when none is named."""
     chosen = names or [c for c, t in df.dtypes if t == "double"]
-    return df.withColumns({c: F.round(F.col(c), digits) for c in chosen})
+    return df.withColumns({c: F.round(F.col(c) + nudge if nudge else F.col(c), digits) for c in chosen})
 
 
 def bigint(column: Column) -> Column:

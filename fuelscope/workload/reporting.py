@@ -8,6 +8,7 @@ from ..functions import clock
 from ..operators import daily
 from ..plans import model, reports
 from ..schema import DAILY_AVG, RBOB, RETAIL, STOCKS, WTI
+from ..plans.panel import daily_panel
 from . import modelling
 from .frames import NOW, OBS, now, ny, observations, order_observations
 from .lookups import ANCHOR, HOURLY, hourly
@@ -90,12 +91,10 @@ def _(spark, d):
 
 @query(
     "i16_average_last_14",
-    f"""WITH {OBS} SELECT region, day - 1 AS date, round(avg(price), 6) AS aaa FROM obs WHERE source = '{DAILY_AVG}' GROUP BY ALL
-        QUALIFY row_number() OVER (PARTITION BY region ORDER BY date DESC) <= 14""",
+    f"""WITH {OBS} SELECT region, day - 1 AS date, round(avg(price), 6) AS aaa FROM obs WHERE source = '{DAILY_AVG}' GROUP BY region, day
+        QUALIFY row_number() OVER (PARTITION BY region ORDER BY day DESC) <= 14""",
 )
 def _(spark, d):
-    from ..plans.panel import daily_panel
-
     return rounded(reports.last_14(daily_panel(observations(spark, d)), ["region"]))
 
 

@@ -55,7 +55,7 @@ WEEK_FORM = f"""WITH RECURSIVE {OBS}, n AS (SELECT *, row_number() OVER (PARTITI
         UNION ALL SELECT region, source, seq, i, CASE WHEN bad THEN ts ELSE list_append(ts, t0) END,
             CASE WHEN bad THEN ps ELSE list_append(ps, price) END, CASE WHEN bad THEN 0 ELSE 1 END
         FROM (SELECT n.region, n.source, n.seq, n.i, n.price, n.scraped_at AS t0, r.ts, r.ps,
-                ({jump_sql('n.price', 'r.ps[-1]')} > 0.5 OR {jump_sql('n.price', 'r.ps[len(list_filter(r.ts, x -> x <= n.scraped_at - INTERVAL 7 DAY))]')} > 0.5) AS bad
+                ({jump_sql('n.price', 'r.ps[-1]')} > 0.5 OR {jump_sql('n.price', 'r.ps[len(list_filter(r.ts, lambda x: x <= n.scraped_at - INTERVAL 7 DAY))]')} > 0.5) AS bad
             FROM r JOIN n ON n.region = r.region AND n.source = r.source AND n.i = r.i + 1))
     SELECT seq, region, source, accepted FROM r"""
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import daily, series
 from .frames import OBS, observations
-from .registry import bigint, query, rounded
+from .registry import NUDGE, bigint, query, rounded
 
 KEYS = ["region", "source"]
 BY = "PARTITION BY region, source ORDER BY date"
@@ -33,10 +33,10 @@ def hampel_sql(least: int, name: str = "ham") -> str:
 def ewm_sql(source: str, span: int, name: str = "ew") -> str:
     a = 2.0 / (span + 1)
     return f"""{name}n AS (SELECT *, row_number() OVER ({BY}) AS i FROM {source}),
-    {name} AS (SELECT region, source, date, i, x AS y, 1.0 AS w FROM {name}n WHERE i = 1
+    {name} AS (SELECT region, source, date, i, x AS y, CAST(1.0 AS DOUBLE) AS w FROM {name}n WHERE i = 1
         UNION ALL SELECT n.region, n.source, n.date, n.i,
             CASE WHEN n.x IS NULL THEN p.y WHEN p.y IS NULL THEN n.x ELSE (p.w * {1 - a!r} * p.y + {a!r} * n.x) / (p.w * {1 - a!r} + {a!r}) END,
-            CASE WHEN n.x IS NULL THEN p.w * {1 - a!r} ELSE 1.0 END
+            CASE WHEN n.x IS NULL THEN p.w * {1 - a!r} ELSE CAST(1.0 AS DOUBLE) END
         FROM {name} p JOIN {name}n n ON n.region = p.region AND n.source = p.source AND n.i = p.i + 1)"""
 
 
@@ -90,31 +90,31 @@ def _(spark, d):
 @query(
     "f8_exponential_mean",
     f"""WITH RECURSIVE {DENSE}, {ewm_sql('dense', 2, 'e2')}, {ewm_sql('dense', 3, 'e3')}, {ewm_sql('dense', 5, 'e5')}
-        SELECT e2.region, e2.source, e2.date, round(e2.y, 6) AS s2, round(e3.y, 6) AS s3, round(e5.y, 6) AS s5
+        SELECT e2.region, e2.source, e2.date, round(e2.y + {NUDGE}, 6) AS s2, round(e3.y + {NUDGE}, 6) AS s3, round(e5.y + {NUDGE}, 6) AS s5
         FROM e2 JOIN e3 USING (region, source, date) JOIN e5 USING (region, source, date)""",
 )
 def _(spark, d):
     df = dense(spark, d)
     for span in (2, 3, 5):
         df = series.ewm(df, KEYS, "x", f"s{span}", span)
-    return rounded(df.drop("x"))
+    return rounded(df.drop("x"), nudge=NUDGE)
 
 
 @query(
     "f9_robust_smooth",
-    f"WITH RECURSIVE {DENSE}, {hampel_sql(1)}, {ewm_sql('ham', 5)} SELECT region, source, date, round(y, 6) AS smooth FROM ew",
+    f"WITH RECURSIVE {DENSE}, {hampel_sql(1)}, {ewm_sql('ham', 5)} SELECT region, source, date, round(y + {NUDGE}, 6) AS smooth FROM ew",
 )
 def _(spark, d):
-    return rounded(series.robust_smooth(dense(spark, d), KEYS, "x", "smooth").drop("x"))
+    return rounded(series.robust_smooth(dense(spark, d), KEYS, "x", "smooth").drop("x"), nudge=NUDGE)
 
 
 @query(
     "f9_model_smooth",
     f"""WITH RECURSIVE {DENSE}, {hampel_sql(3)}, {ewm_sql('ham', 3)}
-        SELECT region, source, date, round(coalesce(y, first_value(y IGNORE NULLS) {AHEAD}), 6) AS smooth FROM ew""",
+        SELECT region, source, date, round(coalesce(y, first_value(y IGNORE NULLS) {AHEAD}) + {NUDGE}, 6) AS smooth FROM ew""",
 )
 def _(spark, d):
-    return rounded(series.model_smooth(dense(spark, d), KEYS, "x", "smooth").drop("x"))
+    return rounded(series.model_smooth(dense(spark, d), KEYS, "x", "smooth").drop("x"), nudge=NUDGE)
 
 
 @query(
