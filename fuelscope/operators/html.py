@@ -13,7 +13,11 @@ import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-INLINE = set("a abbr b bdi cite code em i label mark q s small span strong sub sup time u var".split())
+# These stand on lines of their own, so their text does not touch its neighbours.
+BLOCK = set(
+    "address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hr li main nav ol option p pre section table tbody td tfoot th thead tr ul".split()
+)
 # An opening tag ends an open one of these, up to the nearest listed container.
 ENDED_BY = {
     "td": ({"td", "th"}, {"tr", "table"}),
@@ -58,7 +62,7 @@ class Page(HTMLParser):
                 break
             if self.open[i].tag in within:
                 break
-        if tag not in INLINE:
+        if tag in BLOCK:
             self._say(" ")
         node = Node(tag, dict(attrs), self.open[-1] if self.open else None)
         self.nodes.append(node)
@@ -75,7 +79,7 @@ class Page(HTMLParser):
             if self.open[i].tag == tag:
                 del self.open[i:]
                 break
-        if tag not in INLINE:
+        if tag in BLOCK:
             self._say(" ")
 
     def handle_data(self, data):
