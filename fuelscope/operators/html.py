@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -27,68 +27,83 @@ ENDED_BY = {
     "li": ({"li"}, {"ul", "ol"}),
     "p": ({"p"}, {"td", "div", "li", "article", "body"}),
 }
-UNSEEN = {"script", "style", "template", "head", "noscript"}
+
+# Comments and unseen bodies, tags (with quoted values, else up to the next >), text.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>
+    |<(?:script|style|template|noscript)\b[^>]*>.*?(?:</(?:script|style|template|noscript)\s*>|\Z)
+    |<(/?)([a-z][a-z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>
+    |([^<]+|<)""",
+    re.I | re.S | re.X,
+)
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "parts")
+    __slots__ = ("tag", "raw", "parent", "parts", "_attrs")
+
+    def __init__(self, tag, raw, parent):
+        self.tag, self.raw, self.parent, self.parts, self._attrs = tag, raw, parent, [], None
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent, self.parts = tag, attrs, parent, []
+    @property
+    def attrs(self) -> dict[str, str]:
+        if self._attrs is None:
+            self._attrs = {}
+            for name, *values in _ATTR.findall(self.raw) if self.raw else ():
+                self._attrs.setdefault(name.lower(), unescape("".join(values)))
+        return self._attrs
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-class Page(HTMLParser):
-    """All elements in document order with the text below each of them."""
-
-    def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.nodes: list[Node] = []
-        self.open: list[Node] = []
-        self.feed(html)
-        self.close()
-
-    def _say(self, text: str) -> None:
-        for node in self.open:
-            node.parts.append(text)
-
-    def handle_starttag(self, tag, attrs):
-        ends, within = ENDED_BY.get(tag, ((), ()))
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag in ends:
-                del self.open[i:]
-                break
-            if self.open[i].tag in within:
-                break
-        if tag in BLOCK:
-            self._say(" ")
-        node = Node(tag, dict(attrs), self.open[-1] if self.open else None)
-        self.nodes.append(node)
-        if tag not in VOID:
-            self.open.append(node)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if self.open and self.open[-1].tag == tag:
-            self.open.pop()
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                break
-        if tag in BLOCK:
-            self._say(" ")
-
-    def handle_data(self, data):
-        # Text of the head is only its own (a title), never the page's.
-        hidden = next((n for n in self.open if n.tag in UNSEEN), None)
-        if hidden is None:
-            self._say(data)
-        elif hidden.tag == "head" and self.open[-1].tag == "title":
-            self.open[-1].parts.append(data)
+def parse(html: str) -> list[Node]:
+    """All elements in document order, each with the text below it. Text of the
+    head belongs to its own element (a title) only."""
+    nodes: list[Node] = []
+    stack: list[Node] = []
+    head: Node | None = None
+    for end, tag, raw, text in _TOKEN.findall(html):
+        if text:
+            if "&" in text:
+                text = unescape(text)
+            if head is None:
+                for node in stack:
+                    node.parts.append(text)
+            elif stack:
+                stack[-1].parts.append(text)
+            continue
+        if not tag:
+            continue
+        tag = tag.lower()
+        if end:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i].tag == tag:
+                    del stack[i:]
+                    break
+        else:
+            ends, within = ENDED_BY.get(tag, ((), ()))
+            if ends:
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i].tag in ends:
+                        del stack[i:]
+                        break
+                    if stack[i].tag in within:
+                        break
+        if tag in ("head", "body"):
+            head = None
+        if tag in BLOCK and head is None:
+            for node in stack:
+                node.parts.append(" ")
+        if end:
+            continue
+        node = Node(tag, raw, stack[-1] if stack else None)
+        nodes.append(node)
+        if tag not in VOID and not raw.endswith("/"):
+            stack.append(node)
+            if tag == "head":
+                head = node
+    return nodes
 
 
 _PART = re.compile(r"""([\w-]+)|\#([\w-]+)|\.([\w-]+)|\[([\w-]+)(\*?=)['"]?([^'"\]]*)['"]?\]""")
@@ -130,7 +145,7 @@ def first_texts(html: str | None, selectors: list[str]) -> list[str | None]:
     """Text of the first element of each selector; None where there is none."""
     if not html:
         return [None] * len(selectors)
-    nodes = Page(html).nodes
+    nodes = parse(html)
     return [next((n.text() for n in nodes if matches(n, s)), None) for s in selectors]
 
 
@@ -138,7 +153,7 @@ def table_rows(html: str | None) -> list[dict]:
     """Every row of a table body: its position, cell texts and cell ids."""
     if not html:
         return []
-    nodes = Page(html).nodes
+    nodes = parse(html)
     rows: dict[int, dict] = {}
     order = []
     for n in nodes:

@@ -55,8 +55,8 @@ def _(spark, d):
 
 
 def plain_sql(x: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{char}')"
+    for entity, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", " "), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{entity};?', '{char}', 'g')"
     return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
 
 
