@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import as_of_by_lag, month_start, ny_date, to_new_york, week_anchor
+from ..session import cut_lineage
 from .skew import ROWS_PER_SEGMENT, SEGMENT, same_keys, segment
 
 
@@ -17,16 +18,25 @@ def daily_mean(df: DataFrame, keys: list[str], day: Column, value: str = "price"
     return df.groupBy(*keys, day.alias("date")).agg(F.avg(value).alias(out))
 
 
-def spine(days: DataFrame, keys: list[str]) -> DataFrame:
-    """Every calendar day between the first and the last of each key."""
-    ends = days.groupBy(*keys).agg(F.min("date").alias("_a"), F.max("date").alias("_b"))
-    return ends.select(*keys, F.explode(F.sequence("_a", "_b")).alias("date"))
+def densify(days: DataFrame, keys: list[str]) -> DataFrame:
+    """Every calendar day between the first and the last of each key; days that were
+    absent have NULL values. Each row is repeated up to the next row's day, so the
+    input is read once and nothing is joined."""
+    after = F.lead("date").over(W.partitionBy(*keys).orderBy("date"))
+    until = F.coalesce(F.date_sub(after, 1), F.col("date"))
+    values = [c for c in days.columns if c not in (*keys, "date")]
+    known = days.filter(F.col("date").isNotNull()).withColumn("_until", until)
+    spread = known.withColumn("_d", F.explode(F.sequence("date", "_until")))
+    return spread.select(
+        *keys,
+        F.col("_d").alias("date"),
+        *[F.when(F.col("_d") == F.col("date"), F.col(v)).alias(v) for v in values],
+    )
 
 
 def resample_daily(df: DataFrame, keys: list[str], value: str = "price", out: str = "price") -> DataFrame:
     """Daily mean in New York time with the empty days in between as NULL."""
-    means = daily_mean(df, keys, ny_date(F.col("scraped_at")), value, out)
-    return spine(means, keys).join(means, [*keys, "date"], "left")
+    return densify(daily_mean(df, keys, ny_date(F.col("scraped_at")), value, out), keys)
 
 
 def period_averages(df: DataFrame, now: Column, keys: list[str], value: str = "price") -> DataFrame:
@@ -108,6 +118,7 @@ def percentiles(
     ``shares``; also ``mean``. Equal values are counted first; a key with too many
     distinct values is ranked in pieces, so no task holds a whole large group."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k"))
+    counted = cut_lineage(counted)
     cut, _ = segment(counted, keys, value, None, rows_per_segment)
     piece = [*keys, *SEGMENT]
     totals = cut.groupBy(*piece).agg(F.sum("_k").alias("_size"), F.sum(F.col(value) * F.col("_k")).alias("_sum"))

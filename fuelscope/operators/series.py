@@ -27,9 +27,11 @@ def forward_fill(df: DataFrame, keys: list[str], *names: str) -> DataFrame:
 
 
 def fill_both(df: DataFrame, keys: list[str], *names: str) -> DataFrame:
-    """Forward fill, then the head from the first value."""
+    """Forward fill, then the head from the first value. Only rows before the first
+    value are still empty then, so one value per series serves all of them; a frame
+    that looks ahead from each row would cost the square of the days."""
     past = by_date(keys).rowsBetween(W.unboundedPreceding, 0)
-    ahead = by_date(keys).rowsBetween(0, W.unboundedFollowing)
+    ahead = by_date(keys).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     return df.withColumns(
         {
             c: F.coalesce(

@@ -78,35 +78,36 @@ def predict(beta: Column, design: list[str] = DESIGN) -> Column:
     return total
 
 
-def tail_error(fit: DataFrame, keys: list[str], error: Column, out: str) -> DataFrame:
-    """Mean absolute error over the rows from int(n * 0.8) on."""
-    order = W.partitionBy(*keys).orderBy("date")
-    at = fit.withColumn("_e", F.abs(error)).withColumn("_i", F.row_number().over(order) - 1)
-    at = at.withColumn("_cut", F.floor(F.count(F.lit(1)).over(W.partitionBy(*keys)) * 0.8))
-    return at.filter("_i >= _cut").groupBy(*keys).agg(F.avg("_e").alias(out))
+def with_tail(fit: DataFrame, keys: list[str]) -> DataFrame:
+    """``tail``: rows from int(n * 0.8) on, which judge the models."""
+    place = F.row_number().over(W.partitionBy(*keys).orderBy("date")) - 1
+    rows = F.count(F.lit(1)).over(W.partitionBy(*keys))
+    return fit.withColumn("tail", place >= F.floor(rows * 0.8))
+
+
+def tail_error(fit: DataFrame, keys: list[str], **errors: Column) -> DataFrame:
+    """Mean absolute errors over the tail, one column per named error."""
+    means = [F.avg(F.abs(e)).alias(name) for name, e in errors.items()]
+    return with_tail(fit, keys).filter("tail").groupBy(*keys).agg(*means)
 
 
 def gate(fit: DataFrame, coefs: DataFrame, keys: list[str], tolerance: float = GATE, holdout: DataFrame | None = None) -> DataFrame:
     """Errors of both models, ``use_pulses`` and the chosen ``beta``. With
     ``holdout`` the errors are those of coefficients fitted without the tail."""
     judged = fit.join(coefs if holdout is None else holdout, keys)
-    small = tail_error(judged, keys, F.col("Y") - predict(F.col("b_base")), "mae_base")
-    full = tail_error(judged, keys, F.col("Y") - predict(F.col("b_aug")), "mae_aug")
-    both = coefs.join(small, keys, "left").join(full, keys, "left")
+    errors = tail_error(
+        judged,
+        keys,
+        mae_base=F.col("Y") - predict(F.col("b_base")),
+        mae_aug=F.col("Y") - predict(F.col("b_aug")),
+    )
+    both = coefs.join(errors, keys, "left")
     wins = F.coalesce(F.col("mae_aug") <= F.col("mae_base") * (1.0 - tolerance), F.lit(False))
     return both.withColumn("use_pulses", wins).withColumn(
         "beta", F.when(F.col("use_pulses"), F.col("b_aug")).otherwise(F.col("b_base"))
     )
 
 
-def head_rows(fit: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows before the tail that judges the models."""
-    order = W.partitionBy(*keys).orderBy("date")
-    at = fit.withColumn("_i", F.row_number().over(order) - 1)
-    at = at.withColumn("_cut", F.floor(F.count(F.lit(1)).over(W.partitionBy(*keys)) * 0.8))
-    return at.filter("_i < _cut").drop("_i", "_cut")
-
-
 def residuals(fit: DataFrame, feats: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
     """In-sample residuals where there is a model; else the last 60 daily moves of
     Y; else a single zero."""
@@ -258,7 +259,7 @@ def nowcast(
     coefs = solve(gram(fit, keys).filter(F.col("n") >= min_rows), keys)
     judge = None
     if holdout:
-        judge = solve(gram(head_rows(fit, keys), keys), keys).drop("n")
+        judge = solve(gram(with_tail(fit, keys).filter("not tail"), keys), keys).drop("n")
     chosen = cut_lineage(gate(fit, coefs, keys, tolerance, judge))
     starts = horizon(feats, keys)
     modelled = recursive_forecast(feats, starts, chosen, keys)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.arith import GALLONS_PER_BARREL
 from ..functions.clock import label_date, ny_date
-from ..operators.daily import spine
+from ..operators.daily import densify
 from ..operators.series import (
     clipped_slope,
     fill_both,
@@ -60,7 +60,11 @@ def daily_panel(
         *[F.max(F.when(F.col("source") == s, F.col("value"))).alias(c) for s, c in columns.items()],
         F.max(F.col("source").isin(*DAILY)).alias("_priced"),
     )
-    base = spine(wide.filter("_priced"), keys).join(wide.drop("_priced"), [*keys, "date"], "left")
+    # The spine runs from the first to the last day of the price series.
+    whole = W.partitionBy(*keys)
+    priced = F.when(F.col("_priced"), F.col("date"))
+    wide = wide.withColumns({"_a": F.min(priced).over(whole), "_b": F.max(priced).over(whole)})
+    base = densify(wide.filter("date between _a and _b").drop("_priced", "_a", "_b"), keys)
     base = base.withColumn("gas_price", F.coalesce("aaa", "gb")).withColumn(
         "GB_gap", F.coalesce(F.col("gb") - F.col("aaa"), F.lit(0.0))
     )
@@ -112,8 +116,8 @@ BASE_SIZE = 8
 def training_rows(feats: DataFrame, keys: list[str] = ["region"], lookback: int = 180) -> DataFrame:
     """Rows of the last ``lookback`` days that have all needed columns; missing
     crack features count as zero."""
-    last = feats.groupBy(*keys).agg(F.date_sub(F.max("date"), lookback).alias("_from"))
-    rows = feats.join(last, keys).filter(F.col("date") >= F.col("_from")).drop("_from")
+    since = F.date_sub(F.max("date").over(W.partitionBy(*keys)), lookback)
+    rows = feats.withColumn("_from", since).filter(F.col("date") >= F.col("_from")).drop("_from")
     return (
         rows.dropna(subset=NEEDED)
         .fillna(0.0, subset=["crack_l7", "d_crack7"])

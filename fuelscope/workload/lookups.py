@@ -42,7 +42,7 @@ def _(spark, d):
     wide = df.groupBy(day.alias("date")).agg(
         *[F.avg(F.when(F.col("source") == s, F.col("price"))).alias(n) for s, n in names.items()]
     )
-    return rounded(daily.spine(wide, []).join(wide, "date", "left"), 8)
+    return rounded(daily.densify(wide, []), 8)
 
 
 GAPPED = "g AS (SELECT * FROM obs WHERE dayofmonth(day) % 7 <> 0)"

@@ -59,7 +59,7 @@ def _(spark, d):
         floor(count(*) OVER (PARTITION BY region) * 0.8) AS cut FROM fit) SELECT region, round(avg(e), 6) AS mae FROM i WHERE i >= cut GROUP BY region""",
 )
 def _(spark, d):
-    return rounded(model.tail_error(weighted_fit(spark, d), KEYS, F.col("Y") - F.col("AAA_l1"), "mae"))
+    return rounded(model.tail_error(weighted_fit(spark, d), KEYS, mae=F.col("Y") - F.col("AAA_l1")))
 
 
 @query("e14_gram", f"WITH {ORD}, {panel_sql.gram('ord')}")
