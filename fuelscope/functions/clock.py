@@ -10,15 +10,16 @@ from ..schema import DAILY_AVG, RETAIL
 
 NEW_YORK = "America/New_York"
 
-# Label spellings accepted for market data, tried in this order.
+# Label spellings accepted for market data, by shape: a text that has the shape is
+# parsed once, one that has none is not parsed at all.
 LABEL_PATTERNS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy h:mm a",
-    "MMM d, yyyy h:mm a",
-    "MMM d, yyyy",
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}$", "yyyy-MM-dd HH:mm"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}:[0-9]{2} [AP]M$", "M/d/yyyy h:mm:ss a"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2} [AP]M$", "M/d/yyyy h:mm a"),
+    (r"^[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4} [0-9]{1,2}:[0-9]{2} [AP]M$", "MMM d, yyyy h:mm a"),
+    (r"^[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
 ]
 
 
@@ -90,8 +91,8 @@ def label_time(text: Column) -> Column:
     """Wall time of a market label, zone suffix dropped, by explicit patterns."""
     bare = F.trim(F.regexp_replace(text, r" E[DS]?T\b", ""))
     bare = F.regexp_replace(F.regexp_replace(bare, r"(?i)\ba\.m\.", "AM"), r"(?i)\bp\.m\.", "PM")
-    tried = [F.try_to_timestamp(bare, F.lit(p)) for p in LABEL_PATTERNS]
-    return F.coalesce(*tried).cast("timestamp_ntz")
+    shaped = [F.when(bare.rlike(shape), F.try_to_timestamp(bare, F.lit(p))) for shape, p in LABEL_PATTERNS]
+    return F.coalesce(*shaped).cast("timestamp_ntz")
 
 
 def event_time(source: Column, label: Column, scraped_text: Column) -> Column:

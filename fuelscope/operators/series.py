@@ -6,8 +6,6 @@ day, which bounds every window partition.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.arith import soft_clip
@@ -71,31 +69,30 @@ def ewm(df: DataFrame, keys: list[str], col: str, out: str, span: int) -> DataFr
     """Recursive exponential mean, alpha = 2/(span+1). Over empty days the weight
     of the past keeps decaying and the output carries forward.
 
-    Each row folds the last k observed values, with k large enough that what lies
-    before weighs less than the last bit of a double.
+    The recursion y = c * y_before + d unrolls to running products and sums, taken in
+    blocks over which the past loses a factor of about e**60; what lies two blocks
+    back is below the last bit of a double. So a day costs the same however long its
+    series is.
     """
     alpha = 2.0 / (span + 1)
-    keep = math.ceil(math.log(2.0**-53) / math.log(1 - alpha)) + 4
     order = by_date(keys)
-    step = df.withColumn("_pos", F.row_number().over(order)).withColumn(
-        "_seen", F.count(col).over(order.rowsBetween(W.unboundedPreceding, 0))
-    )
-    recent = W.partitionBy(*keys).orderBy("_seen").rangeBetween(-keep + 1, 0)
-    points = F.array_sort(
-        F.collect_list(F.when(F.col(col).isNotNull(), F.struct("_pos", F.col(col).alias("x")))).over(recent)
-    )
-    step = step.withColumn("_points", points)
-
-    def absorb(state: Column, point: Column) -> Column:
-        old = F.pow(F.lit(1 - alpha), (point["_pos"] - state["pos"]).cast("double"))
-        mean = (old * state["y"] + alpha * point["x"]) / (old + alpha)
-        return F.struct(
-            F.coalesce(mean, point["x"]).alias("y"), point["_pos"].cast("int").alias("pos")
-        )
-
-    start = F.struct(F.lit(None).cast("double").alias("y"), F.lit(None).cast("int").alias("pos"))
-    folded = F.aggregate("_points", start, absorb, lambda s: s["y"])
-    return step.withColumn(out, folded).drop("_pos", "_seen", "_points")
+    upto = order.rowsBetween(W.unboundedPreceding, 0)
+    earlier = order.rowsBetween(W.unboundedPreceding, -1)
+    x, here = F.col(col), F.col(col).isNotNull()
+    step = df.withColumn("_pos", F.row_number().over(order))
+    step = step.withColumn("_gap", F.col("_pos") - F.last(F.when(here, F.col("_pos")), ignorenulls=True).over(earlier))
+    old = F.pow(F.lit(1 - alpha), F.col("_gap").cast("double"))
+    keep = F.when(here & F.col("_gap").isNotNull(), F.greatest(old / (old + alpha), F.lit(1e-26))).otherwise(1.0)
+    add = F.when(here, F.coalesce(alpha * x / (old + alpha), x))
+    step = step.withColumns({"_c": keep, "_d": add})
+    step = step.withColumn("_block", F.floor(F.sum(-F.ln("_c")).over(upto) / 60.0))
+    block = W.partitionBy(*keys, "_block").orderBy("date")
+    inside = block.rowsBetween(W.unboundedPreceding, 0)
+    step = step.withColumns({"_p": F.product("_c").over(inside), "_end": F.lead("_pos").over(block).isNull()})
+    step = step.withColumn("_own", F.col("_p") * F.sum(F.col("_d") / F.col("_p")).over(inside))
+    before = F.last(F.when(F.col("_end"), F.col("_own")), ignorenulls=True).over(earlier)
+    step = step.withColumn(out, F.col("_own") + F.col("_p") * F.coalesce(before, F.lit(0.0)))
+    return step.drop("_pos", "_gap", "_c", "_d", "_block", "_p", "_end", "_own")
 
 
 def model_smooth(df: DataFrame, keys: list[str], col: str, out: str) -> DataFrame:
