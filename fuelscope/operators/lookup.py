@@ -79,12 +79,15 @@ def asof(
     pieces of time; a piece starts from the last reference before it.
     """
     columns = probes.columns
-    moment = F.col(time) - F.expr(f"interval {lag}")
+    kind = refs.schema[value].dataType.simpleString()
     asked = probes.withColumns(
-        {"_t": moment, "_side": F.lit(1), "_tie": F.col(tie), "_v": F.lit(None).cast(refs.schema[value].dataType)}
+        {
+            "_t": F.col(time) - F.expr(f"interval {lag}"),
+            "_side": F.lit(1),
+            "_tie": F.col(tie),
+            "_ref": F.lit(None).cast(f"struct<v:{kind}>"),
+        }
     )
-    asked = asked.withColumn("_ref", F.lit(None).cast(f"struct<v:{refs.schema[value].dataType.simpleString()}>"))
-    asked = asked.drop("_v")
     given = refs.filter(F.col(time).isNotNull()).select(
         *keys,
         F.col(time).alias("_t"),
@@ -95,20 +98,23 @@ def asof(
     both = asked.unionByName(given, allowMissingColumns=True)
     cut, split = segment(both, keys, "_t", "_tie", rows_per_segment)
     if split:
-        # References of one instant collapse to their last; it stands before all
-        # probes of that instant.
-        given = given.groupBy(*keys, "_t", "_side").agg(
-            F.max_by("_ref", "_tie").alias("_ref"), F.lit(None).cast("bigint").alias("_tie")
+        # Of an instant that is itself cut into pieces only the last reference
+        # counts; it stands before all probes of the instant.
+        inner = (F.col("_side") == 0) & (F.col("_sub") > 0)
+        last = cut.filter(inner).groupBy(*keys, "_t", "_side", "_seg").agg(
+            F.max_by("_ref", "_tie").alias("_ref"),
+            F.lit(None).cast(refs.schema[tie].dataType).alias("_tie"),
+            F.lit(1).alias("_sub"),
         )
-        both = asked.unionByName(given, allowMissingColumns=True)
-        cut, split = segment(both, keys, "_t", "_tie", rows_per_segment)
+        cut = cut.filter(~inner).unionByName(last, allowMissingColumns=True)
     order = W.partitionBy(*keys, *SEGMENT).orderBy("_t", "_side", F.asc_nulls_first("_tie"))
     found = cut.withColumn(
         "_got", F.last("_ref", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
     )
     if split:
+        # Every piece once, with its last reference if it has one.
         ends = cut.groupBy(*keys, *SEGMENT).agg(
-            F.max_by("_ref", F.when(F.col("_ref").isNotNull(), F.struct("_t"))).alias("_end")
+            F.max_by("_ref", F.when(F.col("_side") == 0, F.struct("_t", "_tie"))).alias("_end")
         )
         earlier = W.partitionBy(*keys).orderBy(*SEGMENT).rowsBetween(W.unboundedPreceding, -1)
         carried = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")

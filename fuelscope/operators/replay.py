@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ..session import broadcast_if_small, cut_lineage, new_folder
 from .lookup import asof
-from .skew import ROWS_PER_SEGMENT, SEGMENT, hot_keys, lookup, segment
+from .skew import SEGMENT, hot_keys, lookup, segment
 
+# Rows one Python task holds at a time.
+ROWS_PER_SCAN = 1_000_000
 WEEK_US = 7 * 86_400 * 1_000_000
 EPOCH = "timestamp_ntz'1970-01-05 00:00:00'"
 
@@ -153,7 +155,7 @@ def replay(
     time: str = "scraped_at",
     tie: str = "seq",
     limit: float = 0.50,
-    rows_per_segment: int = ROWS_PER_SEGMENT,
+    rows_per_segment: int = ROWS_PER_SCAN,
 ) -> DataFrame:
     """The rows with ``accepted`` as a job run after each of them would have set it."""
     hot = hot_keys(df, keys, rows_per_segment)
@@ -172,7 +174,7 @@ def replay_last_only(
     time: str = "scraped_at",
     tie: str = "seq",
     limit: float = 0.50,
-    rows_per_segment: int = ROWS_PER_SEGMENT,
+    rows_per_segment: int = ROWS_PER_SCAN,
 ) -> DataFrame:
     """Replay against the last accepted price only."""
 

@@ -53,6 +53,7 @@ def _cuts(df: DataFrame, keys: list[str], order: str, hot: DataFrame, per: int)
         .groupBy(*keys, "_n")
         .agg(F.percentile_approx(order, shares, max(10_000, 10 * parts)).alias("_q"))
         .withColumn("_w", wanted)
+        .withColumn("_dup", F.size("_q") > F.size(F.array_distinct("_q")))
         .withColumn(
             "_q",
             F.expr(
@@ -69,7 +70,7 @@ def _cuts(df: DataFrame, keys: list[str], order: str, hot: DataFrame, per: int)
             "i -> slice(_q, i * _width + 1, _width))"
         ),
     )
-    return cut_lineage(marks.select(*keys, "_cut", "_width"))
+    return cut_lineage(marks.select(*keys, "_cut", "_width", "_dup"))
 
 
 _POSITION = """
@@ -89,7 +90,7 @@ def _place(df: DataFrame, cuts: DataFrame, keys: list[str], order: str) -> DataF
         lookup(df, cuts, keys)
         .withColumn("_seg", F.expr(_POSITION.format(o=order)).cast("int"))
         .withColumn("_end", F.expr(end))
-        .drop("_cut", "_width")
+        .drop("_cut", "_width", "_dup")
     )
 
 
@@ -105,15 +106,17 @@ def segment(
     hot = hot_keys(df, keys, rows_per_segment) if hot is None else hot
     if hot.isEmpty():
         return df.withColumns({"_seg": F.lit(0), "_sub": F.lit(0)}), False
-    placed = _place(df, _cuts(df, keys, time, hot, rows_per_segment), keys, time)
-    if tie is None:
+    cuts = _cuts(df, keys, time, hot, rows_per_segment)
+    placed = _place(df, cuts, keys, time)
+    # An instant of more than two pieces shows as equal quantiles.
+    if tie is None or cuts.filter("_dup").isEmpty():
         return placed.withColumn("_sub", F.lit(0)).drop("_end"), True
     instant = [*keys, time]
     heavy = hot_keys(placed.filter("_end"), instant, rows_per_segment)
     if heavy.isEmpty():
         return placed.withColumn("_sub", F.lit(0)).drop("_end"), True
     inner = _cuts(placed, instant, tie, heavy, rows_per_segment)
-    marked = inner.withColumn("_heavy", F.lit(1))
+    marked = inner.drop("_dup").withColumn("_heavy", F.lit(1))
     out = lookup(placed, marked, instant)
     out = out.withColumn("_sub", F.expr(_POSITION.format(o=tie)).cast("int"))
     # Rows of the piece before the heavy instant come first.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -11,10 +13,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 200_000
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Text patterns are parsed in the session zone; pin it to UTC."""
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Call once per session. Text patterns are parsed in the session zone, so it is
+    pinned to UTC; the package is sent to the workers, which run its functions."""
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="fuelscope-"), "fuelscope")
+        archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
     return spark
 
 

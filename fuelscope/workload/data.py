@@ -1,4 +1,4 @@
-"""Scans, exports, set operations, scalar functions (A, B, F12, G, H)."""
+"""Scans, exports, imports, set operations, scalar functions (A, B, F12, G, H, I18)."""
 
 from __future__ import annotations
 
@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import arith, clock, text
 from ..operators import lookup
-from ..schema import COLUMNS, DAILY_AVG, RETAIL, STOCKS
+from ..plans.imports import clean_import
+from ..schema import DAILY_AVG, RETAIL, STOCKS, as_double
+from ..session import new_folder
 from ..sources import observations as obs_source
 from ..sources import sinks
 from ..sources.pages import source_of
-from .frames import NOW, OBS, now, ny, observations, table, utc
+from .frames import NOW, OBS, now, observations, table, utc
 from .registry import bigint, query, rounded
 
 
@@ -24,6 +26,37 @@ def _(spark, d):
     return df.select("seq", "source", "price", "label_ts", "region", "consensus", "scraped_at")
 
 
+@query(
+    "a3_full_replace",
+    f"""WITH {OBS} SELECT source, fuel_type, CAST(price AS DOUBLE) AS price, CASE WHEN consensus >= 50 THEN region END AS region, scraped_at FROM obs
+        WHERE price < 100""",
+)
+def _(spark, d):
+    """The second load leaves nothing of the first."""
+    folder = new_folder(spark, "table")
+    df = observations(spark, d)
+    sinks.replace(df, folder)
+    blank = F.when(F.col("consensus") >= 50, F.col("region")).otherwise("")
+    sinks.replace(df.filter("price < 100").withColumn("region", blank), folder)
+    stored = as_double(obs_source.read_stored(spark, folder))
+    return stored.select("source", "fuel_type", "price", "region", "scraped_at")
+
+
+@query(
+    "a4_append",
+    f"""WITH {OBS} SELECT source, fuel_type, region, label_ts, price, TIMESTAMP '{NOW}' AS scraped_at FROM obs WHERE price < 100
+        UNION ALL SELECT source, fuel_type, region, label_ts, price, TIMESTAMP '{NOW}' + INTERVAL 1 DAY FROM obs WHERE price >= 100""",
+)
+def _(spark, d):
+    folder = new_folder(spark, "table")
+    df = observations(spark, d)
+    sinks.append(df.filter("price < 100"), folder, now())
+    sinks.append(df.filter("price >= 100"), folder, now() + F.expr("interval 1 day"))
+    sinks.append(df.filter("price < 0"), folder, now())
+    stored = as_double(obs_source.read_stored(spark, folder))
+    return stored.select("source", "fuel_type", "region", "label_ts", "price", "scraped_at")
+
+
 @query(
     "a5_insert_if_absent",
     f"""WITH {OBS}, k AS (SELECT seq, CASE WHEN consensus < 90 THEN source END AS source, fuel_type,
@@ -80,6 +113,30 @@ def _(spark, d):
     return rounded(sinks.monthly_report(observations(spark, d), F.to_date(now())), 8, "surprise")
 
 
+@query(
+    "a10_added_columns",
+    f"""WITH {OBS} SELECT seq, source, CASE WHEN price >= 100 THEN consensus END AS consensus, CAST(NULL AS DOUBLE) AS surprise,
+        CAST(NULL AS DATE) AS as_of_date FROM obs""",
+)
+def _(spark, d):
+    """Rows of before and after a column was added."""
+    df = observations(spark, d)
+    old = df.filter("price < 100").select("seq", "source")
+    new = df.filter("price >= 100").select("seq", "source", "consensus")
+    return sinks.evolve(old.unionByName(new, allowMissingColumns=True))
+
+
+@query(
+    "a12_contract",
+    f"""WITH {OBS} SELECT 'source' AS column_name, 'null' AS problem, count(*) AS n FROM obs WHERE consensus < 10 HAVING count(*) > 0
+        UNION ALL SELECT 'as_of_date', 'missing', 1 UNION ALL SELECT 'price', 'type double', 1
+        UNION ALL SELECT 'consensus', 'type double', 1 UNION ALL SELECT 'surprise', 'type double', 1""",
+)
+def _(spark, d):
+    df = observations(spark, d)
+    return obs_source.contract_violations(df.withColumn("source", F.when(F.col("consensus") >= 10, F.col("source"))))
+
+
 PAGE_RULES = [(".example.com", "com_site"), (".example.net", "net_site"), ("example", "other_site")]
 
 
@@ -206,6 +263,13 @@ def _(spark, d):
     )
 
 
+@query("b10_number", f"WITH {OBS} SELECT seq, CASE WHEN consensus >= 20 THEN price END AS price FROM obs")
+def _(spark, d):
+    df = observations(spark, d)
+    shown = F.when(F.col("consensus") < 10, F.lit("oops")).when(F.col("consensus") >= 20, F.format_string(" %.2f", "price"))
+    return df.select("seq", text.number(shown).alias("price"))
+
+
 @query("b12_new_york_time", f"WITH {OBS} SELECT seq, wall, hour(wall) AS h FROM obs")
 def _(spark, d):
     wall = clock.to_new_york(F.col("scraped_at"))
@@ -367,3 +431,27 @@ def _(spark, d):
     rest = df.filter(~F.col("source").isin(DAILY_AVG, STOCKS)).select("seq", "source", "price")
     joined = rest.unionByName(stocks, allowMissingColumns=True).unionByName(average, allowMissingColumns=True)
     return rounded(joined, 8, "surprise")
+
+
+@query(
+    "i18_clean_import",
+    f"""WITH {OBS}, t AS (SELECT *, CASE WHEN source = '{DAILY_AVG}' THEN {utc("CAST(day AS TIMESTAMP) + INTERVAL 8 HOUR")}
+            WHEN source LIKE 'tradingeconomics%' THEN {utc("date_trunc('day', scraped_at)")} ELSE date_trunc('second', scraped_at) END AS at_time FROM obs)
+        SELECT source, fuel_type, price, label_ts, region, at_time AS scraped_at, CASE WHEN source = '{DAILY_AVG}' THEN day END AS as_of_date
+        FROM t WHERE consensus >= 5 QUALIFY row_number() OVER (PARTITION BY source, fuel_type, at_time ORDER BY seq) = 1""",
+)
+def _(spark, d):
+    """Events written as text files in order, read back and cleaned."""
+    folder = new_folder(spark, "drop")
+    df = observations(spark, d).withColumn("source", F.when(F.col("consensus") >= 5, F.col("source")).otherwise(" nan "))
+    text_rows = df.orderBy("seq").select(
+        "source",
+        F.concat(F.lit(" "), F.upper("fuel_type")).alias("fuel_type"),
+        F.format_string("%.2f", "price").alias("price"),
+        F.col("label_ts").alias("timestamp"),
+        "region",
+        F.col("label_ts").alias("scraped_at"),
+    )
+    text_rows.write.option("header", True).csv(folder)
+    out, _ = clean_import(obs_source.read_csv(spark, folder), now())
+    return out.select("source", "fuel_type", "price", "label_ts", "region", "scraped_at", "as_of_date")

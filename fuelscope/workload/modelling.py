@@ -71,20 +71,32 @@ def result(spark, d, **options):
     return model.nowcast(order_observations(spark, d), KEYS, **options)
 
 
-@query("i3_ridge")
+CHOSEN = f"WITH RECURSIVE {ORD}, {panel_sql.chosen('ord')}"
+
+
+@query("i3_ridge", f"{CHOSEN} SELECT region, CAST(unnest(range(0, 10)) AS BIGINT) AS i, round(unnest(b_aug), 3) AS beta FROM chosen")
 def _(spark, d):
-    chosen = result(spark, d).chosen
-    return chosen.select("region", F.posexplode("b_aug").alias("i", "beta")).withColumn("beta", F.round("beta", 4))
+    """Coefficients to three digits: the design is singular but for the penalty."""
+    coefs = model.solve(model.gram(weighted_fit(spark, d), KEYS), KEYS)
+    out = coefs.select("region", F.posexplode("b_aug").alias("i", "beta"))
+    return rounded(out, 3).withColumn("i", bigint(F.col("i")))
 
 
-@query("i4_model_gate")
+@query(
+    "i4_model_gate",
+    f"{CHOSEN} SELECT region, round(mae_base, 6) AS mae_base, round(mae_aug, 6) AS mae_aug, CAST(use_pulses AS INTEGER) AS use_pulses, 1 AS enough_rows FROM chosen",
+)
 def _(spark, d):
-    return rounded(model.error_summary(result(spark, d), KEYS))
+    out = rounded(model.error_summary(result(spark, d), KEYS))
+    return out.withColumns({c: F.col(c).cast("int") for c in ("use_pulses", "enough_rows")})
 
 
-@query("i5_forecast")
+@query(
+    "i5_forecast",
+    f"{CHOSEN}, {panel_sql.STARTS}, {panel_sql.recursion([f'beta[{i + 1}]' for i in range(10)])} SELECT region, date, CAST(h AS BIGINT) AS h, round(yhat, 5) AS yhat FROM y",
+)
 def _(spark, d):
-    return rounded(result(spark, d).forecast)
+    return rounded(result(spark, d).forecast, 5).withColumn("h", bigint(F.col("h")))
 
 
 # Fixed coefficients: the recursion is compared without a fit.
@@ -93,15 +105,8 @@ BETA = [0.1, 0.6, 0.5, 0.002, 0.05, 0.001, 0.01, 0.2, 0.03, 0.01]
 
 @query(
     "i5_recursive_fold",
-    f"""WITH RECURSIVE {ORD}, {panel_sql.features('ord')}, {panel_sql.STARTS},
-        l AS (SELECT region, arg_max(rb_sm, date) AS rl, arg_max(wti_sm, date) AS wl FROM feats GROUP BY region),
-        c AS (SELECT a.region, a.date, a.h, last_value, {BETA[0]} + {BETA[2]} * slope0 * power(0.7, h - 1) + {BETA[3]} * 42.0 * coalesce(f.rb_sm, rl)
-            + {BETA[4]} * coalesce(f.wti_sm, wl) + {BETA[5]} * crack_now + {BETA[7]} * CASE WHEN h = 1 THEN gap_once ELSE 0 END
-            + {BETA[8]} * stocks_now + {BETA[9]} * refinery_now AS c
-            FROM ahead a JOIN l USING (region) LEFT JOIN feats f ON f.region = a.region AND f.date = a.date - 7),
-        y AS (SELECT region, date, h, c + {BETA[1]} * last_value AS yhat FROM c WHERE h = 1
-            UNION ALL SELECT c.region, c.date, c.h, c.c + {BETA[1]} * y.yhat FROM y JOIN c ON c.region = y.region AND c.h = y.h + 1)
-        SELECT region, date, CAST(h AS BIGINT) AS h, round(yhat, 6) AS yhat FROM y""",
+    f"""WITH RECURSIVE {ORD}, {panel_sql.features('ord')}, {panel_sql.STARTS}, chosen AS (SELECT region FROM starts),
+        {panel_sql.recursion([str(b) for b in BETA])} SELECT region, date, CAST(h AS BIGINT) AS h, round(yhat, 6) AS yhat FROM y""",
 )
 def _(spark, d):
     done = result(spark, d, min_rows=NO_MODEL)
@@ -118,7 +123,10 @@ def _(spark, d):
     return rounded(result(spark, d, min_rows=NO_MODEL).forecast).withColumn("h", bigint(F.col("h")))
 
 
-@query("i7_residuals")
+@query(
+    "i7_residuals",
+    f"{CHOSEN} SELECT region, date, round(Y - ({panel_sql.predicted('beta', 10)}), 6) AS resid FROM fit JOIN chosen USING (region)",
+)
 def _(spark, d):
     return rounded(result(spark, d).residuals)
 

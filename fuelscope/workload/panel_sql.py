@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from ..operators.series import PULSE_WEIGHTS
-from ..plans.panel import DESIGN, NEEDED
+from ..plans.model import RIDGE
+from ..plans.panel import BASE_SIZE, DESIGN, NEEDED
 from ..schema import DAILY_AVG, RBOB, RETAIL, RUNS, STOCKS, WTI
 from .frames import ny
 
@@ -117,3 +118,46 @@ RESIDUALS = """r0 AS (SELECT region, date, Y - lag(Y) OVER (PARTITION BY region
 POINTS = """q0 AS (SELECT f.*, last_date, month_end, CAST(last_date + CAST(7 - (isodow(last_date) % 7) AS INTEGER) AS DATE) AS next_sunday FROM forecast f JOIN starts USING (region)),
     points AS (SELECT region, next_sunday, coalesce(max(yhat) FILTER (date = next_sunday), max(yhat) FILTER (h = 7)) AS next_sunday_point,
         month_end, max(yhat) FILTER (date = month_end) AS eom_point FROM q0 GROUP BY region, next_sunday, month_end)"""
+
+
+def elimination(name: str, size: int) -> str:
+    """Gauss-Jordan steps over one nested list per region; the penalty keeps the
+    pivots away from zero."""
+    rows = []
+    for i in range(size):
+        cells = [
+            f"sum(w * {DESIGN[i]} * {DESIGN[j]})" + (f" + {RIDGE}" if i == j and i > 0 else "") for j in range(size)
+        ]
+        rows.append("[" + ", ".join([*cells, f"sum(w * {DESIGN[i]} * Y)"]) + "]")
+    return f"""{name}0 AS (SELECT region, 1 AS k, [{", ".join(rows)}] AS a FROM fit GROUP BY region
+        UNION ALL SELECT region, k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN p ELSE list_transform(r, lambda x, j: x - r[k] * p[j]) END)
+        FROM (SELECT region, k, a, list_transform(a[k], lambda x: x / a[k][k]) AS p FROM {name}0 WHERE k <= {size})),
+    {name} AS (SELECT region, list_transform(a, lambda r: r[{size + 1}]) AS beta FROM {name}0 WHERE k = {size + 1})"""
+
+
+def predicted(beta: str, size: int) -> str:
+    return " + ".join(f"{beta}[{i + 1}] * {DESIGN[i]}" for i in range(size))
+
+
+def chosen(src: str) -> str:
+    """Both fits, their errors over the tail, and the coefficients of the winner."""
+    return f"""{fit(src)}, {elimination('small', BASE_SIZE)}, {elimination('whole', len(DESIGN))},
+    judged AS (SELECT fit.region, abs(Y - ({predicted('s.beta', BASE_SIZE)})) AS es, abs(Y - ({predicted('l.beta', len(DESIGN))})) AS el,
+        row_number() OVER (PARTITION BY fit.region ORDER BY date) - 1 AS i, floor(count(*) OVER (PARTITION BY fit.region) * 0.8) AS cut
+        FROM fit JOIN small s USING (region) JOIN whole l USING (region)),
+    errors AS (SELECT region, avg(es) AS mae_base, avg(el) AS mae_aug FROM judged WHERE i >= cut GROUP BY region),
+    chosen AS (SELECT e.region, mae_base, mae_aug, mae_aug <= mae_base * 0.97 AS use_pulses,
+        CASE WHEN mae_aug <= mae_base * 0.97 THEN l.beta ELSE list_concat(s.beta, [0.0, 0.0]) END AS beta, l.beta AS b_aug
+        FROM errors e JOIN small s USING (region) JOIN whole l USING (region))"""
+
+
+def recursion(b: list[str]) -> str:
+    """Steps c and the recursion y over the days ahead, for coefficients ``b`` that
+    may refer to ``chosen``."""
+    return f"""l AS (SELECT region, arg_max(rb_sm, date) AS rl, arg_max(wti_sm, date) AS wl FROM feats GROUP BY region),
+    c AS (SELECT a.region, a.date, a.h, last_value, {b[1]} AS carry, {b[0]} + {b[2]} * slope0 * power(0.7, h - 1) + {b[3]} * 42.0 * coalesce(f.rb_sm, rl)
+        + {b[4]} * coalesce(f.wti_sm, wl) + {b[5]} * crack_now + {b[7]} * CASE WHEN h = 1 THEN gap_once ELSE 0 END
+        + {b[8]} * stocks_now + {b[9]} * refinery_now AS c
+        FROM ahead a JOIN l USING (region) JOIN chosen USING (region) LEFT JOIN feats f ON f.region = a.region AND f.date = a.date - 7),
+    y AS (SELECT region, date, h, c + carry * last_value AS yhat FROM c WHERE h = 1
+        UNION ALL SELECT c.region, c.date, c.h, c.c + c.carry * y.yhat FROM y JOIN c ON c.region = y.region AND c.h = y.h + 1)"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import use_utc
+from ..session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,7 +15,7 @@ SQL: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(use_utc(spark), sf_dir.rstrip("/"))
+            return fn(prepare(spark), sf_dir.rstrip("/"))
 
         QUERIES[name] = run
         if sql is not None:

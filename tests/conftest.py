@@ -20,7 +20,9 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    from fuelscope.session import prepare
+
+    yield prepare(session)
     session.stop()
 
 
