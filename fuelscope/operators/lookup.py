@@ -44,7 +44,8 @@ def latest_set(df: DataFrame, keys: list[str] = ["source"], time: str = "scraped
 def latest_value(
     df: DataFrame, keys: list[str], value: str = "price", time: str = "scraped_at", tie: str | None = None
 ) -> DataFrame:
-    """Newest value per key, one row per key, combined before the shuffle."""
+    """Newest value per key, one row per key, combined before the shuffle; a
+    tie-breaker costs a sort within each task."""
     order = F.struct(time, tie) if tie else F.col(time)
     return df.groupBy(*keys).agg(F.max_by(value, order).alias(value), F.max(time).alias(time))
 
@@ -173,11 +174,13 @@ def screen_batch(
     keys: list[str],
     screened: list[str],
     limit: float = 0.50,
-    tie: str = "seq",
+    tie: str | None = None,
 ) -> DataFrame:
     """Candidates with ``accepted`` and ``reason``: a move of more than ``limit``
-    against the last stored price, or the last one a week old, is refused."""
-    order = F.struct("scraped_at", tie)
+    against the last stored price, or the last one a week old, is refused. The
+    history is reduced to one row per key in a single pass; without a tie-breaker
+    that pass needs no sort."""
+    order = F.struct("scraped_at", tie) if tie else F.col("scraped_at")
     week_old = F.col("scraped_at") <= now - F.expr("interval 7 days")
     refs = history.groupBy(*keys).agg(
         F.max_by("price", order).alias("last_price"),

@@ -82,7 +82,7 @@ def _large(
     slab = F.expr(f"cast(floor(timestampdiff(DAY, {EPOCH}, {time}) / 7.0) as int)")
     cut = cut.withColumnsRenamed({"_seg": "_piece", "_sub": "_part"}).withColumn("_slab", slab)
     folder = new_folder(spark, "weeks")
-    cut.write.partitionBy("_slab").parquet(folder)
+    cut.hint("rebalance", "_slab").write.partitionBy("_slab").parquet(folder)
     cut = spark.read.schema(cut.schema).parquet(folder)
     # One number per calendar week.
     weeks = [r[0] for r in cut.select("_slab").distinct().orderBy("_slab").collect()]

@@ -70,12 +70,9 @@ def read_jdbc(
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """Stored parquet, older files without the later columns included."""
-    stored = spark.read.option("mergeSchema", True).parquet(path)
-    for field in OBSERVATION:
-        if field.name not in stored.columns:
-            stored = stored.withColumn(field.name, F.lit(None).cast(field.dataType))
-    return stored.select(*OBSERVATION.fieldNames())
+    """Stored parquet. The schema is given, so no footers are read for it, and
+    columns that older files lack come out as NULL."""
+    return spark.read.schema(OBSERVATION).parquet(path).select(*OBSERVATION.fieldNames())
 
 
 def describe_schema(df: DataFrame) -> DataFrame:

@@ -27,7 +27,9 @@ def replace(df: DataFrame, path: str) -> None:
 
 
 def _layout(df: DataFrame) -> DataFrame:
-    return df.withColumn("day", F.to_date("scraped_at"))
+    """Rows of one source and day together, so a folder gets few files; a heavy day
+    is split again and light ones share a task when the sizes are known."""
+    return df.withColumn("day", F.to_date("scraped_at")).hint("rebalance", "source", "day")
 
 
 def _blank_to_null(df: DataFrame) -> DataFrame:

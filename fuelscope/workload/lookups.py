@@ -103,7 +103,7 @@ def _(spark, d):
 
 @query("d5_last_price", f"WITH {OBS} SELECT source, arg_max(price, scraped_at) AS price, max(scraped_at) AS scraped_at FROM obs GROUP BY source")
 def _(spark, d):
-    return lookup.latest_value(observations(spark, d), ["source"], tie="seq")
+    return lookup.latest_value(observations(spark, d), ["source"])
 
 
 @query(

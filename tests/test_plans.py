@@ -57,6 +57,11 @@ def test_daily_mean_combines_before_the_shuffle(spark, sf_dir, plan):
     assert ops.count("HashAggregate") == 2 and ops.count("Exchange") == 1
 
 
+def test_last_price_needs_no_sort(spark, sf_dir, plan):
+    ops = operators(plan(lookup.latest_value(observations(spark, sf_dir), ["source"])))
+    assert ops.count("HashAggregate") == 2 and "Sort" not in ops
+
+
 def test_panel_reads_the_table_once_per_kind_and_joins_nothing(spark, sf_dir, plan):
     text = plan(daily_panel(observations(spark, sf_dir)))
     ops = operators(text)
