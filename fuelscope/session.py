@@ -27,6 +27,10 @@ def prepare(spark: SparkSession) -> SparkSession:
         target = os.path.join(tempfile.mkdtemp(prefix="fuelscope-"), "fuelscope")
         archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
         context.addPyFile(archive)
+        # A stateful stream first starts a Python process beside the driver, which
+        # does not get the files sent to the workers.
+        paths = [os.path.dirname(package), context.environment.get("PYTHONPATH", "")]
+        context.environment["PYTHONPATH"] = os.pathsep.join(p for p in paths if p)
         _SHIPPED.add(context.applicationId)
     return spark
 
