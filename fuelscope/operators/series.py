@@ -44,29 +44,44 @@ def shift(value: Column, keys: list[str], n: int = 1) -> Column:
     return F.lag(value, n).over(by_date(keys))
 
 
-def rolling_median(df: DataFrame, keys: list[str], col: str, out: str, half: int = 3, least: int = 3) -> DataFrame:
-    """Centred median over 2*half+1 days where at least ``least`` have a value."""
+def rolling_medians(df: DataFrame, keys: list[str], columns: dict[str, str], half: int = 3, least: int = 3) -> DataFrame:
+    """Centred medians over 2*half+1 days where at least ``least`` have a value."""
     frame = by_date(keys).rowsBetween(-half, half)
-    middle = F.percentile(col, F.lit(0.5)).over(frame)
-    return df.withColumn(out, F.when(F.count(col).over(frame) >= least, middle))
+    return df.withColumns(
+        {
+            out: F.when(F.count(c).over(frame) >= least, F.percentile(c, F.lit(0.5)).over(frame))
+            for c, out in columns.items()
+        }
+    )
+
+
+def rolling_median(df: DataFrame, keys: list[str], col: str, out: str, half: int = 3, least: int = 3) -> DataFrame:
+    return rolling_medians(df, keys, {col: out}, half, least)
+
+
+def hampels(
+    df: DataFrame, keys: list[str], columns: dict[str, str], half: int = 3, least: int = 3, sigmas: float = 3.0
+) -> DataFrame:
+    """Replace points further than ``sigmas`` scaled median deviations from the
+    rolling median by that median. Several columns share the windows."""
+    step = rolling_medians(df, keys, {c: f"_med_{c}" for c in columns}, half, least)
+    step = step.withColumns({f"_dev_{c}": F.abs(F.col(c) - F.col(f"_med_{c}")) for c in columns})
+    step = rolling_medians(step, keys, {f"_dev_{c}": f"_mad_{c}" for c in columns}, half, least)
+    fixed = {
+        out: F.when(F.col(f"_dev_{c}") > sigmas * 1.4826 * F.col(f"_mad_{c}"), F.col(f"_med_{c}")).otherwise(F.col(c))
+        for c, out in columns.items()
+    }
+    return step.withColumns(fixed).drop(*[f"_{kind}_{c}" for c in columns for kind in ("med", "dev", "mad")])
 
 
 def hampel(
     df: DataFrame, keys: list[str], col: str, out: str, half: int = 3, least: int = 3, sigmas: float = 3.0
 ) -> DataFrame:
-    """Replace points further than ``sigmas`` scaled median deviations from the
-    rolling median by that median."""
-    step = rolling_median(df, keys, col, "_med", half, least)
-    step = step.withColumn("_dev", F.abs(F.col(col) - F.col("_med")))
-    step = rolling_median(step, keys, "_dev", "_mad", half, least)
-    outlier = F.col("_dev") > sigmas * 1.4826 * F.col("_mad")
-    return step.withColumn(out, F.when(outlier, F.col("_med")).otherwise(F.col(col))).drop(
-        "_med", "_dev", "_mad"
-    )
+    return hampels(df, keys, {col: out}, half, least, sigmas)
 
 
-def ewm(df: DataFrame, keys: list[str], col: str, out: str, span: int) -> DataFrame:
-    """Recursive exponential mean, alpha = 2/(span+1). Over empty days the weight
+def ewms(df: DataFrame, keys: list[str], columns: dict[str, str], span: int) -> DataFrame:
+    """Recursive exponential means, alpha = 2/(span+1). Over empty days the weight
     of the past keeps decaying and the output carries forward.
 
     The recursion y = c * y_before + d unrolls to running products and sums, taken in
@@ -78,33 +93,66 @@ def ewm(df: DataFrame, keys: list[str], col: str, out: str, span: int) -> DataFr
     order = by_date(keys)
     upto = order.rowsBetween(W.unboundedPreceding, 0)
     earlier = order.rowsBetween(W.unboundedPreceding, -1)
-    x, here = F.col(col), F.col(col).isNotNull()
     step = df.withColumn("_pos", F.row_number().over(order))
-    step = step.withColumn("_gap", F.col("_pos") - F.last(F.when(here, F.col("_pos")), ignorenulls=True).over(earlier))
-    old = F.pow(F.lit(1 - alpha), F.col("_gap").cast("double"))
-    keep = F.when(here & F.col("_gap").isNotNull(), F.greatest(old / (old + alpha), F.lit(1e-26))).otherwise(1.0)
-    add = F.when(here, F.coalesce(alpha * x / (old + alpha), x))
-    step = step.withColumns({"_c": keep, "_d": add})
-    step = step.withColumn("_block", F.floor(F.sum(-F.ln("_c")).over(upto) / 60.0))
-    block = W.partitionBy(*keys, "_block").orderBy("date")
-    inside = block.rowsBetween(W.unboundedPreceding, 0)
-    step = step.withColumns({"_p": F.product("_c").over(inside), "_end": F.lead("_pos").over(block).isNull()})
-    step = step.withColumn("_own", F.col("_p") * F.sum(F.col("_d") / F.col("_p")).over(inside))
-    before = F.last(F.when(F.col("_end"), F.col("_own")), ignorenulls=True).over(earlier)
-    step = step.withColumn(out, F.col("_own") + F.col("_p") * F.coalesce(before, F.lit(0.0)))
-    return step.drop("_pos", "_gap", "_c", "_d", "_block", "_p", "_end", "_own")
+    step = step.withColumns(
+        {
+            f"_gap_{c}": F.col("_pos")
+            - F.last(F.when(F.col(c).isNotNull(), F.col("_pos")), ignorenulls=True).over(earlier)
+            for c in columns
+        }
+    )
+    terms = {}
+    for c in columns:
+        x, gap, here = F.col(c), F.col(f"_gap_{c}"), F.col(c).isNotNull()
+        old = F.pow(F.lit(1 - alpha), gap.cast("double"))
+        keep = F.greatest(old / (old + alpha), F.lit(1e-26))
+        terms[f"_c_{c}"] = F.when(here & gap.isNotNull(), keep).otherwise(1.0)
+        terms[f"_d_{c}"] = F.when(here, F.coalesce(alpha * x / (old + alpha), x))
+    step = step.withColumns(terms)
+    step = step.withColumns({f"_block_{c}": F.floor(F.sum(-F.ln(f"_c_{c}")).over(upto) / 60.0) for c in columns})
+    products, sums = {}, {}
+    for c in columns:
+        block = W.partitionBy(*keys, f"_block_{c}").orderBy("date")
+        inside = block.rowsBetween(W.unboundedPreceding, 0)
+        products[f"_p_{c}"] = F.product(f"_c_{c}").over(inside)
+        products[f"_end_{c}"] = F.lead("_pos").over(block).isNull()
+        sums[f"_own_{c}"] = F.col(f"_p_{c}") * F.sum(F.col(f"_d_{c}") / F.col(f"_p_{c}")).over(inside)
+    step = step.withColumns(products).withColumns(sums)
+    means = {}
+    for c, out in columns.items():
+        before = F.last(F.when(F.col(f"_end_{c}"), F.col(f"_own_{c}")), ignorenulls=True).over(earlier)
+        means[out] = F.col(f"_own_{c}") + F.col(f"_p_{c}") * F.coalesce(before, F.lit(0.0))
+    spare = [f"_{kind}_{c}" for c in columns for kind in ("gap", "c", "d", "block", "p", "end", "own")]
+    return step.withColumns(means).drop("_pos", *spare)
 
 
-def model_smooth(df: DataFrame, keys: list[str], col: str, out: str) -> DataFrame:
+def ewm(df: DataFrame, keys: list[str], col: str, out: str, span: int) -> DataFrame:
+    return ewms(df, keys, {col: out}, span)
+
+
+def _smooth(df: DataFrame, keys: list[str], columns: dict[str, str], span: int, half: int, least: int) -> DataFrame:
+    fixed = {c: f"_fixed_{c}" for c in columns}
+    step = hampels(df, keys, fixed, half, least)
+    step = ewms(step, keys, {fixed[c]: out for c, out in columns.items()}, span)
+    return step.drop(*fixed.values())
+
+
+def model_smooths(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
     """Hampel repair, mean of span 3, filled both ways."""
-    step = hampel(df, keys, col, "_fixed", half=3, least=3)
-    return fill_both(ewm(step, keys, "_fixed", out, 3).drop("_fixed"), keys, out)
+    return fill_both(_smooth(df, keys, columns, 3, 3, 3), keys, *columns.values())
 
 
-def robust_smooth(df: DataFrame, keys: list[str], col: str, out: str, half: int = 3, span: int = 5) -> DataFrame:
+def model_smooth(df: DataFrame, keys: list[str], col: str, out: str) -> DataFrame:
+    return model_smooths(df, keys, {col: out})
+
+
+def robust_smooths(df: DataFrame, keys: list[str], columns: dict[str, str], half: int = 3, span: int = 5) -> DataFrame:
     """Hampel repair that always has a median, mean of span 5."""
-    step = hampel(df, keys, col, "_fixed", half=half, least=1)
-    return ewm(step, keys, "_fixed", out, span).drop("_fixed")
+    return _smooth(df, keys, columns, span, half, 1)
+
+
+def robust_smooth(df: DataFrame, keys: list[str], col: str, out: str, half: int = 3, span: int = 5) -> DataFrame:
+    return robust_smooths(df, keys, {col: out}, half, span)
 
 
 def pulse(value: Column, keys: list[str], weights: list[float] = PULSE_WEIGHTS) -> Column:

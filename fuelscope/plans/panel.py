@@ -11,9 +11,9 @@ from ..operators.series import (
     clipped_slope,
     fill_both,
     forward_fill,
-    model_smooth,
+    model_smooths,
     pulse,
-    robust_smooth,
+    robust_smooths,
     shift,
 )
 from ..schema import DAILY_AVG, RBOB, RETAIL, RUNS, STOCKS, WTI
@@ -71,8 +71,7 @@ def daily_panel(
     if keep_releases:
         base = base.withColumns({"stocks_release": F.col("stocks_surprise"), "runs_release": F.col("refinery_runs")})
     base = fill_both(base, keys, "gas_price", "rbob", "wti")
-    base = model_smooth(base, keys, "rbob", "rbob_sm")
-    base = model_smooth(base, keys, "wti", "wti_sm")
+    base = model_smooths(base, keys, {"rbob": "rbob_sm", "wti": "wti_sm"})
     base = forward_fill(base, keys, "stocks_surprise", "refinery_runs")
     extra = ["stocks_release", "runs_release"] if keep_releases else []
     return base.select(
@@ -85,8 +84,7 @@ def features(panel: DataFrame, keys: list[str] = ["region"], lag: int = 7, pulse
     """Model columns beside the panel. ``pulse_on='release'`` needs a panel made
     with ``keep_releases``; the default builds pulses on the filled series."""
     base = panel.withColumn("Y", F.coalesce("aaa", "gas_price"))
-    base = robust_smooth(base, keys, "rbob", "rb_sm")
-    base = robust_smooth(base.drop("wti_sm"), keys, "wti", "wti_sm")
+    base = robust_smooths(base.drop("wti_sm"), keys, {"rbob": "rb_sm", "wti": "wti_sm"})
     base = clipped_slope(base, keys, "Y", "AAA_slope7")
     barrel = F.col("rb_sm") * GALLONS_PER_BARREL
     stocks, runs = (
