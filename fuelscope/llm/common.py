@@ -75,40 +75,53 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def _block_words(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the words in a block of bytes."""
+def _block_words(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words in a block of bytes."""
     inside = np.concatenate([[False], ~_SPACE[block], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     up, down = powers(len(block) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[block] * up[: len(block)])])
-    return starts, mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+class Words:
+    """The words of all texts, one text after another: ``hashes``, ``starts`` and ``ends``
+    in the bytes ``joined``, and ``begins``, the number of words before each text and at
+    the end. Works on the bytes of many texts at a time, cut at white space, without an
+    object per word."""
+
+    def __init__(self, texts, lower: bool = False):
+        raws = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        joined = np.frombuffer(b"\n".join(raws), np.uint8)
+        self.joined = _LOWER[joined] if lower else joined
+        at, parts = 0, [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        while at < len(joined):
+            end, reach = at + _BLOCK, _BLOCK
+            while end < len(joined):
+                spaces = np.flatnonzero(_SPACE[joined[max(at, end - 4096) : end]])
+                if len(spaces):
+                    end = max(at, end - 4096) + int(spaces[-1]) + 1
+                    break
+                reach *= 2
+                end = at + reach
+            starts, ends, hashes = _block_words(self.joined[at:end])
+            parts.append((starts + at, ends + at, hashes))
+            at = end
+        self.starts, self.ends, self.hashes = (np.concatenate(x) for x in zip(*parts))
+        limits = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])]) if raws else np.zeros(1, np.int64)
+        self.begins = np.searchsorted(self.starts, limits).astype(np.int64)
+
+    def distinct(self) -> tuple[list[bytes], np.ndarray]:
+        """The different words, and which of them each word is."""
+        _, first, which = np.unique(self.hashes, return_index=True, return_inverse=True)
+        raw = self.joined.tobytes()
+        return [raw[a:b] for a, b in zip(self.starts[first].tolist(), self.ends[first].tolist())], which
 
 
 def hashed_words(texts, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, one text after another, and where each
-    text begins (with the end as last). Works on the bytes of many texts at a time, cut
-    at white space, without an object per word."""
-    raws = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
-    joined = np.frombuffer(b"\n".join(raws), np.uint8)
-    if lower:
-        joined = _LOWER[joined]
-    begins = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])]) if raws else np.zeros(1, np.int64)
-    starts, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
-    while at < len(joined):
-        end, reach = at + _BLOCK, _BLOCK
-        while end < len(joined):
-            spaces = np.flatnonzero(_SPACE[joined[max(at, end - 4096) : end]])
-            if len(spaces):
-                end = max(at, end - 4096) + int(spaces[-1]) + 1
-                break
-            reach *= 2
-            end = at + reach
-        got, h = _block_words(joined[at:end])
-        starts.append(got + at)
-        hashes.append(h)
-        at = end
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), begins).astype(np.int64)
+    found = Words(texts, lower)
+    return found.hashes, found.begins
 
 
 def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
@@ -125,4 +138,4 @@ def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
     return run
 
 
-__all__ = ["QUERIES", "SQL", "WORD", "cut_lineage", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]
+__all__ = ["QUERIES", "SQL", "WORD", "Words", "cut_lineage", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]
