@@ -60,7 +60,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BYTE = mix64(np.arange(1, 257))
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)

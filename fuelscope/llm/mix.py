@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import cut_lineage
 from .common import n_words, query, read
 
-# Rows of one bucket, on average.
-BUCKET_ROWS = 20_000
+# Rows of one bucket of a queue and of one slot of virtual time, on average.
+BUCKET_ROWS = 2_000
+SLOT_ROWS = 20_000
 
 
 def targets(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3) -> DataFrame:
@@ -91,7 +92,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3,
         .select("*", F.explode(F.expr(f"sequence(0L, {epochs - 1}L)")).alias("epoch"))
         .withColumn("time", time(F.col("epoch")))
         # Beyond time 1 every queue is past its target but for the copy at the cut.
-        .withColumn("slot", F.floor(F.col("time") * (1 + F.floor(F.col("rows") / BUCKET_ROWS))))
+        .withColumn("slot", F.floor(F.col("time") * (1 + F.floor(F.col("rows") / SLOT_ROWS))))
     )
     copies = cut_lineage(copies.select("slot", "total", *key))
     slots = copies.groupBy("slot").agg(F.sum("size").alias("in_slot"), F.max("total").alias("total"))
