@@ -156,6 +156,8 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .where("c > 1")
         .select("of", (F.col("lo") == F.col("hi")).alias("alike"))
     )
+    # Written, so that the join splits a heavy key instead of following the sums.
+    shared = cut_lineage(shared)
     hits = cut_lineage(places.join(shared, F.col("key") == F.col("of")).select("row_key", "at", "n", "alike"))
     alike = hits.where("alike").select("row_key", "at", (F.col("n") + window - 1).alias("n"))
 
@@ -176,7 +178,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # A row that comes twice holds its windows twice.
     times = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     windows = cut_lineage(pressed.join(unsure, "row_key").mapInPandas(in_batches(single), "row_key long, h long, at int"))
-    twice = windows.groupBy(F.col("h").alias("of")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("of")
+    twice = cut_lineage(windows.groupBy(F.col("h").alias("of")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("of"))
     one_by_one = windows.join(twice, F.col("h") == F.col("of")).select("row_key", "at", F.lit(window).alias("n"))
     doubled = windows.join(times, "row_key").select("row_key", "at", F.lit(window).alias("n"))
     every = alike.unionByName(one_by_one).unionByName(doubled)
