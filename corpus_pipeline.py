@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fuelscope.llm import lines, mix, near, packing, quality
+from fuelscope.llm.common import fresh_name
 from fuelscope.session import cut_lineage, prepare
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the boilerplate lines of their source; n_chars follows the text."""
     prepare(spark)
-    out = lines.drop_boilerplate(docs).select(*docs.columns)
+    out = lines.drop_boilerplate(docs, name=fresh_name(docs, "n_dropped")).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -34,6 +34,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    while name.lower() in map(str.lower, df.columns):
+        name = f"_{name}"
+    return name
+
+
 def words(text: str | None) -> list[bytes]:
     """``bytes.split`` parts at exactly the white space that ``WORD`` excludes."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
@@ -138,4 +145,4 @@ def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
     return run
 
 
-__all__ = ["QUERIES", "SQL", "WORD", "Words", "cut_lineage", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]
+__all__ = ["QUERIES", "SQL", "WORD", "Words", "cut_lineage", "fresh_name", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]

@@ -40,8 +40,9 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
     return seen.join(totals, F.col("host").eqNullSafe(F.col("own"))).where(F.col("seen") > ratio * F.col("total")).select("host", "line", "seen", "total")
 
 
-def drop_boilerplate(docs: DataFrame, text: str = "text", host: Column | None = None, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` without boilerplate lines, and a long ``n_dropped`` beside."""
+def drop_boilerplate(docs: DataFrame, text: str = "text", host: Column | None = None, ratio: float = RATIO, min_pages: int = MIN_PAGES, name: str = "n_dropped") -> DataFrame:
+    """``docs`` without boilerplate lines, and how many went as a long ``name``, which
+    replaces a column of that name."""
     host = docs["source"] if host is None else host
     value = docs[text].cast("string")
     hashes = F.array_distinct(F.transform(F.filter(_lines(value), lambda x: _trimmed(x) != ""), lambda x: F.xxhash64(_trimmed(x))))
@@ -60,7 +61,7 @@ def drop_boilerplate(docs: DataFrame, text: str = "text", host: Column | None =
     stays = F.filter(_lines(F.col("value")), lambda x: (_trimmed(x) == "") | ~F.array_contains(F.col("gone"), F.xxhash64(_trimmed(x))))
     cut = F.when(F.col("gone").isNull(), F.col("value")).otherwise(F.array_join(stays, "\n"))
     dropped = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size(_lines(F.col("value"))) - F.size(stays)).cast("long")
-    return row.select(*[cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns], dropped.alias("n_dropped"))
+    return row.select(*[cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns if c != name], dropped.alias(name))
 
 
 OP10_SQL = r"""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut_lineage
-from .common import n_words, query, read
+from .common import fresh_name, n_words, query, read
 
 # Rows of one bucket of a queue and of one slot of virtual time, on average.
 BUCKET_ROWS = 2_000
@@ -50,9 +50,10 @@ def targets(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int =
     return per.select("source", "rank", "source_size", "total", "rows", "n", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3, seed: str = "mix") -> DataFrame:
-    """``docs`` (doc_id, source, text, ...) with a struct ``mix``: size, source_size,
-    target, copies, taken and the virtual time of the first copy."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3, seed: str = "mix", name: str = "mix") -> DataFrame:
+    """``docs`` (doc_id, source, text, ...) with a struct ``name``: size, source_size,
+    target, copies, taken and the virtual time of the first copy. It replaces a column
+    of that name."""
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         docs["doc_id"].alias("doc_id"),
@@ -115,15 +116,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3,
     n = sum(taken[1:], taken[0]).cast("long")
     # A source without a word has target 0.
     return ordered.select(
-        "row.*",
-        F.struct("size", "source_size", "target", n.alias("copies"), (n * F.col("size")).alias("taken"), F.when(F.col("target") > 0, time(F.lit(0))).alias("time")).alias("mix"),
+        *[F.col("row")[c].alias(c) for c in docs.columns if c != name],
+        F.struct("size", "source_size", "target", n.alias("copies"), (n * F.col("size")).alias("taken"), F.when(F.col("target") > 0, time(F.lit(0))).alias("time")).alias(name),
     )
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row as often as it is taken."""
-    out = mix(docs, **options)
-    return out.where("mix.copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int")))).select(*docs.columns)
+    name = fresh_name(docs, "mix")
+    copies = F.col(name)["copies"]
+    out = mix(docs, name=name, **options).where(copies > 0)
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias(name)).drop(name)
 
 
 OP1_SQL = r"""

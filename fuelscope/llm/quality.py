@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import in_batches, query, read, words
+from .common import fresh_name, in_batches, query, read, words
 
 # Rows timed before the rules are ordered. It bounds the estimate's cost only.
 SAMPLE_ROWS = 2_000
@@ -105,8 +105,8 @@ def ordered_rules(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[str]:
     return sorted(RULES, key=lambda name: (-gain.get(name, 0.0), list(RULES).index(name)))
 
 
-def judge(docs: DataFrame, rules: list[str] | None = None, facts: bool = False) -> DataFrame:
-    """``docs`` (with a column text) and a struct ``quality``: the first rule that
+def judge(docs: DataFrame, rules: list[str] | None = None, facts: bool = False, name: str = "quality") -> DataFrame:
+    """``docs`` (with a column text) and a struct ``name``: the first rule that
     rejects (null if kept) and, with ``facts``, all counts and the base verdict."""
     rules = ordered_rules(docs) if rules is None else rules
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -120,11 +120,12 @@ def judge(docs: DataFrame, rules: list[str] | None = None, facts: bool = False)
             out.append((by, any(RULES[name](f) for name in BASE), *(getattr(f, c) for c in counts)) if facts else (by,))
         return pd.DataFrame(out, columns=["rejected_by", "base_failed", *counts] if facts else ["rejected_by"])
 
-    return docs.withColumn("quality", verdict(F.col("text").cast("string")))
+    return docs.withColumn(name, verdict(F.col("text").cast("string")))
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    return judge(docs).where("quality.rejected_by is null").select(*docs.columns)
+    name = fresh_name(docs, "quality")
+    return judge(docs, name=name).where(F.col(name)["rejected_by"].isNull()).select(*docs.columns)
 
 
 OP3_SQL = r"""
