@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.arith import jump
+from ..joins import join_same
 from ..schema import DAILY_AVG, KEY
 from ..session import broadcast_if_small
 from .skew import ROWS_PER_SEGMENT, SEGMENT, lookup, segment
@@ -13,24 +14,17 @@ from .skew import ROWS_PER_SEGMENT, SEGMENT, lookup, segment
 def latest_rows(df: DataFrame, keys: list[str], time: str = "scraped_at") -> DataFrame:
     """All rows at the newest time of their key. The newest times are one row per
     key, so the wide rows are filtered where they are read."""
-    newest = df.groupBy(*keys).agg(F.max(time).alias(time))
-    return df.join(broadcast_if_small(newest), [*keys, time], "left_semi")
+    newest = df.groupBy(*keys).agg(F.max(time).alias(time)).filter(F.col(time).isNotNull())
+    return join_same(df, broadcast_if_small(newest), [*keys, time], "left_semi")
 
 
 def previous_rows(df: DataFrame, keys: list[str], time: str = "scraped_at") -> DataFrame:
-    """All rows at the second-newest time of their key. The row limit on the
-    window is applied before its shuffle, so each task sends two times per key."""
-    order = W.partitionBy(*keys).orderBy(F.desc(time))
-    second = (
-        df.select(*keys, time)
-        .filter(F.col(time).isNotNull())
-        .distinct()
-        .withColumn("_rn", F.row_number().over(order))
-        .filter("_rn <= 2")
-        .filter("_rn = 2")
-        .drop("_rn")
-    )
-    return df.join(broadcast_if_small(second), [*keys, time], "left_semi")
+    """All rows at the second-newest time of their key: the newest time of what lies
+    before the newest. Both are sums by key in each task first."""
+    newest = df.groupBy(*keys).agg(F.max(time).alias("_newest")).filter("_newest is not null")
+    older = join_same(df.select(*keys, time), broadcast_if_small(newest), keys).filter(F.col(time) < F.col("_newest"))
+    second = older.groupBy(*keys).agg(F.max(time).alias(time))
+    return join_same(df, broadcast_if_small(second), [*keys, time], "left_semi")
 
 
 def latest_set(df: DataFrame, keys: list[str] = ["source"], time: str = "scraped_at") -> DataFrame:
@@ -161,7 +155,7 @@ def value_at_or_latest(
         *[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("date"))).alias(f"_last_{v}") for v in values]
     )
     at = panel.select(*keys, F.col("date").alias(day), *values, F.lit(True).alias("_hit"))
-    got = wanted.join(at, [*keys, day], "left").join(last, keys, "left")
+    got = join_same(join_same(wanted, at, [*keys, day], "left"), last, keys, "left")
     return got.withColumns(
         {v: F.when(F.col("_hit"), F.col(v)).otherwise(F.col(f"_last_{v}")) for v in values}
     ).drop("_hit", *[f"_last_{v}" for v in values])
@@ -186,7 +180,7 @@ def screen_batch(
         F.max_by("price", order).alias("last_price"),
         F.max_by("price", F.when(week_old, order)).alias("week_price"),
     )
-    out = candidates.join(broadcast_if_small(refs), keys, "left")
+    out = join_same(candidates, broadcast_if_small(refs), keys, "left")
     out = out.withColumns(
         {
             "last_jump": jump(F.col("price"), F.col("last_price")),

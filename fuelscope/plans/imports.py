@@ -29,9 +29,12 @@ def clean_import(
         (F.coalesce(when, now) if on_bad_time == "now" else when).alias("scraped_at"),
         as_of_from_label(F.col("source"), F.col("label_ts")).alias("as_of_date"),
         "seq",
+        when.isNull().alias("_unread"),
     )
     rows = rows.filter(~is_blank_name(F.col("source")) & ~is_blank_name(F.col("fuel_type")))
     if on_bad_time != "now":
         rows = rows.filter(F.col("scraped_at").isNotNull())
     rows = rows.observe(counts["named"], tally)
-    return keep_first(rows, KEY, "seq").observe(counts["kept"], tally).select(*COLUMNS), counts
+    # Rows whose time could not be read share one clock time; they are no copies for it.
+    kept = keep_first(rows.filter("not _unread"), KEY, "seq").unionByName(rows.filter("_unread"))
+    return kept.observe(counts["kept"], tally).select(*COLUMNS), counts

@@ -19,6 +19,7 @@ from ..functions.text import money, percent
 from ..operators.daily import exceedance, last_n, percentiles, previous_sunday
 from ..operators.lookup import value_at_or_latest
 from ..operators.series import SLOPE_DECAY, seed_slope, shift
+from ..joins import join_same
 from ..session import cut_lineage
 from ..schema import DAILY_AVG
 from .panel import BASE_SIZE, DESIGN, daily_panel, features, training_rows
@@ -94,14 +95,14 @@ def tail_error(fit: DataFrame, keys: list[str], **errors: Column) -> DataFrame:
 def gate(fit: DataFrame, coefs: DataFrame, keys: list[str], tolerance: float = GATE, holdout: DataFrame | None = None) -> DataFrame:
     """Errors of both models, ``use_pulses`` and the chosen ``beta``. With
     ``holdout`` the errors are those of coefficients fitted without the tail."""
-    judged = fit.join(coefs if holdout is None else holdout, keys)
+    judged = join_same(fit, coefs if holdout is None else holdout, keys)
     errors = tail_error(
         judged,
         keys,
         mae_base=F.col("Y") - predict(F.col("b_base")),
         mae_aug=F.col("Y") - predict(F.col("b_aug")),
     )
-    both = coefs.join(errors, keys, "left")
+    both = join_same(coefs, errors, keys, "left")
     wins = F.coalesce(F.col("mae_aug") <= F.col("mae_base") * (1.0 - tolerance), F.lit(False))
     return both.withColumn("use_pulses", wins).withColumn(
         "beta", F.when(F.col("use_pulses"), F.col("b_aug")).otherwise(F.col("b_base"))
@@ -111,15 +112,15 @@ def gate(fit: DataFrame, coefs: DataFrame, keys: list[str], tolerance: float = G
 def residuals(fit: DataFrame, feats: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
     """In-sample residuals where there is a model; else the last 60 daily moves of
     Y; else a single zero."""
-    modelled = fit.join(chosen.select(*keys, "beta"), keys).select(
+    modelled = join_same(fit, chosen.select(*keys, "beta"), keys).select(
         *keys, "date", (F.col("Y") - predict(F.col("beta"))).alias("resid")
     )
-    moves = feats.join(chosen.select(*keys), keys, "left_anti").withColumn(
+    moves = join_same(feats, chosen.select(*keys), keys, "left_anti").withColumn(
         "resid", F.col("Y") - shift(F.col("Y"), keys, 1)
     )
     moves = last_n(moves, keys, 60, "resid").select(*keys, "date", "resid")
     real = modelled.unionByName(moves)
-    rest = feats.select(*keys).distinct().join(real.select(*keys).distinct(), keys, "left_anti")
+    rest = join_same(feats.select(*keys).distinct(), real.select(*keys).distinct(), keys, "left_anti")
     zero = rest.select(*keys, F.lit(None).cast("date").alias("date"), F.lit(0.0).alias("resid"))
     return real.unionByName(zero)
 
@@ -140,7 +141,7 @@ def horizon(feats: DataFrame, keys: list[str]) -> DataFrame:
     seed = seed_slope(seeds.select(*keys, "date", "_seed"), keys, "_seed")
     gap = feats.select(*keys, F.col("date").alias("last_aaa_date"), F.col("GB_gap").alias("gap_once"))
     start = F.date_add("last_aaa_date", 1)
-    out = ends.join(seed, keys, "left").join(gap, [*keys, "last_aaa_date"], "left")
+    out = join_same(join_same(ends, seed, keys, "left"), gap, [*keys, "last_aaa_date"], "left")
     return out.select(
         *keys,
         "last_date",
@@ -186,7 +187,7 @@ def fold_forecast(steps: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def recursive_forecast(feats: DataFrame, starts: DataFrame, chosen: DataFrame, keys: list[str], lag: int = 7) -> DataFrame:
-    steps = future_days(starts, keys).join(chosen.select(*keys, "beta"), keys)
+    steps = join_same(future_days(starts, keys), chosen.select(*keys, "beta"), keys)
     steps = steps.withColumn("_ref", F.date_sub("date", lag))
     steps = value_at_or_latest(feats.select(*keys, "date", "rb_sm", "wti_sm"), steps, keys, "_ref", ["rb_sm", "wti_sm"])
     b = [F.get("beta", F.lit(i)) for i in range(len(DESIGN))]
@@ -214,7 +215,7 @@ def points(forecast: DataFrame, starts: DataFrame, keys: list[str]) -> DataFrame
     """Forecast on the next Sunday after the panel (else the seventh day) and at
     month end."""
     marks = starts.select(*keys, next_sunday(F.col("last_date")).alias("next_sunday"), "month_end")
-    joined = forecast.join(marks, keys)
+    joined = join_same(forecast, marks, keys)
     out = joined.groupBy(*keys, "next_sunday", "month_end").agg(
         F.max(F.when(F.col("date") == F.col("next_sunday"), F.col("yhat"))).alias("_sunday"),
         F.max(F.when(F.col("h") == 7, F.col("yhat"))).alias("_seventh"),
@@ -263,7 +264,7 @@ def nowcast(
     chosen = cut_lineage(gate(fit, coefs, keys, tolerance, judge))
     starts = horizon(feats, keys)
     modelled = recursive_forecast(feats, starts, chosen, keys)
-    short = starts.join(chosen.select(*keys), keys, "left_anti")
+    short = join_same(starts, chosen.select(*keys), keys, "left_anti")
     forecast = modelled.unionByName(fallback_forecast(short, keys))
     return Nowcast(
         feats, fit, chosen, residuals(fit, feats, chosen, keys), starts, forecast, points(forecast, starts, keys)
@@ -273,7 +274,7 @@ def nowcast(
 def error_summary(result: Nowcast, keys: list[str]) -> DataFrame:
     """Both errors, whether there were rows enough and whether pulses were used."""
     regions = result.features.select(*keys).distinct()
-    out = regions.join(result.chosen.select(*keys, "mae_base", "mae_aug", "use_pulses"), keys, "left")
+    out = join_same(regions, result.chosen.select(*keys, "mae_base", "mae_aug", "use_pulses"), keys, "left")
     return out.withColumn("enough_rows", F.col("use_pulses").isNotNull()).withColumn(
         "use_pulses", F.coalesce("use_pulses", F.lit(False))
     )
@@ -282,7 +283,7 @@ def error_summary(result: Nowcast, keys: list[str]) -> DataFrame:
 def exceedance_exact(resid: DataFrame, targets: DataFrame, keys: list[str], point: str, threshold: str) -> DataFrame:
     """Share of residuals above threshold - point: what the bootstrap tends to."""
     extra = [c for c in targets.columns if c not in keys]
-    both = resid.select(*keys, "resid").join(targets, keys)
+    both = join_same(resid.select(*keys, "resid"), targets, keys)
     both = both.withColumn("_sample", F.col(point) + F.col("resid"))
     return exceedance(both, [*keys, *extra], "_sample", F.col(threshold))
 
@@ -292,7 +293,7 @@ def bootstrap(resid: DataFrame, targets: DataFrame, keys: list[str], point: str,
     seed, region and draw number, so a rerun gives the same samples. Residuals are
     at most one training window per region."""
     pool = resid.groupBy(*keys).agg(F.array_sort(F.collect_list("resid")).alias("_pool"))
-    each = targets.select(*keys, point).join(pool, keys)
+    each = join_same(targets.select(*keys, point), pool, keys)
     each = each.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     pick = F.pmod(F.xxhash64(F.lit(seed), *keys, "draw"), F.size("_pool").cast("bigint")).cast("int")
     return each.select(*keys, "draw", (F.col(point) + F.get("_pool", pick)).alias("sample"))
@@ -327,12 +328,14 @@ def sunday_reference(df: DataFrame, feats: DataFrame, keys: list[str], override:
     last = feats.groupBy(*keys).agg(F.max_by("aaa", "date").alias("_last"))
     sunday = previous_sunday(df.filter(F.col("source") == DAILY_AVG), keys)
     value = F.coalesce(F.lit(override).cast("double"), F.bround(F.coalesce("value", "_last"), 3))
-    return last.join(sunday, keys, "left").select(*keys, value.alias("reference"))
+    return join_same(last, sunday, keys, "left").select(*keys, value.alias("reference"))
 
 
 def sunday_probability(df: DataFrame, result: Nowcast, keys: list[str], override: float | None = None) -> DataFrame:
     """Chance that the next Sunday lies above the last one."""
-    targets = result.points.select(*keys, "next_sunday", "next_sunday_point").join(
-        sunday_reference(df, result.features, keys, override), keys
+    targets = join_same(
+        result.points.select(*keys, "next_sunday", "next_sunday_point"),
+        sunday_reference(df, result.features, keys, override),
+        keys,
     )
     return exceedance_exact(result.residuals, targets, keys, "next_sunday_point", "reference")

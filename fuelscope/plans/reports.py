@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.arith import crack_spread
 from ..functions.clock import as_of_by_lag, from_new_york, month_start, ny_date, zone_text
 from ..functions.text import money, plain
+from ..joins import join_same
 from ..operators.daily import last_n, resample_daily
 from ..operators.lookup import latest_set, latest_with_fallback
 from ..schema import DAILY_AVG, RBOB, RETAIL, RUNS, STOCKS, WTI
@@ -93,7 +94,11 @@ def kpis(df: DataFrame, points: DataFrame, probability: DataFrame, keys: list[st
         F.max_by("price", F.when(retail, F.struct("scraped_at", "seq"))).alias("retail"),
     )
     return (
-        counts.join(points.select(*keys, "next_sunday_point"), keys, "left")
-        .join(probability.select(*keys, "probability"), keys, "left")
+        join_same(
+            join_same(counts, points.select(*keys, "next_sunday_point"), keys, "left"),
+            probability.select(*keys, "probability"),
+            keys,
+            "left",
+        )
         .select(*keys, "records", "retail", "next_sunday_point", "probability")
     )

@@ -341,9 +341,10 @@ def _(spark, d):
 )
 def _(spark, d):
     orders = table(spark, d, "orders")
-    newest = F.lit(orders.agg(F.to_date(F.max("o_orderdate"))).first()[0])
-    age = F.datediff(newest, F.to_date("o_orderdate")).cast("double")
-    return orders.select("o_orderkey", F.round(arith.recency_weight(age), 9).alias("w"))
+    # One row.
+    newest = orders.agg(F.to_date(F.max("o_orderdate")).alias("newest"))
+    age = F.datediff("newest", F.to_date("o_orderdate")).cast("double")
+    return orders.crossJoin(F.broadcast(newest)).select("o_orderkey", F.round(arith.recency_weight(age), 9).alias("w"))
 
 
 @query("b20_crack_spread", f"WITH {OBS} SELECT seq, round(42 * price, 6) AS per_barrel, round(42 * price - consensus, 6) AS spread FROM obs")

@@ -139,3 +139,20 @@ def test_result_does_not_depend_on_partitions(spark, sf_dir):
     a = lookup.latest_rows(df, ["region", "source"])
     b = lookup.latest_rows(df.repartition(7, "seq").orderBy(F.desc("seq")), ["region", "source"])
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_null_keys_are_keys(spark):
+    from fuelscope.operators.lookup import latest_rows, previous_rows, screen_batch, value_at_or_latest
+
+    data = [(k, f"2024-01-0{d}", float(d)) for k in (None, "e") for d in (1, 2, 3)]
+    df = spark.createDataFrame(data, "region string, t string, price double").selectExpr("region", "cast(t as timestamp_ntz) scraped_at", "price", "'s' source")
+    assert sorted(r.price for r in latest_rows(df, ["region"]).collect()) == [3.0, 3.0]
+    assert sorted(r.price for r in previous_rows(df, ["region"]).collect()) == [2.0, 2.0]
+    now = df.selectExpr("region", "10 * price price", "scraped_at", "source").filter("price = 30")
+    from pyspark.sql import functions as F
+
+    out = screen_batch(now, df, F.expr("timestamp_ntz'2024-01-04 00:00:00'"), ["region"], ["s"]).collect()
+    assert [r.reason for r in out] == ["last", "last"]
+    panel = df.selectExpr("region", "cast(scraped_at as date) date", "price")
+    wanted = panel.selectExpr("region", "date_add(date, 5) day").filter("day = '2024-01-08'")
+    assert [r.price for r in value_at_or_latest(panel, wanted, ["region"], "day", ["price"]).collect()] == [3.0, 3.0]
