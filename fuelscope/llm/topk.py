@@ -25,7 +25,9 @@ from ..session import cut_lineage
 from .common import query, read
 
 BLOCK_ROWS = 4_096
-LEAF = 48
+LEAF = 128
+# A node whose first PROBES children hold hardly more than themselves stays a leaf.
+PROBES = 16
 # Products of sums below this are exact in doubles.
 _EXACT = float(1 << 53)
 
@@ -53,6 +55,10 @@ def cover_tree(points: np.ndarray) -> Node:
             left &= ~took
             if not left.any():
                 return node
+            if len(node.children) == PROBES and len(rows) - left.sum() < len(rows) // 20 + PROBES:
+                # Points all far apart: smaller radii would part them one by one.
+                node.children = []
+                return node
             next_center = int(rows[np.argmax(left)])
             delta = points[rows] - points[next_center]
             next_gap = np.sqrt(np.einsum("ij,ij->i", delta, delta))
@@ -68,6 +74,15 @@ def dual_tree(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, id
     def meet(q: np.ndarray, c: np.ndarray) -> None:
         got = queries[q] @ points[c].T
         got[query_ids[q][:, None] == ids[c][None, :]] = -np.inf
+        hopeful = got.max(axis=1) >= score[q, k - 1]
+        if not hopeful.any():
+            return
+        q, got = q[hopeful], got[hopeful]
+        if got.shape[1] > 4 * k:
+            # Only what reaches the kth best of these can be among the best, ties included.
+            edge = np.partition(got, got.shape[1] - k, axis=1)[:, got.shape[1] - k]
+            some = np.flatnonzero((got >= edge[:, None]).any(axis=0))
+            got, c = got[:, some], c[some]
         s = np.concatenate([score[q], got], axis=1)
         w = np.concatenate([who[q], np.broadcast_to(ids[c], got.shape)], axis=1)
         order = np.lexsort((w, -s))[:, :k]
