@@ -17,15 +17,15 @@ are read.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..session import new_folder
-from .common import query, read
+from ..session import cut_lineage, new_folder
+from .common import in_batches, query, read
 from .tokenize import encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -63,27 +63,52 @@ def _ids(texts, tokenizer: str, end_id: int) -> list[np.ndarray]:
     return [np.concatenate([ids, end]) for ids in encoder(tokenizer, True)(list(texts))]
 
 
-def ranks(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, h, n, ids): each text encoded once, written compressed, so that the ids
+    can be counted first and ranked after that."""
+
+    def found(frame: pd.DataFrame) -> pd.DataFrame:
+        press = zstandard.ZstdCompressor(level=1)
+        ids = _ids(frame["text"], tokenizer, end_id)
+        raw = [press.compress(_planes(x)) for x in ids]
+        return pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "h": frame["h"], "n": [len(x) for x in ids], "ids": raw})
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return cut_lineage(rows.withColumn("h", F.xxhash64("text")).mapInPandas(in_batches(found), "doc_id long, h long, n long, ids binary"))
+
+
+def _planes(ids: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones, and so on: these compress well apart."""
+    return ids.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _opened(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4")
+
+
+def ranks(ids: DataFrame) -> DataFrame:
     """(id, n, rank) by falling frequency; at most one row per id of the vocabulary."""
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = np.zeros(1, np.int64)
         for frame in frames:
-            for at in range(0, len(frame), 512):
-                got = np.bincount(np.concatenate(_ids(frame["text"].iloc[at : at + 512], tokenizer, end_id)))
+            for at in range(0, len(frame), 128):
+                got = np.bincount(np.concatenate([_opened(raw) for raw in frame["ids"].iloc[at : at + 128]]))
                 if len(got) > len(count):
                     count = np.concatenate([count, np.zeros(len(got) - len(count), np.int64)])
                 count[: len(got)] += got
         used = np.flatnonzero(count)
         yield pd.DataFrame({"id": used, "n": count[used]})
 
-    total = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    total = ids.select("ids").mapInPandas(counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return total.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1)
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
     spark = docs.sparkSession
-    ranks(docs, tokenizer, end_id).write.parquet(f"{folder}/ranks")
+    stored = encoded(docs, tokenizer, end_id)
+    ranks(stored).write.parquet(f"{folder}/ranks")
     # At most the vocabulary, so it may go to every task.
     table = spark.read.parquet(f"{folder}/ranks").orderBy("rank").select("id").toPandas()["id"].to_numpy(np.int64)
     rank_of = np.zeros(int(table.max()) + 1 if len(table) else 1, np.uint32)
@@ -101,24 +126,18 @@ def write(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id: int
 
         for frame in frames:
             part = int(frame["part"].iloc[0])
-            for at in range(0, len(frame), 256):
-                some = frame.iloc[at : at + 256]
-                for doc_id, ids in zip(some["doc_id"], _ids(some["text"], tokenizer, end_id)):
-                    held.append((doc_id, ids))
-                    size += len(ids)
-                    if size >= block_ids:
-                        yield block()
-                        held, number, begins, size = [], number + 1, begins + size, 0
+            for doc_id, raw in zip(frame["doc_id"], frame["ids"]):
+                ids = _opened(raw)
+                held.append((doc_id, ids))
+                size += len(ids)
+                if size >= block_ids:
+                    yield block()
+                    held, number, begins, size = [], number + 1, begins + size, 0
         if held:
             yield block()
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .withColumn("part", F.spark_partition_id())
-    )
+    ordered = stored.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "h").withColumn("part", F.spark_partition_id())
     ordered.mapInPandas(blocks, "part int, block long, begins long, n_ids long, documents array<struct<doc_id:long,n_tokens:long>>, control binary, data binary").write.parquet(f"{folder}/blocks")
 
 

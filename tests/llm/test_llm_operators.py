@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fuelscope.llm.tokenize import Encoder
 from fuelscope.llm import common, language, lines, mix, near, packing, quality, queries, substrings, tokenfile, topk, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -306,3 +307,12 @@ def test_pipeline(spark, sf_dir):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     fill = packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
     assert fill <= 4096 and packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+@pytest.mark.parametrize("name, spaces", [(packing.TOKENIZER, False), (tokenfile.TOKENIZER, True)])
+def test_encoder_equals_whole_texts(name, spaces):
+    odd = ["", None, "  ", "\n\n", " a", "a ", "a\n\n  b\t\tc  ", "don't I'LL 12abc!!  x²y Ⱥ ÀÉ İ", "日本 語", "龍 a", "<|endoftext|> a", "x" * 5000, "\r\n a\r\nb", "a\x0bb\x0cc", "1 2 ½ ¼x", "a\n b\n  c"]
+    enc = Encoder(name, spaces, limit=40)
+    for _ in range(2):
+        found = enc(odd) + enc(odd[::-1])
+        assert [f.tolist() for f in found] == [e.ids for e in enc.tokenizer.encode_batch([t or "" for t in odd + odd[::-1]], add_special_tokens=False)]
