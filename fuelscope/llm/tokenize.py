@@ -21,6 +21,7 @@ from .common import Words, mix64
 
 # Printable ASCII, the white space that Python and the tokenizers agree on, Latin letters.
 _OTHER = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa1-ɏ]|<\|")
+_PLAIN = bytes([9, 10, 11, 12, 13, *range(32, 127)])
 # Where white space has no ids, a letter of a script that no run has parts the runs; where
 # it has, a line break does, of which only runs behind one space or none are free.
 _MARK, _BREAK = " 龍 ", "\n"
@@ -115,7 +116,9 @@ class Encoder:
                 salt[i] = int.from_bytes(hashlib.blake2b(raw[before[i] : starts[i]], digest_size=8).digest(), "little")
             hashes = mix64(hashes + mix64(salt))
             starts = before
-        different, some, which = np.unique(hashes, return_index=True, return_inverse=True)
+        different, which = np.unique(hashes, return_inverse=True)
+        some = np.zeros(len(different), np.int64)
+        some[which] = np.arange(len(which))
         if len(self.known) + len(different) > self.limit:
             self._forget()
         place = np.searchsorted(self.known, different)
@@ -143,7 +146,7 @@ class Encoder:
         out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(texts)
         held, size = [], 0
         for i, text in enumerate(texts):
-            if text and _OTHER.search(text):
+            if text and _is_other(text):
                 out[i] = self._direct([text])[0]
             elif text:
                 held.append(i)
@@ -155,6 +158,12 @@ class Encoder:
         return out
 
 
+def _is_other(text: str) -> bool:
+    if text.isascii():
+        return "<|" in text or bool(text.encode().translate(None, _PLAIN))
+    return _OTHER.search(text) is not None
+
+
 def _ranges(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """begins[0], begins[0] + 1, ... (lengths[0] of them), begins[1], ..."""
     total = int(lengths.sum())
