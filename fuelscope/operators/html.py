@@ -36,14 +36,22 @@ _TOKEN = re.compile(
     |([^<]+|<)""",
     re.I | re.S | re.X,
 )
+# How a comment, declaration or unseen body ends if the page does not end in it.
+_CLOSED = re.compile(r"\A<(?:!--.*-->|\?.*|!(?!--).*|[a-z].*</(?:script|style|template|noscript)\s*>)\Z", re.I | re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 
 class Node:
-    __slots__ = ("tag", "raw", "parent", "parts", "_attrs")
+    """``page`` holds the texts of the page in order, ``start`` and ``end`` those below
+    this element, ``own`` the texts that are its alone (inside the head) with the place
+    in the page's texts where they belong."""
 
-    def __init__(self, tag, raw, parent):
-        self.tag, self.raw, self.parent, self.parts, self._attrs = tag, raw, parent, [], None
+    __slots__ = ("tag", "raw", "parent", "page", "start", "end", "own", "_attrs")
+
+    def __init__(self, tag, raw, parent, page):
+        self.tag, self.raw, self.parent, self.page, self._attrs = tag, raw, parent, page, None
+        self.start = self.end = len(page)
+        self.own: list[tuple[int, str]] = []
 
     @property
     def attrs(self) -> dict[str, str]:
@@ -54,55 +62,77 @@ class Node:
         return self._attrs
 
     def text(self) -> str:
-        return " ".join("".join(self.parts).split())
+        parts, at = [], self.start
+        for place, text in self.own:
+            parts += [*self.page[at:place], text]
+            at = place
+        return " ".join("".join(parts + self.page[at : self.end]).split())
+
+
+def _tokens(html: str) -> list[tuple[str, str, str, str]]:
+    """No tag ends behind the last >, so what stands there is not searched for tags."""
+    cut = html.rfind(">") + 1
+    tokens, tail = _TOKEN.findall(html[:cut]), html[cut:].split("<!--", 1)[0]
+    if tail and tokens and not any(tokens[-1]):
+        *_, last = _TOKEN.finditer(html[:cut])
+        if not _CLOSED.search(last[0]):
+            return tokens
+    return [*tokens, ("", "", "", tail)] if tail else tokens
 
 
 def parse(html: str) -> list[Node]:
     """All elements in document order, each with the text below it. Text of the
-    head belongs to its own element (a title) only."""
+    head belongs to its own element (a title) only. Linear in the page: an element
+    knows its stretch of the page's texts, and ``at`` where open tags stand."""
     nodes: list[Node] = []
     stack: list[Node] = []
+    page: list[str] = []
+    at: dict[str, list[int]] = {}
     head: Node | None = None
-    for end, tag, raw, text in _TOKEN.findall(html):
+
+    def nearest(tags) -> int:
+        return max((at[t][-1] for t in tags if at.get(t)), default=-1)
+
+    def close(i: int) -> None:
+        for node in stack[i:]:
+            node.end = len(page)
+            at[node.tag].pop()
+        del stack[i:]
+
+    for end, tag, raw, text in _tokens(html):
         if text:
             if "&" in text:
                 text = unescape(text)
             if head is None:
-                for node in stack:
-                    node.parts.append(text)
+                page.append(text)
             elif stack:
-                stack[-1].parts.append(text)
+                stack[-1].own.append((len(page), text))
             continue
         if not tag:
             continue
         tag = tag.lower()
         if end:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if at.get(tag):
+                close(at[tag][-1])
         else:
             ends, within = ENDED_BY.get(tag, ((), ()))
-            if ends:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].tag in ends:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in within:
-                        break
+            i = nearest(ends)
+            if i > nearest(within):
+                close(i)
         if tag in ("head", "body"):
             head = None
         if tag in BLOCK and head is None:
-            for node in stack:
-                node.parts.append(" ")
+            page.append(" ")
         if end:
             continue
-        node = Node(tag, raw, stack[-1] if stack else None)
+        node = Node(tag, raw, stack[-1] if stack else None, page)
         nodes.append(node)
         if tag not in VOID and not raw.endswith("/"):
+            at.setdefault(tag, []).append(len(stack))
             stack.append(node)
             if tag == "head":
                 head = node
+    close(0)
     return nodes
 
 

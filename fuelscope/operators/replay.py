@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
+from ..joins import join_same
 from ..session import broadcast_if_small, cut_lineage, new_folder
 from .lookup import asof
 from .skew import SEGMENT, hot_keys, lookup, segment
@@ -141,7 +142,7 @@ def _settle(
         ends = now.groupBy(*piece).agg(F.max_by("price", F.when(F.col("accepted"), order)).alias("_end"))
         starts = ends.unionByName(origin).withColumn("_last", F.last("_end", ignorenulls=True).over(before))
         asked = asof(now, good, keys, "price", "_week", "7 days", time, tie, per)
-        ready = asked.join(broadcast_if_small(starts.drop("_end")), piece, "left")
+        ready = join_same(asked, broadcast_if_small(starts.drop("_end")), piece, "left")
         shape = T.StructType([*_with_flag(ready).fields, T.StructField("_old", T.BooleanType())])
         after = cut_lineage(ready.groupBy(*piece).applyInPandas(run, shape))
         now = after.select(*columns)
@@ -157,15 +158,22 @@ def replay(
     limit: float = 0.50,
     rows_per_segment: int = ROWS_PER_SCAN,
 ) -> DataFrame:
-    """The rows with ``accepted`` as a job run after each of them would have set it."""
+    """The rows with ``accepted`` as a job run after each of them would have set it.
+    Rows without a time stay and are not accepted."""
+    df, untimed = _timed(df, time)
     hot = hot_keys(df, keys, rows_per_segment)
     if hot.isEmpty():
-        return _whole(df, keys, time, tie, limit)
+        return _whole(df, keys, time, tie, limit).unionByName(untimed)
     cold = lookup(df, hot, keys, "left_anti")
     large = lookup(df, hot, keys, "left_semi")
     return _whole(cold, keys, time, tie, limit).unionByName(
         _large(large, keys, time, tie, limit, rows_per_segment)
-    )
+    ).unionByName(untimed)
+
+
+def _timed(df: DataFrame, time: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with a time, and the others as not accepted."""
+    return df.filter(F.col(time).isNotNull()), df.filter(F.col(time).isNull()).withColumn("accepted", F.lit(False))
 
 
 def replay_last_only(
@@ -176,7 +184,8 @@ def replay_last_only(
     limit: float = 0.50,
     rows_per_segment: int = ROWS_PER_SCAN,
 ) -> DataFrame:
-    """Replay against the last accepted price only."""
+    """Replay against the last accepted price only; rows without a time as in ``replay``."""
+    df, untimed = _timed(df, time)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([time, tie])
@@ -188,7 +197,7 @@ def replay_last_only(
     piece = [*keys, *SEGMENT]
     if not split:
         ready = cut.withColumn("_last", F.lit(None).cast("double"))
-        return ready.groupBy(*piece).applyInPandas(run, _with_flag(ready)).drop("_last", *SEGMENT)
+        return ready.groupBy(*piece).applyInPandas(run, _with_flag(ready)).drop("_last", *SEGMENT).unionByName(untimed)
     cut = cut_lineage(cut.withColumn("accepted", F.col("price").isNotNull()))
     before = W.partitionBy(*keys).orderBy(*SEGMENT).rowsBetween(W.unboundedPreceding, -1)
     while True:
@@ -196,8 +205,8 @@ def replay_last_only(
             F.max_by("price", F.when(F.col("accepted"), F.struct(time, tie))).alias("_end")
         )
         starts = ends.withColumn("_last", F.last("_end", ignorenulls=True).over(before)).drop("_end")
-        ready = cut.withColumnRenamed("accepted", "_old").join(broadcast_if_small(starts), piece, "left")
+        ready = join_same(cut.withColumnRenamed("accepted", "_old"), broadcast_if_small(starts), piece, "left")
         after = cut_lineage(ready.groupBy(*piece).applyInPandas(run, _with_flag(ready)))
         if after.filter("accepted <> _old").isEmpty():
-            return after.drop("_last", "_old", *SEGMENT)
+            return after.drop("_last", "_old", *SEGMENT).unionByName(untimed)
         cut = after.select(*cut.columns)

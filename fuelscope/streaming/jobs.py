@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.clock import to_new_york
-from ..operators.lookup import keep_first
+from ..operators.lookup import insert_if_absent, keep_first
 from ..operators.replay import WEEK_US, too_far
 from ..schema import KEY
 
@@ -33,6 +33,23 @@ def distinct_ingest(stream: DataFrame, keys: list[str] = KEY, time: str = "scrap
     return clocked.dropDuplicatesWithinWatermark(keys).drop("_clock")
 
 
+def run_ingest(stream: DataFrame, folder: str, keys: list[str] = KEY, order: str = "seq") -> StreamingQuery:
+    """Rows that a unique key lets in, checked against all rows stored, however old.
+    A batch has a folder of its own, which a repeated batch overwrites."""
+    spark, out = stream.sparkSession, f"{folder}/out"
+    shape = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    spark.createDataFrame([], shape).write.mode("ignore").partitionBy("batch").parquet(out)
+
+    def write(batch: DataFrame, number: int) -> None:
+        stored = batch.sparkSession.read.schema(shape).option("basePath", out).parquet(out)
+        earlier = stored.filter(F.col("batch") < number)
+        insert_if_absent(earlier, batch, keys, order).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 class Screen(StatefulProcessor):
     """Last accepted price, the newest accepted price at least a week old, and the
     accepted prices in between. The old one has no expiry: it stays a reference

@@ -8,7 +8,7 @@ from ..operators import lookup
 from ..operators.replay import replay, replay_last_only
 from ..schema import SCREENED
 from .frames import NOW, OBS, now, observations
-from .registry import query, rounded
+from .registry import SQL, query, rounded
 
 NAMES = ", ".join(f"'{s}'" for s in SCREENED)
 
@@ -35,6 +35,22 @@ def _(spark, d):
     return rounded(out.select("seq", "last_jump", "week_jump", "reason"))
 
 
+@query(
+    "i14_null_region",
+    SQL["i14_screen_batch"]
+    .replace(", c AS (", ", o AS (SELECT * REPLACE (CASE WHEN seq % 3 <> 0 THEN region END AS region) FROM obs), c AS (", 1)
+    .replace("* FROM obs WHERE", "* FROM o WHERE")
+    .replace("LEFT JOIN r USING (region, source)", "LEFT JOIN r ON c.source = r.source AND c.region IS NOT DISTINCT FROM r.region")
+    .replace("SELECT c.*, l, w", "SELECT c.*, r.l, r.w"),
+)
+def _(spark, d):
+    df = observations(spark, d).withColumn("region", F.when(F.col("seq") % 3 != 0, F.col("region")))
+    cut = now() - F.expr("interval 1 day")
+    fresh, stored = df.filter(F.col("scraped_at") > cut), df.filter(F.col("scraped_at") <= cut)
+    out = lookup.screen_batch(fresh, stored, now(), ["region", "source"], SCREENED)
+    return rounded(out.select("seq", "last_jump", "week_jump", "reason"))
+
+
 LAST_ONLY = f"""WITH RECURSIVE {OBS}, n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY scraped_at, seq) AS i FROM obs),
     r AS (SELECT source, seq, i, price AS last, 1 AS accepted FROM n WHERE i = 1
         UNION ALL SELECT n.source, n.seq, n.i, CASE WHEN {jump_sql('n.price', 'r.last')} > 0.5 THEN r.last ELSE n.price END,
@@ -50,6 +66,23 @@ def _(spark, d):
     return out.select("seq", "source", F.col("accepted").cast("int").alias("accepted"))
 
 
+GAPS = """m AS (SELECT seq, CASE WHEN seq % 10 <> 0 THEN source END AS source, price, CASE WHEN seq % 10 <> 1 THEN scraped_at END AS scraped_at FROM obs)"""
+
+
+@query(
+    "i15_null_key_and_time",
+    LAST_ONLY.replace(", n AS (SELECT *,", f", {GAPS}, n AS (SELECT *,").replace("FROM obs),\n    r AS", "FROM m WHERE scraped_at IS NOT NULL),\n    r AS").replace("n.source = r.source", "n.source IS NOT DISTINCT FROM r.source")
+    + " UNION ALL SELECT seq, source, 0 FROM m WHERE scraped_at IS NULL",
+)
+def _(spark, d):
+    """Missing keys are a series of their own; rows without a time stay, not accepted."""
+    df = observations(spark, d).select(
+        "seq", F.when(F.col("seq") % 10 != 0, F.col("source")).alias("source"), "price", F.when(F.col("seq") % 10 != 1, F.col("scraped_at")).alias("scraped_at")
+    )
+    out = replay_last_only(df, ["source"])
+    return out.select("seq", "source", F.col("accepted").cast("int").alias("accepted"))
+
+
 WEEK_FORM = f"""WITH RECURSIVE {OBS}, n AS (SELECT *, row_number() OVER (PARTITION BY region, source ORDER BY scraped_at, seq) AS i FROM obs),
     r AS (SELECT region, source, seq, i, [scraped_at] AS ts, [price] AS ps, 1 AS accepted FROM n WHERE i = 1
         UNION ALL SELECT region, source, seq, i, CASE WHEN bad THEN ts ELSE list_append(ts, t0) END,

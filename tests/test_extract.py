@@ -1,12 +1,13 @@
 """Page readers on hand-made pages."""
 
+import time
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from fuelscope.functions.clock import ntz
-from fuelscope.operators import extract
+from fuelscope.operators import extract, html
 from fuelscope.operators.html import first_texts, table_rows
 from fuelscope.schema import DAILY_AVG, RBOB, RUNS, STOCKS
 
@@ -19,6 +20,26 @@ def table(*rows):
     return "<table><tbody>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</tbody></table>"
 
 
+def test_page_ends():
+    text = lambda page: html.parse(page)[0].text()
+    assert text("<p>a <b>b</b> c") == "a b c"
+    assert text("<p>a <!-- x > y") == "a"
+    assert text("<p>a <script>1 > 0; y") == "a"
+    assert text("<p>a <!-- x --> y") == "a y"
+    assert text("<p>a <!-- x --> y <!-- z") == "a y"
+    assert text("<p>a <b y") == "a <b y"
+    assert text("<p>a <!doctype x> y") == "a y"
+    assert [n.text() for n in html.parse("<html><head><title>t</title><body>b")] == ["b", "b", "t", "b"]
+
+
+@pytest.mark.parametrize("piece", ["<b>some text", "<a ", "<li><b>x", "</i><b>y", "<a \"", "<p></p><b>"])
+def test_page_reader_is_linear(piece):
+    start = time.perf_counter()
+    nodes = html.parse("<title>t</title><p>" + piece * 200_000)
+    assert time.perf_counter() - start < 8
+    assert nodes[0].text() == "t"
+
+
 def test_selectors():
     html = """<html><head><title>T &amp; t</title></head><body class="a b"><h2 class="intraday__price x">
       <sup>$</sup><bg-quote class="value">2,045.1</bg-quote></h2><p class=price>one<p class=price>two

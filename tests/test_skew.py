@@ -151,3 +151,15 @@ def test_replay_week_rule_alone_rejects(spark):
     by_week = [r["accepted"] for r in replay.replay(df, ["source"]).orderBy("seq").collect()]
     by_last = [r["accepted"] for r in replay.replay_last_only(df, ["source"]).orderBy("seq").collect()]
     assert all(by_last) and by_week[:7] == [True] * 7 and not all(by_week)
+
+
+@pytest.mark.parametrize("run", [replay.replay, replay.replay_last_only])
+def test_replay_with_missing_keys_and_times(spark, run):
+    """One answer for all sizes of a piece; every row comes back."""
+    rng = np.random.default_rng(5)
+    start = datetime(2024, 1, 1)
+    rows = [(i, ["a", None][i % 2], None if i % 20 == 3 else start + timedelta(hours=int(rng.integers(0, 24 * 14))), float(rng.choice([1.0, 1.2, 3.0]))) for i in range(400)]
+    df = spark.createDataFrame(rows, "seq long, k string, scraped_at timestamp_ntz, price double")
+    answers = [{r["seq"]: r["accepted"] for r in run(df, ["k"], rows_per_segment=per).collect()} for per in (10_000, 100)]
+    assert answers[0] == answers[1] and len(answers[0]) == len(rows)
+    assert not any(answers[0][r[0]] for r in rows if r[2] is None)
