@@ -1,11 +1,13 @@
 """Toxicity of texts written to hide it.
 
 A noisy channel turns letters into look-alikes, puts signs or spaces between them and
-repeats them. Words that look so written are decoded: every character stands for the
-letters it may have come from, or for nothing, and the Viterbi path through this
-lattice under a character language model (three letters, counted over all documents)
-and the channel's odds is the restored word. Single letters in a row (three or more)
-are one lattice in which words may begin anywhere. The restored text is scored.
+repeats them. Every word is decoded: a character stands for the letters it may have
+come from, or for nothing, and the Viterbi path through this lattice under a character
+language model (three letters, counted over all documents) and the channel's odds is
+the restored word. A word of plain letters without a repeat has only one path and is
+left alone. A word without a letter may also be a number. Single letters and
+look-alikes in a row (three or more) are one lattice in which words may begin anywhere.
+The restored text is scored.
 
 The score is a logistic regression over whole words and beginnings of words: whether a
 document has one, and how large its share is. Which ones count is found on labelled
@@ -18,7 +20,9 @@ every score is the share 0. Repeated rows are scored alike.
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 
 import numpy as np
 import pandas as pd
@@ -39,10 +43,18 @@ LOOK_ALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7":
 SEPARATORS = frozenset(".-_*~'^,:;/\\ ")
 # Log odds of the channel.
 _SUBSTITUTE, _DROP_SIGN, _DROP_REPEAT, _DROP_DOUBLE, _SPLIT, _UNLIKELY = -0.7, -0.1, -0.5, -4.0, -2.0, -9.0
+# Look-alikes that are punctuation at a word's end; of any other to be an ornament there
+# unless written three times; of a word in plain letters to hide a doubled one; of a
+# digit to be the one that it is in a number.
+PUNCTUATION = frozenset("!|+(")
+_ORNAMENT, _PLAIN, _DIGIT = -7.0, -2.0, -math.log(10)
 
 ALPHABET = 1 << 5
 _LONGEST = 32
-_HIDDEN = re.compile(r"[^\W\d_][0-9@$!|+(€.\-_*~'^,:;/\\]+[^\W\d_]|(?:^|[^\w])[0-9@$!|+(€][^\W\d_]{2}|([^\W\d_])\1\1")
+_REPEAT = re.compile(r"(.)\1")
+# Single characters that join a spaced run, as the bytes of a word.
+_SINGLE = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz" + "".join(c for c in LOOK_ALIKES if c.isascii()).encode()))
+_LONG_SINGLE = {c.encode() for c in LOOK_ALIKES if not c.isascii()}
 
 
 def _code(c: str) -> int:
@@ -96,52 +108,108 @@ def language_model(docs: DataFrame) -> np.ndarray:
     return np.log((count + 5 * back) / (count.sum(axis=2, keepdims=True) + 5))
 
 
-def restore(text: str, model: np.ndarray, spaced: bool = False) -> str:
-    """The likeliest word (words, if ``spaced``) behind the signs of ``text``."""
+def _letter(c: str) -> bool:
+    """Whether a character is a letter or a mark on one."""
+    return c.isalpha() or not c.isascii() and unicodedata.category(c)[0] == "M"
+
+
+def _readings(c: str) -> str:
+    return c if _letter(c) else LOOK_ALIKES.get(c, c)
+
+
+def _tripled(text: str) -> list[str]:
+    """For each character the readings that it shares with both neighbours, or with the
+    two before or behind it: repeats of one letter, whatever signs write it."""
+    at = [i for i, c in enumerate(text) if c in LOOK_ALIKES or c not in SEPARATORS]
+    out, run = [""] * len(text), {}
+    for j, i in enumerate(at):
+        run = {x: run.get(x, 0) + 1 for x in _readings(text[i])}
+        for x, n in run.items():
+            for k in at[j - 2 : j + 1] if n == 3 else at[j : j + 1] if n > 3 else ():
+                out[k] += x
+    return out
+
+
+def restore(text: str, model: np.ndarray | list[float], spaced: bool = False) -> str:
+    """The likeliest word (words, if ``spaced``) behind the signs of ``text``. A model
+    that is flattened to a list is quicker to look up."""
+    model = np.ravel(model).tolist() if isinstance(model, np.ndarray) else model
     text = text.lower()
-    # State: the last two letters. Value: log odds and what was read.
-    paths = {(0, 0): (0.0, "", "")}
+    plain, tripled = all(map(_letter, text)), _tripled(text)
+    begin = next((i for i, c in enumerate(text) if _letter(c) or c.isdigit()), len(text))
+    end = next((i for i in range(len(text), 0, -1) if _letter(text[i - 1]) or text[i - 1].isdigit()), 0)
+    # State: the last two letters. Value: log odds, the last letter and what was read, as
+    # (before, letter) pairs. Equal states cannot be told apart later; the better one stays.
+    paths = {(0, 0): (0.0, "", None)}
     for i, c in enumerate(text):
-        letters = [(c, 0.0)] if c.isalpha() else [(x, _SUBSTITUTE) for x in LOOK_ALIKES.get(c, "")]
-        if not letters and c not in SEPARATORS:
-            letters = [(c, _UNLIKELY)]
-        elif c.isdigit():
-            letters.append((c, _UNLIKELY))
-        after: dict[tuple[int, int], tuple[float, str, str]] = {}
-
-        def offer(state, value):
-            if state not in after or value[0] > after[state][0]:
-                after[state] = value
-
-        for (a, b), (odds, read_so_far, last) in paths.items():
+        if _letter(c):
+            if len(paths) == 1 and not spaced:
+                # One path left: its odds no longer matter, but for numbers, without a letter.
+                ((a, b), (odds, last, read)), = paths.items()
+                if last != c:
+                    k = _code(c)
+                    paths = {(b, k): (odds + model[(a << 10) + (b << 5) + k], c, (read, c))}
+                    continue
+            letters = [(c, 0.0)]
+        else:
+            letters = [(x, _SUBSTITUTE) for x in LOOK_ALIKES.get(c, "")]
+            if not letters and c not in SEPARATORS:
+                letters = [(c, _UNLIKELY)]
+            elif c.isdigit():
+                letters.append((c, _UNLIKELY))
+        drop = None
+        if not c.isalnum() and not _letter(c):
+            if c not in LOOK_ALIKES:
+                drop = _DROP_SIGN
+            elif not begin <= i < end:
+                drop = _DROP_SIGN if c in PUNCTUATION or c * 3 in text[max(i - 2, 0) : i + 3] else _ORNAMENT
+        may, same = _readings(c), tripled[i]
+        after: dict[tuple[int, int], tuple[float, str, tuple | None]] = {}
+
+        def offer(state, odds, last, read):
+            if state not in after or odds > after[state][0]:
+                after[state] = (odds, last, read)
+
+        for (a, b), (odds, last, read) in paths.items():
             for x, cost in letters:
                 k = _code(x)
-                offer((b, k), (odds + cost + model[a, b, k], read_so_far + x, c))
+                offer((b, k), odds + cost + model[(a << 10) + (b << 5) + k], x, (read, x))
                 if spaced and b:
-                    offer((0, k), (odds + cost + _SPLIT + model[a, b, 0] + model[0, 0, k], read_so_far + " " + x, c))
-            if not c.isalpha() and c in SEPARATORS or not c.isalnum() and c not in LOOK_ALIKES:
-                offer((a, b), (odds + _DROP_SIGN, read_so_far, c))
-            elif last == c:
-                offer((a, b), (odds + (_DROP_REPEAT if c * 3 in text else _DROP_DOUBLE), read_so_far, c))
+                    offer((0, k), odds + cost + _SPLIT + model[(a << 10) + (b << 5)] + model[k], x, ((read, " "), x))
+            if drop is not None:
+                offer((a, b), odds + drop, last, read)
+            if last and last in may:
+                offer((a, b), odds + (_DROP_REPEAT if last in same else _DROP_DOUBLE + (_PLAIN if plain else 0)), last, read)
         paths = after
-    return max(((odds + model[a, b, 0], out) for (a, b), (odds, out, _) in paths.items()), default=(0.0, text))[1]
+    # Nothing read is no word and has no end.
+    best, _, read = max(((odds + (model[(a << 10) + (b << 5)] if read else 0), i, read) for i, ((a, b), (odds, _, read)) in enumerate(paths.items())), default=(0.0, 0, None))
+    if end > begin and not any(map(_letter, text)):
+        number = text[begin:end]
+        codes = [0, 0] + [27 if c.strip() else 0 for c in number] + [0]
+        as_it_stands = _DROP_SIGN * (len(text) - len(number)) + _DIGIT * len(number) + sum(model[(a << 10) + (b << 5) + k] for a, b, k in zip(codes, codes[1:], codes[2:]))
+        if as_it_stands >= best:
+            return " ".join(number) if spaced else number
+    out = []
+    while read is not None:
+        read, x = read
+        out.append(x)
+    return "".join(out[::-1])
 
 
 class Reader:
     """Restored words of texts; each hidden word of a task is decoded once."""
 
     def __init__(self, model: np.ndarray, limit: int = 1 << 18):
-        self.model, self.limit, self.known = model, limit, {}
+        self.model, self.limit, self.known = np.ravel(model).tolist(), limit, {}
 
     def word(self, raw: bytes) -> str:
-        """Lower case, restored if it looks hidden, without signs at its ends."""
+        """Lower case, restored, without signs at its ends that stand for no letter."""
         if raw in self.known:
             return self.known[raw]
         text = raw.decode("utf-8", "surrogatepass").lower()
-        core = text.strip("\"#%&*<>()[]{}.,;:?~^'`-_/\\")
-        if 3 <= len(core) <= _LONGEST and _HIDDEN.search(core):
+        core = text.strip("\"#%&*<>)[]{}.,;:?~^'`-_/\\")
+        if len(core) <= _LONGEST and (not core.isalpha() or _REPEAT.search(core)):
             core = restore(core, self.model)
-        core = core.strip("$!|+@")
         if len(self.known) >= self.limit:
             self.known.clear()
         self.known[raw] = core
@@ -152,22 +220,23 @@ class Reader:
         found = Words(texts, lower=True)
         raw, which = found.distinct()
         vocabulary = [self.word(w) for w in raw]
-        single = (found.ends - found.starts == 1) & np.isin(found.joined[np.minimum(found.starts, max(len(found.joined) - 1, 0))], np.arange(97, 123)) if len(found.starts) else np.zeros(0, bool)
+        alone = np.array([len(w) == 1 and bool(_SINGLE[w[0]]) or w in _LONG_SINGLE for w in raw], bool)
+        single = alone[which] if len(which) else np.zeros(0, bool)
         text_of = np.repeat(np.arange(len(found.begins) - 1), np.diff(found.begins))
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
+        # Runs of single characters inside one text.
+        begins = np.flatnonzero(np.diff(np.concatenate([[-1], np.where(single, text_of, -1)])))
+        ends = np.append(begins[1:], len(single))
+        some = (ends - begins >= 3) & single[begins]
         keep = np.ones(len(which), bool)
         extra, extra_text = [], []
-        for a, b in zip(edge[::2], edge[1::2]):
-            for text in np.unique(text_of[a:b]):
-                run = np.arange(a, b)[text_of[a:b] == text]
-                if len(run) >= 3:
-                    letters = bytes(found.joined[found.starts[run]]).decode()
-                    keep[run] = False
-                    for at in range(0, len(letters), _LONGEST):
-                        for word in restore(letters[at : at + _LONGEST], self.model, spaced=True).split():
-                            extra.append(len(vocabulary))
-                            extra_text.append(text)
-                            vocabulary.append(word)
+        for a, b in zip(begins[some].tolist(), ends[some].tolist()):
+            keep[a:b] = False
+            letters = b"".join(raw[i] for i in which[a:b]).decode()
+            for at in range(0, len(letters), _LONGEST):
+                for word in restore(letters[at : at + _LONGEST], self.model, spaced=True).split():
+                    extra.append(len(vocabulary))
+                    extra_text.append(text_of[a])
+                    vocabulary.append(word)
         which, text_of = np.concatenate([which[keep], np.array(extra, np.int64)]), np.concatenate([text_of[keep], np.array(extra_text, np.int64)])
         return vocabulary, which, text_of
 
