@@ -50,7 +50,6 @@ PUNCTUATION = frozenset("!|+(")
 _ORNAMENT, _PLAIN, _DIGIT = -7.0, -2.0, -math.log(10)
 
 ALPHABET = 1 << 5
-_LONGEST = 32
 _REPEAT = re.compile(r"(.)\1")
 # Single characters that join a spaced run, as the bytes of a word.
 _SINGLE = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz" + "".join(c for c in LOOK_ALIKES if c.isascii()).encode()))
@@ -208,7 +207,7 @@ class Reader:
             return self.known[raw]
         text = raw.decode("utf-8", "surrogatepass").lower()
         core = text.strip("\"#%&*<>)[]{}.,;:?~^'`-_/\\")
-        if len(core) <= _LONGEST and (not core.isalpha() or _REPEAT.search(core)):
+        if not core.isalpha() or _REPEAT.search(core):
             core = restore(core, self.model)
         if len(self.known) >= self.limit:
             self.known.clear()
@@ -232,11 +231,10 @@ class Reader:
         for a, b in zip(begins[some].tolist(), ends[some].tolist()):
             keep[a:b] = False
             letters = b"".join(raw[i] for i in which[a:b]).decode()
-            for at in range(0, len(letters), _LONGEST):
-                for word in restore(letters[at : at + _LONGEST], self.model, spaced=True).split():
-                    extra.append(len(vocabulary))
-                    extra_text.append(text_of[a])
-                    vocabulary.append(word)
+            for word in restore(letters, self.model, spaced=True).split():
+                extra.append(len(vocabulary))
+                extra_text.append(text_of[a])
+                vocabulary.append(word)
         which, text_of = np.concatenate([which[keep], np.array(extra, np.int64)]), np.concatenate([text_of[keep], np.array(extra_text, np.int64)])
         return vocabulary, which, text_of
 

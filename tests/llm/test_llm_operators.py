@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -186,6 +187,18 @@ def test_every_form_of_hiding_is_decoded(spark):
         assert plain in [vocabulary[i] for i in which], text
 
 
+def test_long_hidden_words_and_spaced_runs_are_decoded_whole(spark):
+    clean = "you are an idiot and a stupid moron the loser is here " * 3
+    reader = toxicity.Reader(toxicity.language_model(spark.createDataFrame([(clean,)] * 5, "text string")))
+    assert reader.word(b"st" + b"u" * 40 + b"pid") == "stupid"
+    assert reader.word(b".".join([b"s"] + [b"t"] * 50 + [b"upid"])) == "stupid"
+    words = ["you", "are", "stupid", "and", "the", "loser", "is", "here"] * 4
+    vocabulary, which, _ = reader([" ".join("".join(words))])
+    assert Counter(vocabulary[i] for i in which) == Counter(words)
+    started = time.process_time()
+    assert reader.word(b"1" * 20000 + b"d10t").endswith("diot") and time.process_time() - started < 10
+
+
 def test_numbers_stay_numbers(spark):
     reader = toxicity.Reader(toxicity.language_model(spark.createDataFrame([("in 2019 and 1999 at 4.0 or 100 of 3 by 555-7713 the idiot is here",)] * 50, "text string")))
     for text in ("2010", "100", "4.0", "208.240.42.236"):
