@@ -67,11 +67,13 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         # In units of 1 / (k capacity), so that sums stay whole.
         u = np.where(scaled % capacity == 0, x * k, scaled // capacity * capacity)
         best = max(best, -(-int(u.sum()) // (k * capacity)))
-    for cut in np.unique(np.minimum(x, capacity - x))[:64]:
-        if 0 < cut <= capacity // 2:
-            v = np.where(x > capacity - cut, capacity, np.where(x >= cut, x, 0))
-            best = max(best, -(-int(v.sum()) // capacity))
-    return best
+    # Every cut of the last family at once: lengths beyond capacity - cut count whole.
+    x = np.sort(x)
+    sums = np.concatenate([[0], np.cumsum(x)])
+    cuts = np.arange(1, capacity // 2 + 1)
+    short, long = np.searchsorted(x, cuts), np.searchsorted(x, capacity - cuts, "right")
+    v = sums[long] - sums[short] + (len(x) - long) * capacity
+    return max(best, -(-int(v.max(initial=0)) // capacity))
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

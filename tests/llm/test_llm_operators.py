@@ -158,6 +158,19 @@ def test_bounds_never_exceed_the_best_packing():
         assert packing.lower_bound(lengths, 10) <= best <= len(packing.best_fit(lengths, 10)[2])
 
 
+def test_every_cut_bounds_large_inputs():
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([rng.integers(2600, 3400, 6000), rng.integers(900, 1600, 6000), rng.integers(1, 300, 4000)])
+    want = 0
+    for cut in range(1, 2049):
+        v = np.where(lengths > 4096 - cut, 4096, np.where(lengths >= cut, lengths, 0))
+        want = max(want, -(-int(v.sum()) // 4096))
+    cuts = np.unique(np.minimum(lengths, 4096 - lengths))
+    few = max(-(-int(np.where(lengths > 4096 - cut, 4096, np.where(lengths >= cut, lengths, 0)).sum()) // 4096) for cut in cuts[:64])
+    assert packing.lower_bound(lengths, 4096) >= want > few
+    assert want <= len(packing.best_fit(lengths, 4096)[2])
+
+
 def _bins(order, capacity=10):
     n, left = 0, 0
     for x in order:
