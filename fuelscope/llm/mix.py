@@ -9,7 +9,9 @@ No sort of everything is needed. Queues are summed in buckets of the shuffle has
 virtual time (spread evenly over the tokens by its making) in buckets of time; only
 the bucket in which the budget ends is ordered row by row, and the last copy in it
 tells every row how many of its copies lie before the cut. The number of buckets
-follows the row count, so no window holds a source whole.
+follows the row count, so no window holds a source whole. Sources and slots are as many
+as the data has them; their running sums are taken over ranges of them first, then
+inside each range.
 
 Null sources form one source, last in order. Null texts have size 0 and are never
 copied; repeated rows are documents of their own; an empty table gives an empty mix.
@@ -28,26 +30,37 @@ BUCKET_ROWS = 2_000
 SLOT_ROWS = 20_000
 
 
+def running(rows: DataFrame, order: list, sums: dict[str, str]) -> DataFrame:
+    """``rows`` with the sums of columns (by new name) over all rows before each in the
+    order, in which no two rows are equal: of ranges of rows, one for each partition,
+    then inside a range."""
+    # Written, so that the ranges hold.
+    rows = cut_lineage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy("_range").agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
+    ranges = ranges.select(F.col("_range").alias("_of"), *[F.coalesce(F.sum(f"_{name}").over(earlier), F.lit(0)).alias(f"_{name}") for name in sums])
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = rows.join(F.broadcast(ranges), F.col("_range") == F.col("_of"))
+    return joined.select(*[c for c in rows.columns if c != "_range"], *[(F.col(f"_{name}") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(name) for name, c in sums.items()])
+
+
 def targets(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3) -> DataFrame:
     """One row per source of ``docs`` (source, size): its rank, size and target. Sources
     filled to ``epochs`` times their size leave their share to the others by weight: in
     order of size per weight, the filled ones come first, so running sums find them."""
-    per = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    every = Window.partitionBy()
-    rank = F.row_number().over(every.orderBy(F.col("source").asc_nulls_last()))
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") - 1) % len(weights) + 1).cast("long")
+    per = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1))
+    per = running(per, [F.col("source").asc_nulls_last()], {"rank": "one"}).withColumn("rank", F.col("rank") + 1)
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("rank") - 1) % len(weights) + 1).cast("int")).cast("long")
     full = F.col("source_size") * epochs
-    per = per.withColumn("rank", rank).withColumn("weight", weight).withColumn("full", full)
-    order = every.orderBy(F.col("full") / F.col("weight"), "rank")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    total, all_weight = F.sum("source_size").over(every), F.sum("weight").over(every)
-    used = F.coalesce(F.sum("full").over(before), F.lit(0))
-    gone = F.coalesce(F.sum("weight").over(before), F.lit(0))
-    per = per.select("*", total.alias("total"), all_weight.alias("all_weight"), F.sum("n").over(every).alias("rows"), (F.col("full") * (all_weight - gone) <= F.col("weight") * (total - used)).alias("filled"))
-    rest = F.col("total") - F.coalesce(F.sum(F.when(F.col("filled"), F.col("full"))).over(every), F.lit(0))
-    open_weight = F.col("all_weight") - F.coalesce(F.sum(F.when(F.col("filled"), F.col("weight"))).over(every), F.lit(0))
+    per = per.withColumn("weight", weight).withColumn("full", full).withColumn("per_weight", F.col("full") / F.col("weight"))
+    per = running(per, ["per_weight", "rank"], {"used": "full", "gone": "weight"})
+    every = per.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("all_weight"), F.sum("n").alias("rows"))
+    filled = F.col("full") * (F.col("all_weight") - F.col("gone")) <= F.col("weight") * (F.col("total") - F.col("used"))
+    per = cut_lineage(per.crossJoin(F.broadcast(every)).withColumn("filled", filled))
+    given = per.where("filled").agg(F.coalesce(F.sum("full"), F.lit(0)).alias("full_sum"), F.coalesce(F.sum("weight"), F.lit(0)).alias("full_weight"))
+    rest, open_weight = F.col("total") - F.col("full_sum"), F.col("all_weight") - F.col("full_weight")
     target = F.when(F.col("filled"), F.col("full").cast("double")).otherwise(F.col("weight") * rest / open_weight)
-    return per.select("source", "rank", "source_size", "total", "rows", "n", target.alias("target"))
+    return per.crossJoin(F.broadcast(given)).select("source", "rank", "source_size", "total", "rows", "n", target.alias("target"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3, seed: str = "mix", name: str = "mix") -> DataFrame:
@@ -97,8 +110,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3,
     )
     copies = cut_lineage(copies.select("slot", "total", *key))
     slots = copies.groupBy("slot").agg(F.sum("size").alias("in_slot"), F.max("total").alias("total"))
-    earlier = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.withColumn("before", F.coalesce(F.sum("in_slot").over(earlier), F.lit(0)))
+    slots = running(slots, ["slot"], {"before": "in_slot"})
     last = slots.where((F.col("before") <= F.col("total")) & (F.col("before") + F.col("in_slot") > F.col("total"))).select("slot", "before")
     order = Window.partitionBy("slot").orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
     edge = (

@@ -71,6 +71,22 @@ def test_mix(docs, rows, empty):
     assert sorted(map(str, got)) == sorted(map(str, mix.mix(docs).select("doc_id", "source", "size", "mix").collect()))
 
 
+def test_mix_of_many_sources_runs_over_ranges(spark, monkeypatch):
+    # One hot source of small weight behind many small ones: nearly a slot for each row.
+    monkeypatch.setattr(mix, "SLOT_ROWS", 1)
+    table = [(i, f"s{0 if i % 3 else i:04}" if i else None, prose(i, 1 + i % 7)) for i in range(900)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, source varchar, text varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", table)
+    out = mix.mix(spark.createDataFrame([(i, s, t) for i, s, t in table], "doc_id long, source string, text string"))
+    got = out.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+    plan = got._jdf.queryExecution().toString()
+    assert not re.search(r"windowspecdefinition\(slot#\d+L? ASC", plan)
+    assert Counter(map(str, map(tuple, got.collect()))) == Counter(map(str, con.execute(mix.OP1_SQL).fetchall()))
+    ranges = mix.running(spark.range(1000).withColumn("x", F.col("id") * 2), ["id"], {"before": "x"})
+    assert {r.id: r.before for r in ranges.collect()} == {i: i * (i - 1) for i in range(1000)}
+
+
 def test_repeats(docs, rows, empty):
     count, parts = Counter(), [words(r[1]) for r in rows]
     for w in parts:
