@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fuelscope.llm import lines, mix, near, packing, quality
 from fuelscope.llm.common import fresh_name
@@ -44,9 +44,15 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, each with its sequence and place there."""
+    """Pieces of the documents with their ids, each with its sequence and place there.
+    Rows with the same doc_id and text are copies, numbered from 1."""
     prepare(spark)
-    return packing.pack(packing.pieces(docs))
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    numbered = docs.select("doc_id", "text").withColumn("copy", F.row_number().over(same))
+    # Ids stay out of the packing, which needs lengths only.
+    pieces = cut_lineage(packing.pieces(numbered, with_ids=True, copy="copy").withColumn("row", F.monotonically_increasing_id()))
+    placed = packing.pack(pieces.select("row", "length")).drop("length")
+    return pieces.join(placed, "row").drop("row")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -32,25 +32,23 @@ END_ID = 1
 PART_PIECES = 20_000
 ROUNDS = 3
 
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-
-
-def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """One row per piece; with ``with_ids`` also its ids, little-endian unsigned 32-bit."""
+def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end_id: int = END_ID, with_ids: bool = False, copy: str | None = None) -> DataFrame:
+    """One row per piece; with ``with_ids`` also its ids, little-endian unsigned 32-bit,
+    and with ``copy`` the number in that column of ``docs``, which tells copies apart."""
+    kept = ["doc_id"] + ([copy] if copy else [])
+    names = [*kept, "piece", "start", "length", "ids_crc32"] + (["ids"] if with_ids else [])
 
     def cut(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc_id, ids in zip(frame["doc_id"], encoder(tokenizer, False)(list(frame["text"]))):
+        for *own, ids in zip(*(frame[c] for c in kept), encoder(tokenizer, False)(list(frame["text"]))):
             ids = np.append(ids, np.uint32(end_id)).astype("<u4")
             for k, at in enumerate(range(0, len(ids), capacity)):
                 raw = ids[at : at + capacity].tobytes()
-                out.append((doc_id, k, at, len(raw) // 4, zlib.crc32(raw), raw)[: 6 if with_ids else 5])
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-        return pd.DataFrame(out, columns=names[: 6 if with_ids else 5]).astype({"doc_id": "Int64"})
+                out.append((*own, k, at, len(raw) // 4, zlib.crc32(raw), raw)[: len(names)])
+        return pd.DataFrame(out, columns=names).astype({c: "Int64" for c in kept})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        in_batches(cut), _PIECES + (", ids binary" if with_ids else "")
-    )
+    schema = ", ".join(f"{c} {'binary' if c == 'ids' else 'int' if c == 'piece' else 'long'}" for c in names)
+    return docs.select(*[F.col(c).cast("long").alias(c) for c in kept], F.col("text").cast("string").alias("text")).mapInPandas(in_batches(cut), schema)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:

@@ -367,6 +367,109 @@ def test_pipeline(spark, sf_dir):
     assert fill <= 4096 and packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
+def _plain_quality(rows):
+    out = []
+    for r in rows:
+        w, full = words(r[1]), [x for x in (r[1] or "").split("\n") if words(x)]
+        c = Counter(zip(w, w[1:], w[2:]))
+        again = {j for i in range(len(w) - 2) if c[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        dup, symbols, chars = len(full) - len(set(full)), sum(map((r[1] or "").count, "#*$%&|<>")), sum(map(len, w))
+        if len(w) >= 50 and 2 * len(again) <= len(w) and 4 * symbols <= len(w) and 2 * len(w) <= chars <= 20 * len(w) and not (dup >= 3 and 2 * dup > len(full)):
+            out.append(r)
+    return out
+
+
+def _plain_lines(rows):
+    pages, seen, out = Counter(r[3] for r in rows), Counter(), []
+    trim = lambda x: x.strip(" \t\n\x0b\x0c\r")
+    for r in rows:
+        seen.update({(r[3], trim(x)) for x in (r[1] or "").split("\n") if trim(x)})
+    for r in rows:
+        gone = lambda x: trim(x) and seen[r[3], trim(x)] >= 5 and 20 * seen[r[3], trim(x)] > pages[r[3]]  # noqa: B023, E731
+        text = None if r[1] is None else "\n".join(x for x in r[1].split("\n") if not gone(x))
+        out.append((r[0], text, *r[2:4], None if text is None else len(text)))
+    return out
+
+
+def _plain_near(rows):
+    sets = []
+    for r in rows:
+        w = words((r[1] or "").translate(near._LOWERED))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    group = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and group[i] != group[j]:
+            group = [group[i] if g == group[j] else g for g in group]
+    first = {}
+    for i, (g, s) in enumerate(zip(group, sets)):
+        key = (rows[i][0] is None, rows[i][0]) if s else (i,)
+        if (g if s else ("blank", i)) not in first or key < first[g if s else ("blank", i)][0]:
+            first[g if s else ("blank", i)] = (key, rows[i])
+    return [r for _, r in first.values()]
+
+
+def _plain_mix(rows):
+    size, total = [len(words(r[1])) for r in rows], sum(len(words(r[1])) for r in rows)
+    order = sorted({r[3] for r in rows}, key=lambda s: (s is None, s or ""))
+    own = {s: sum(n for n, r in zip(size, rows) if r[3] == s) for s in order}
+    weight, filled = {s: i % 3 + 1 for i, s in enumerate(order)}, set()
+    while True:
+        # Sources that their share would fill get all of their epochs, the others what is left.
+        rest, open_weight = total - sum(3 * own[s] for s in filled), sum(weight[s] for s in order if s not in filled)
+        more = {s for s in order if s not in filled and 3 * own[s] * open_weight <= weight[s] * rest}
+        if not more:
+            break
+        filled |= more
+    target = {s: float(3 * own[s]) if s in filled else weight[s] * rest / open_weight for s in order}
+    copies, so_far = [], Counter()
+    md5 = lambda r: hashlib.md5(f"mix{'-' if r[0] is None else r[0]}".encode()).hexdigest()
+    for n, r in sorted(zip(size, rows), key=lambda x: (md5(x[1]), x[0])):
+        so_far[r[3]] += n
+        copies += [((so_far[r[3]] + e * own[r[3]]) / target[r[3]], order.index(r[3]), e, md5(r), n, r) for e in range(3) if n]
+    spent, out = 0, []
+    for *_, n, r in sorted(copies, key=lambda x: x[:5]):
+        spent += n
+        if spent > total:
+            break
+        out.append(r)
+    return out
+
+
+def test_pipeline_against_plain_python(spark, sf_dir):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = list(map(tuple, spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()))
+    page = lambda i: "Top of the page\n" + prose(700 + i, 70, 10**5) + "\n  Top of the page "
+    rows += [(9000 + i, page(i), "en", "small" if i % 2 else None, None) for i in range(14)]
+    long = prose(800, 6000, 10**5)
+    rows += [(9100, long, "en", "long", 1), (9101, long + " end", "en", "long", 1), rows[0], (None, prose(801, 90), None, "small", 1), (None, None, None, None, None), (9102, "", "en", None, 0)]
+    docs = spark.createDataFrame(rows, schema)
+    for (name, stage), plain in zip(corpus_pipeline.STAGES, (_plain_quality, _plain_lines, _plain_near, _plain_mix)):
+        before, rows = len(rows), plain(rows)
+        docs = corpus_pipeline.cut_lineage(stage(spark, docs, sf_dir))
+        assert Counter(map(tuple, docs.collect())) == Counter(rows), name
+        assert len(rows) < before or name in ("line_dedup", "source_mix")
+    assert max(Counter(rows).values()) > 1
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    enc, want = packing.encoder(packing.TOKENIZER, False).tokenizer, Counter()
+    for r, n in Counter(rows).items():
+        ids = np.array(enc.encode(r[1] or "", add_special_tokens=False).ids + [packing.END_ID], "<u4")
+        for at in range(0, len(ids), 4096):
+            raw = ids[at : at + 4096].tobytes()
+            want.update((r[0], copy, at // 4096, at, len(raw) // 4, zlib.crc32(raw), raw) for copy in range(1, n + 1))
+    assert Counter((r.doc_id, r["copy"], r.piece, r.start, r.length, r.ids_crc32, bytes(r.ids)) for r in got) == want
+    assert len({(r.doc_id, r["copy"], r.piece) for r in got if r.doc_id is not None}) == sum(r.doc_id is not None for r in got)
+    # Best-fit decreasing, one piece after another, gives sequences of the same lengths.
+    plain = []
+    for n in sorted((x[4] for x in want.elements()), reverse=True):
+        fits = [b for b in plain if sum(b) + n <= 4096]
+        max(fits, key=sum).append(n) if fits else plain.append([n])
+    bins = defaultdict(list)
+    for r in sorted(got, key=lambda r: r.offset):
+        assert r.offset == sum(bins[r.sequence_id])
+        bins[r.sequence_id].append(r.length)
+    assert sorted(map(sum, bins.values())) == sorted(map(sum, plain))
+
+
 @pytest.mark.parametrize("name, spaces", [(packing.TOKENIZER, False), (tokenfile.TOKENIZER, True)])
 def test_encoder_equals_whole_texts(name, spaces):
     odd = ["", None, "  ", "\n\n", " a", "a ", "a\n\n  b\t\tc  ", "don't I'LL 12abc!!  x²y Ⱥ ÀÉ İ", "日本 語", "龍 a", "<|endoftext|> a", "x" * 5000, "\r\n a\r\nb", "a\x0bb\x0cc", "1 2 ½ ¼x", "a\n b\n  c"]
