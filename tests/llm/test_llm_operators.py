@@ -301,6 +301,13 @@ def test_near_duplicates(spark, docs, rows, empty, monkeypatch):
     assert near.near_duplicates(empty).count() == 0
 
 
+def test_leaders_without_a_sort_of_the_group(spark):
+    rows = [(1, v) for v in (5, 3, 9, 3, 5)] + [(2, 7), (2, 7), (3, -1), (3, 4)]
+    led = near._to_leader(spark.createDataFrame(rows, "sig long, v long"))
+    assert "Window" not in led._jdf.queryExecution().toString()
+    assert sorted(map(tuple, led.collect())) == [(1, 5, 3), (1, 9, 3), (3, 4, -1)]
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(5)
     none = np.zeros(0, np.uint64)
