@@ -145,4 +145,23 @@ def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
     return run
 
 
-__all__ = ["QUERIES", "SQL", "WORD", "Words", "cut_lineage", "fresh_name", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]
+def by_bytes(fn: Callable[[pd.DataFrame], pd.DataFrame], size: int = 1 << 22):
+    """For ``mapInPandas``: hand ``fn`` rows whose texts hold about ``size`` characters
+    together; a longer text comes alone."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ends = np.cumsum([len(t) + 64 if t else 64 for t in frame["text"]])
+            at = 0
+            while at < len(frame):
+                done = ends[at - 1] if at else 0
+                to = max(int(np.searchsorted(ends, done + size, side="right")), at + 1)
+                out = fn(frame.iloc[at:to])
+                if len(out):
+                    yield out
+                at = to
+
+    return run
+
+
+__all__ = ["QUERIES", "SQL", "WORD", "Words", "by_bytes", "cut_lineage", "fresh_name", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]
