@@ -291,11 +291,11 @@ def with_planted_period(doc_id: Column, text: Column) -> Column:
     g = F.floor(h / 10)
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     n = F.size(words)
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    # Nothing is worked out for the other rows: only this branch reads the words.
-    repeated = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")))
-    return F.when((h % 10 == 0) & F.regexp_like(text, F.lit(WORD)), F.concat_ws(" ", repeated)).otherwise(text)
+    a = F.pmod(g, n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    changed = F.slice(F.concat(F.slice(words, F.lit(1), a), repeated), F.lit(1), n)
+    return F.when((h % 10 == 0) & F.regexp_like(text, F.lit(WORD)), F.concat_ws(" ", changed)).otherwise(text)
 
 
 @query("op13_periods")
