@@ -41,7 +41,7 @@ TRAIN_STRETCHES = 6_000
 OF_ONE = 4
 WINDOW, STRIDE, CONTEXT = 64, 32, 48
 HIDDEN = 20
-STEPS, BATCH = 260, 64
+STEPS, BATCH = 320, 64
 SURE = 0.8
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -96,12 +96,14 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-# Symbols: padding, other characters, letters beyond ASCII, white space, printable ASCII.
+# Symbols: padding, other characters, letters beyond ASCII, white space, printable ASCII
+# (all digits as one: which they are is left to the checks of a span).
 _SYMBOLS = 4 + 95
 
 
 def symbols(text: str) -> np.ndarray:
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    c = np.where((c >= 48) & (c <= 57), 48, c)
     out = np.where((c > 32) & (c < 127), c - 28, np.where(c >= 0xC0, 2, np.where((c == 32) | ((c >= 9) & (c <= 13)), 3, 1)))
     return out.astype(np.int64)
 
@@ -502,5 +504,6 @@ def op12(spark, sf_dir):
     found = personal_data(read(spark, sf_dir, "documents"))
     place = F.create_map(*[x for k, kind in enumerate(KINDS) for x in (F.lit(kind), F.lit(k))])
     both = F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), place[s["kind"]].alias("k"), s["end"].alias("end"), s["kind"].alias("kind")))
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, lambda k: k == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.array_sort(both)).alias("spans"), F.size("added").cast("long").alias("n_added"))
