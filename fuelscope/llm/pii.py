@@ -14,9 +14,10 @@ All kinds need a digit, an @ or a bracketed "at", so only characters within ``CO
 of one can be in an added span; those stretches are covered by overlapping windows of
 ``WINDOW`` characters. Each window is decoded by itself into marginals; the marginals are
 averaged, a window weighing less towards its edges, and one Viterbi pass over the whole
-stretch settles the tags, so that no window edge cuts a span. An added span must be
-sure (``SURE``), stand free, touch no base span and be well formed for its kind (number of
-digits, Luhn sum, parts at most 255).
+stretch settles the tags, so that no window edge cuts a span. A tagged span is moved to
+the edges of its word or number (``tagged``). An added span must be sure (``SURE``), stand
+free, touch no base span and be well formed for its kind (number of digits, Luhn sum,
+parts at most 255).
 
 Only text enters a prediction, and texts are read whole: the patterns take time in
 proportion to a text's length, also on one long run of digits. Null texts count as
@@ -308,14 +309,32 @@ def well_formed(text: str, kind: int) -> bool:
     return _is_phone(text) and len(groups) > 2 and len(groups[-1]) >= 3 and not re.fullmatch(r"[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}.*", text)
 
 
-def _added(text: str, tags: np.ndarray, sure: np.ndarray, begin: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def tagged(text: str, tags: np.ndarray, begin: int) -> list[tuple[int, int, int, int, int]]:
+    """(start, kind, end) of the tags of a stretch that begins at ``begin``, each with its
+    place in ``tags``. A span ends where its word or number does, inside the stretch."""
     out = []
     for a in np.flatnonzero((tags > 0) & (tags % 2 == 1)).tolist():
         kind = (int(tags[a]) - 1) // 2
         b = a + 1
         while b < len(tags) and tags[b] == tags[a] + 1:
             b += 1
-        start, end = begin + a, begin + b
+        start, end, limit = begin + a, begin + b, begin + len(tags)
+        while start < end and not (text[start].isalnum() or text[start] in "+(_"):
+            start += 1
+        while start > begin and (_LOCAL.match(text, start - 1) if kind == 0 else text[start - 1].isalnum()):
+            start -= 1
+        while end > start and not text[end - 1].isalnum():
+            end -= 1
+        while end < limit and text[end].isalnum():
+            end += 1
+        if start < end:
+            out.append((start, kind, end, a, b))
+    return out
+
+
+def _added(text: str, tags: np.ndarray, sure: np.ndarray, begin: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    out = []
+    for start, kind, end, a, b in tagged(text, tags, begin):
         free = not (start and text[start - 1].isalnum()) and not (end < len(text) and text[end].isalnum())
         if free and sure[a:b].mean() >= SURE and not any(x < end and start < y for x, _, y in base) and well_formed(text[start:end], kind):
             out.append((start, kind, end))

@@ -288,20 +288,23 @@ def net(spark):
     return pii.trained(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
 
 
-def test_tagger_on_texts_it_has_not_seen(spark, net):
-    """Alone, without the patterns, it tags nearly all base spans of other documents."""
-    seen = {t for t, _ in pii.training_stretches(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))}
-    fresh = [s for s in pii.training_stretches(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")) if s[0] not in seen and s[1]][:300]
-    hit = total = 0
+def test_tagger_on_texts_it_has_not_seen(spark):
+    """Alone, without the patterns, it finds nearly all base spans of other documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    net = pii.trained(docs.where("doc_id % 2 = 0"))
+    seen = {t for t, _ in pii.training_stretches(docs.where("doc_id % 2 = 0"))}
+    fresh = [s for s in pii.training_stretches(docs.where("doc_id % 2 = 1")) if s[0] not in seen and s[1]]
+    hit, total = Counter(), Counter()
     for text, spans in fresh:
         starts = pii.window_starts(0, len(text))
         x = np.zeros(starts[-1] + pii.WINDOW + pii.STRIDE, np.int64)
         x[pii.STRIDE : pii.STRIDE + len(text)] = pii.symbols(text)
         m = net.window_marginals(np.array([x[s + pii.STRIDE : s + pii.STRIDE + pii.WINDOW] for s in starts]))
-        tags, _ = pii.reconciled(m, starts, 0, len(text))
-        total += len(spans)
-        hit += sum(bool((tags[a:b] == pii.tags_of(len(text), [(a, k, b)])[a:b]).all()) for a, k, b in spans)
-    assert total > 100 and hit / total >= 0.85
+        found = {s[:3] for s in pii.tagged(text, pii.reconciled(m, starts, 0, len(text))[0], 0)}
+        total.update(k for _, k, _ in spans)
+        hit.update(k for a, k, b in spans if (a, k, b) in found)
+    print(hit, total)
+    assert min(total.values()) > 20 and sum(hit.values()) >= 0.9 * sum(total.values())
 
 
 def test_added_spans(net):
