@@ -145,13 +145,13 @@ def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
     return run
 
 
-def by_bytes(fn: Callable[[pd.DataFrame], pd.DataFrame], size: int = 1 << 22):
+def by_bytes(fn: Callable[[pd.DataFrame], pd.DataFrame], size: int = 1 << 22, column: str = "text"):
     """For ``mapInPandas``: hand ``fn`` rows whose texts hold about ``size`` characters
     together; a longer text comes alone."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ends = np.cumsum([len(t) + 64 if t else 64 for t in frame["text"]])
+            ends = np.cumsum([len(t) + 64 if t else 64 for t in frame[column]])
             at = 0
             while at < len(frame):
                 done = ends[at - 1] if at else 0

@@ -21,15 +21,19 @@ of copies) form parts of their own, last in the order, so that texts meet by wha
 rare in them first.
 
 Sets travel as fingerprints, so equal sets are one vertex. Vertices with a signature
-in common are compared with the smallest of them, the leader. Those linked with it are
-its ball. A vertex outside differs from a ball member at least by its difference from
-the leader less the member's, so most are clear of the whole ball at once; the unclear
-ones are compared with the members in question. What remains outside of the ball goes
-on without it. While it is of at most ``PAIR_COMPONENTS`` components, their members are
-compared across, but for those that the distance between the components' roots keeps
-apart; beyond, it gets a new leader if the ball took a good part, or signs anew under
-another seed, keeping only who shares the old and a new signature. Groups whose remainder is in
-one component are settled. No pair is lost, and no large group is paired within itself.
+in common are compared with one of them, the leader. Those linked with it are its ball.
+A vertex outside differs from a ball member at least by its difference from the leader
+less the member's, so most are clear of the whole ball at once. What may still be linked,
+those outside with each other and the unclear ones with the ball, is compared in blocks
+(``BLOCK_SETS``): a task gets two blocks, counts all shared features at once and returns
+only links that join what was not joined, so no group's pairs are ever rows. Signatures
+of one leader are handled together. Is the remainder of more than ``BLOCKS`` blocks, it gets
+a new leader if the ball took a good part, or signs anew under another seed, keeping only
+who shares the old and a new signature; that repeats until it is smaller. Either way
+every pair with a common signature is compared or excluded by its bound.
+
+Signatures travel once. Those that a sample shows to be frequent have a leader named
+beforehand and are dealt by vertex, so no task holds a large group of them.
 
 Null and empty texts have no shingle and no link. Fewer than five words make one
 shingle. Repeated rows share a component. Only doc_id and text are read; a null
@@ -40,20 +44,24 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import broadcast_if_small, cut_lineage
-from .common import hashed_words, in_batches, mix64, n_words, query, read
+from .common import by_bytes, hashed_words, mix64, n_words, query, read
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 80, 100
-PAIR_COMPONENTS = 1_024
+# Sets and features of a block that is compared whole, and blocks of a remainder at most.
+BLOCK_SETS, BLOCK_FEATURES = 512, 1 << 20
+BLOCKS = 64
 # Windows from this size on use parts of several features.
 COARSE_FROM = 150
-# Documents looked at for frequent features, about, and features taken at most.
-SAMPLE_ROWS = 32_768
+# Documents looked at for frequent features and signatures, and how many are taken at
+# most. A signature is taken as frequent if as many sets of the sample have it.
+SAMPLE_ROWS = 8_192
 FREQUENT = 500_000
+HOT = 8
 _FACTORS = mix64(np.arange(1, WORDS + 1))
 
 
@@ -172,29 +180,38 @@ def vertices(docs: DataFrame) -> DataFrame:
         features, begins = shingles(frame["text"])
         return pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "h": frame["h"], "n_shingles": np.diff(begins), "v": fingerprints(features, begins)})
 
-    out = _texts(docs).withColumn("h", F.xxhash64("text")).mapInPandas(in_batches(measured), "doc_id long, h long, n_shingles long, v long")
+    out = _texts(docs).withColumn("h", F.xxhash64("text")).mapInPandas(by_bytes(measured), "doc_id long, h long, n_shingles long, v long")
     return out.withColumn("v", F.when(F.col("n_shingles") > 0, F.col("v")))
 
 
-def frequent_features(docs: DataFrame, rows: int = SAMPLE_ROWS, most: int = FREQUENT) -> np.ndarray:
+def _sample(docs: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` documents at most, by hash of the row."""
+    share = F.lit(max(-(-docs.count() // rows), 1))
+    return _texts(docs).where(F.pmod(F.xxhash64("doc_id", "text"), share) == 0).select("text")
+
+
+def frequent_features(some: DataFrame, most: int = FREQUENT) -> np.ndarray:
     """Features that occur often in a sample, at most ``most``. They only order the parts:
     any choice gives the same links, a good one fewer chance meetings."""
 
     def exploded(frame: pd.DataFrame) -> pd.DataFrame:
         features, _ = shingles(frame["text"])
-        return pd.DataFrame({"f": features.view(np.int64)})
+        # What a batch has once or more often is counted before it travels.
+        f, n = np.unique(features, return_counts=True)
+        return pd.DataFrame({"f": f.view(np.int64), "n": n})
 
-    share = F.lit(max(docs.count() // rows, 1))
-    some = _texts(docs).where(F.pmod(F.xxhash64("doc_id"), share) == 0).select("text").mapInPandas(in_batches(exploded), "f long")
-    top = some.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 2").orderBy(F.desc("n"), "f").limit(most)
+    counted = some.mapInPandas(by_bytes(exploded), "f long, n long")
+    top = counted.groupBy("f").agg(F.sum("n").alias("n")).where("n > 2").orderBy(F.desc("n"), "f").limit(most)
     return np.sort(top.toPandas()["f"].to_numpy(np.int64).view(np.uint64))
 
 
-def signed(docs: DataFrame, frequent) -> DataFrame:
-    """(sig, v) of all documents; a task signs equal sets once."""
+def _signer(frequent, hot=None):
+    """For ``mapInPandas``: (sig, v, hot) of texts; a task signs equal sets once. ``hot`` is
+    a signature's place among those of ``hot``, or -1."""
 
     def sign(frames):
         seen: set[int] = set()
+        known = hot.value[0] if hot else np.zeros(0, np.int64)
 
         def some(frame: pd.DataFrame) -> pd.DataFrame:
             features, begins = shingles(frame["text"])
@@ -203,11 +220,58 @@ def signed(docs: DataFrame, frequent) -> DataFrame:
             size = np.diff(begins)
             begins = np.concatenate([[0], np.cumsum(size * fresh)])
             sig, of = signatures(features[np.repeat(fresh, size)], begins, frequent.value)
-            return pd.DataFrame({"sig": sig.view(np.int64), "v": v[of]})
-
-        yield from in_batches(some)(frames)
-
-    return _texts(docs).select("text").mapInPandas(sign, "sig long, v long")
+            sig = sig.view(np.int64)
+            place = np.searchsorted(known, sig)
+            there = known[np.minimum(place, len(known) - 1)] == sig if len(known) else np.zeros(len(sig), bool)
+            return pd.DataFrame({"sig": sig, "v": v[of], "hot": np.where(there, place, -1).astype(np.int32)})
+
+        yield from by_bytes(some)(frames)
+
+    return sign
+
+
+_SIGNED = "sig long, v long, hot int"
+
+
+def hot_signatures(some: DataFrame, frequent, often: int = HOT, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures that ``often`` sets of a sample have (ascending, at most ``most``), and
+    their leaders: of those sets the one with most signatures."""
+    rows = some.mapInPandas(_signer(frequent), _SIGNED).select("sig", "v").distinct()
+    rows = cut_lineage(rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where(F.col("n") >= often))
+    weight = rows.groupBy(F.col("v").alias("of")).agg(F.count(F.lit(1)).alias("weight"))
+    led = rows.join(weight, F.col("v") == F.col("of")).groupBy("sig").agg(F.max("n").alias("n"), F.max(F.struct("weight", "v")).alias("first"))
+    top = led.orderBy(F.desc("n"), "sig").limit(most).select("sig", F.col("first.v").alias("v")).toPandas().sort_values("sig")
+    return top["sig"].to_numpy(np.int64), top["v"].to_numpy(np.int64)
+
+
+def led_rows(docs: DataFrame, frequent, hot) -> DataFrame:
+    """(sig, v, leader) of all vertices that share a signature with another one. Each
+    signature travels once. Frequent ones know their leader beforehand and are spread by
+    vertex; of the others the smallest vertex leads, met first in the order of the sort."""
+
+    def follow(frames):
+        leaders = hot.value[1]
+        last = None
+        for frame in frames:
+            sig, v, at = (frame[c].to_numpy() for c in ("sig", "v", "hot"))
+            if not len(sig):
+                continue
+            same = np.concatenate([[last is not None and last[0] == sig[0]], sig[1:] == sig[:-1]])
+            twice = same & np.concatenate([[last is not None and last[1] == v[0]], v[1:] == v[:-1]])
+            # The first of each signature, or the one that a batch before began with.
+            begins = np.maximum.accumulate(np.where(same, -1, np.arange(len(sig))))
+            leader = np.where(begins >= 0, v[np.maximum(begins, 0)], last[2] if last else 0)
+            if len(leaders):
+                leader = np.where(at >= 0, leaders[np.maximum(at, 0)], leader)
+            last = (sig[-1], v[-1], leader[-1])
+            keep = np.flatnonzero((v != leader) & ~twice)
+            if len(keep):
+                yield pd.DataFrame({"sig": sig[keep], "v": v[keep], "leader": leader[keep]})
+
+    rows = _texts(docs).select("text").mapInPandas(_signer(frequent, hot), _SIGNED)
+    # An explicit number would stand in the way of adaptive execution.
+    dealt = rows.repartition(F.when(F.col("hot") < 0, F.col("sig")).otherwise(F.col("v"))).sortWithinPartitions("sig", "v")
+    return dealt.mapInPandas(follow, "sig long, v long, leader long")
 
 
 def feature_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -222,7 +286,7 @@ def feature_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = _texts(docs).withColumnRenamed("doc_id", "other")
     joined = texts.join(broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("other"))).select("v", "text")
-    sets = cut_lineage(joined.mapInPandas(in_batches(found), "v long, features binary, sketch binary"))
+    sets = cut_lineage(joined.mapInPandas(by_bytes(found), "v long, features binary, sketch binary"))
     # Only repeated rows give a vertex twice; without them no set travels again.
     twice = sets.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
     return cut_lineage(sets.dropDuplicates(["v"])) if twice else sets
@@ -315,8 +379,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = cut_lineage(vertices(docs))
     ids = own.where("v is not null").groupBy("v").agg(F.min("doc_id").alias("doc_id"))
 
-    frequent = spark.sparkContext.broadcast(frequent_features(docs))
-    led = cut_lineage(_to_leader(signed(docs, frequent)))
+    some = cut_lineage(_sample(docs, SAMPLE_ROWS))
+    frequent = spark.sparkContext.broadcast(frequent_features(some))
+    hot = spark.sparkContext.broadcast(hot_signatures(some, frequent, HOT))
+    led = cut_lineage(led_rows(docs, frequent, hot))
     members = led.select("v").union(led.select("leader")).distinct()
     sets = feature_sets(docs, members.join(ids, "v"))
     edges, seed = None, 0
@@ -325,8 +391,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         new = found.where("linked").select("a", "b")
         edges = new if edges is None else edges.union(new)
         roots = components(spark, edges)
-        direct, led = _next_round(led, found, roots, sets, frequent, seed + 1)
-        more = measured(direct, sets).where("linked").select("a", "b")
+        more, led = _next_round(led, found, roots, sets, frequent, seed + 1)
         seed += 1
         edges = edges.union(more)
         if not led.limit(1).count():
@@ -338,49 +403,107 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"), "h", F.coalesce("first.h", "h").alias("component_h"))
 
 
+def links_between(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
+    """Which sets of ``a`` (rows) link with which of ``b``, or with others of ``a``."""
+    both = a if b is None else a + b
+    size = np.array([len(x) for x in both])
+    flat = np.concatenate(both)
+    owner = np.repeat(np.arange(len(both)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.concatenate([[True], flat[1:] != flat[:-1]])
+    column = np.cumsum(new) - 1
+    left = owner < len(a)
+    # Only features on both sides count.
+    ours = np.bincount(column, weights=left)
+    theirs = ours - 1 if b is None else np.bincount(column, weights=~left)
+    keep = ((ours > 0) & (theirs > 0))[column]
+    column, owner = np.unique(column[keep], return_inverse=True)[1], owner[keep]
+    shared = np.zeros((len(a), len(both) - (0 if b is None else len(a))), np.float32)
+    step = max((1 << 24) // max(len(both), 1), 1)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        lo, hi = np.searchsorted(column, [at, at + step])
+        grid = np.zeros((len(both), min(step, int(column[-1]) + 1 - at)), np.float32)
+        grid[owner[lo:hi], column[lo:hi] - at] = 1
+        shared += grid[: len(a)] @ (grid if b is None else grid[len(a) :]).T
+    union = size[: len(a), None] + (size if b is None else size[len(a) :])[None, :] - shared
+    return DENOMINATOR * shared >= NUMERATOR * union
+
+
+def _compared(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links between the sides of two blocks: enough of them to join all that are linked
+    and were not joined yet."""
+    sets = [np.frombuffer(f, np.uint64) for f in frame["features"]]
+    side = frame["side"].to_numpy()
+    v, root = frame["v"].to_numpy(), frame["root"].to_numpy()
+    one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    none = pd.DataFrame({"a": v[:0], "b": v[:0]})
+    if not len(one) or not (len(two) or (frame["i"].iloc[0] == frame["j"].iloc[0] and not frame["ball"].iloc[0])):
+        return none
+    linked = links_between([sets[k] for k in one], [sets[k] for k in two] if len(two) else None)
+    parent: dict[int, int] = {}
+
+    def top(x):
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    out = []
+    other = two if len(two) else one
+    for p, q in zip(*np.nonzero(linked)):
+        x, y = top(root[one[p]]), top(root[other[q]])
+        if x != y:
+            parent[x] = y
+            out.append((v[one[p]], v[other[q]]))
+    return pd.DataFrame(out, columns=["a", "b"]) if out else none
+
+
 def _next_round(led: DataFrame, found: DataFrame, roots: DataFrame, sets: DataFrame, frequent, seed: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare directly, and the (sig, v, leader) that go on."""
+    """New links, and the (sig, v, leader) that go on."""
     root = lambda v: roots.select(F.col("v").alias(v), F.col("root").alias(f"root_{v}"))
-    facts = led.join(found.select(F.col("a").alias("leader"), F.col("b").alias("v"), "na", "nb", "delta", "linked"), ["leader", "v"])
+    facts = found.select(F.col("a").alias("leader"), F.col("b").alias("v"), "nb", "delta", "linked")
     facts = facts.join(root("v"), "v", "left").join(root("leader"), "leader", "left")
     facts = cut_lineage(facts.withColumn("root_v", F.coalesce("root_v", "v")).withColumn("root_leader", F.coalesce("root_leader", "leader")))
     outside = F.when(~F.col("linked"), F.col("root_v"))
-    stats = facts.groupBy("sig").agg(
+    blocks = lambda side: F.greatest(F.ceil(F.count_if(side) / BLOCK_SETS), F.ceil(F.sum(F.when(side, F.col("nb"))) / BLOCK_FEATURES), F.lit(1)).cast("int")
+    stats = facts.groupBy(F.col("leader").alias("of")).agg(
         F.count_if("linked").alias("ball"),
         F.count_if(~F.col("linked")).alias("rest"),
         F.max(F.when(F.col("linked"), F.col("delta"))).alias("far"),
         F.max(F.when(F.col("linked"), F.col("nb"))).alias("widest"),
         F.min(outside).alias("lo"),
         F.max(outside).alias("hi"),
+        blocks(F.col("linked")).alias("ball_blocks"),
+        blocks(~F.col("linked")).alias("rest_blocks"),
     )
-    rest = cut_lineage(facts.where("not linked").join(stats.where("rest > 0"), "sig"))
+    rows = cut_lineage(facts.join(stats.where("rest > 0"), F.col("leader") == F.col("of")).drop("of"))
     # Outside, but not surely clear of the ball. The leader itself has been compared.
-    unclear = rest.where((F.col("root_v") != F.col("root_leader")) & (F.col("delta") <= F.col("far") + _allowed(F.col("nb"), F.col("widest"))))
-    ball = facts.where("linked").select("sig", F.col("v").alias("b"), F.col("nb").alias("n_b"), F.col("delta").alias("to_b"))
-    near = unclear.join(ball, "sig").where(F.col("delta") <= F.col("to_b") + _allowed(F.col("nb"), F.col("n_b"))).select(F.col("v").alias("a"), "b")
-    # Among each other, where they are of more than one component. Many signatures have
-    # the same few components, so pairs of components are told apart first.
-    open_rest = cut_lineage(rest.where("rest > 1 and lo <> hi").select("sig", "v", F.col("nb").alias("n"), F.col("root_v").alias("root"), "ball", "rest"))
-    kinds = open_rest.select("sig", "root").distinct()
-    few = kinds.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("root")).alias("x"), F.bit_xor(F.xxhash64("root", F.lit(1))).alias("y")).where(F.col("m") <= PAIR_COMPONENTS)
-    few = cut_lineage(few)
-    # Of signatures with the same components one is enough.
-    kinds = kinds.join(few.groupBy("m", "x", "y").agg(F.min("sig").alias("sig")).select("sig"), "sig")
-    few = few.select("sig")
-    sides = kinds.select("sig", F.col("root").alias("a")).join(kinds.select("sig", F.col("root").alias("b")), "sig").where("a < b").select("a", "b").distinct()
-    sides = measured(sides, sets).select(F.col("a").alias("root_a"), F.col("b").alias("root_b"), F.col("delta").alias("between"))
-    some = cut_lineage(open_rest.join(few, "sig", "left_semi").select("root", "v", "n").distinct())
-    span = measured(some.where("root <> v").select(F.col("root").alias("a"), F.col("v").alias("b")), sets)
-    # From a root to its members the difference is needed from above: exact, or all.
-    some = some.join(span.select(F.col("b").alias("v"), F.when(F.col("linked"), F.col("delta")).otherwise(F.col("na") + F.col("nb")).alias("to_root")), "v", "left").withColumn("to_root", F.when(F.col("root") == F.col("v"), 0).otherwise(F.col("to_root")))
-    side = lambda x: some.select(F.col("root").alias(f"root_{x}"), F.col("v").alias(x), F.col("n").alias(f"n_{x}"), F.col("to_root").alias(f"to_{x}"))
-    fits = DENOMINATOR * F.least("n_a", "n_b") >= NUMERATOR * F.greatest("n_a", "n_b")
-    within = F.col("between") - F.col("to_a") - F.col("to_b") <= _allowed(F.col("n_a"), F.col("n_b"))
-    cross = sides.join(side("a"), "root_a").join(side("b"), "root_b").where(fits & within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    large = open_rest.join(few, "sig", "left_anti")
+    unclear = ~F.col("linked") & (F.col("root_v") != F.col("root_leader")) & (F.col("delta") <= F.col("far") + _allowed(F.col("nb"), F.col("widest")))
+    rows = rows.withColumn("unclear", F.coalesce(unclear, F.lit(False)))
+    many = (F.col("lo") != F.col("hi")) & (F.col("rest_blocks") > BLOCKS)
+    among = rows.where(~F.col("linked") & (F.col("lo") != F.col("hi")) & (F.col("rest_blocks") <= BLOCKS))
+    place = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["leader", "ball", "i", "j", "side", "v", "root"]
+    mine = among.select("leader", F.lit(False).alias("ball"), place("rest_blocks").alias("own"), every("rest_blocks").alias("k"), "v", F.col("root_v").alias("root"))
+    mine = mine.withColumn("i", F.least("own", "k")).withColumn("j", F.greatest("own", "k")).withColumn("side", (F.col("own") > F.col("k")).cast("int")).select(*columns)
+    # Only balls that something outside may touch.
+    touched = rows.where("unclear").select(F.col("leader").alias("of")).distinct()
+    ball = rows.where("linked").join(touched, F.col("leader") == F.col("of"), "left_semi")
+    near = rows.where("unclear").select("leader", F.lit(True).alias("ball"), place("rest_blocks").alias("i"), every("ball_blocks").alias("j"), F.lit(0).alias("side"), "v", F.col("root_v").alias("root"))
+    near = near.union(ball.select("leader", F.lit(True).alias("ball"), every("rest_blocks").alias("i"), place("ball_blocks").alias("j"), F.lit(1).alias("side"), "v", F.col("root_v").alias("root")))
+    held = sets.select(F.col("v").alias("of"), "features")
+    pairs = mine.union(near.select(*columns)).join(held, F.col("v") == F.col("of")).drop("of")
+    links = cut_lineage(pairs.groupBy("leader", "ball", "i", "j").applyInPandas(_compared, "a long, b long"))
+    # Remainders of too many blocks get another leader, or other signatures.
+    large = rows.where(many & ~F.col("linked")).select(F.col("leader").alias("of"), F.col("v").alias("out"), "ball", "rest")
+    large = led.join(large, (F.col("leader") == F.col("of")) & (F.col("v") == F.col("out"))).select("sig", "v", "ball", "rest")
+    large = cut_lineage(large)
+    if not large.limit(1).count():
+        return links, large.select("sig", "v", F.col("v").alias("leader"))
     again = large.where(F.col("ball") * 8 >= F.col("rest")).select("sig", "v")
     signed_again = _signed_again(large.where(F.col("ball") * 8 < F.col("rest")).select("sig", "v"), sets, frequent, seed)
-    return cut_lineage(near.union(cross).distinct()), cut_lineage(_to_leader(again.union(signed_again)))
+    return links, cut_lineage(_to_leader(again.union(signed_again)))
 
 
 def _signed_again(rows: DataFrame, sets: DataFrame, frequent, seed: int) -> DataFrame:
@@ -391,7 +514,7 @@ def _signed_again(rows: DataFrame, sets: DataFrame, frequent, seed: int) -> Data
         sig, of = signatures(np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), frequent.value, seed)
         return pd.DataFrame({"other": frame["v"].to_numpy()[of], "new": sig.view(np.int64)})
 
-    signs = sets.join(rows.select("v").distinct(), "v", "left_semi").select("v", "features").mapInPandas(in_batches(again), "other long, new long")
+    signs = sets.join(rows.select("v").distinct(), "v", "left_semi").select("v", "features").mapInPandas(by_bytes(again, column="features"), "other long, new long")
     return rows.join(signs, F.col("v") == F.col("other")).select(F.xxhash64("sig", "new").alias("sig"), "v")
 
 

@@ -283,7 +283,8 @@ def _components(rows):
 near._LOWERED = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def test_near_duplicates(spark, docs, rows, empty, monkeypatch):
+@pytest.mark.parametrize("sets,blocks,hot", [(3, 64, 8), (2, 1, 2)])
+def test_near_duplicates(spark, docs, rows, empty, monkeypatch, sets, blocks, hot):
     # A family of edited copies that link in chains, so that leaders miss members.
     base, family = prose(50, 150, 10**6).split(), []
     for k in range(40):
@@ -291,7 +292,8 @@ def test_near_duplicates(spark, docs, rows, empty, monkeypatch):
         for j in range(0, min(k, 30)):
             w[(j * 7) % 150] = f"edit{j}"
         family.append((500 + k, " ".join(w), None, None, None, None, None, None, None))
-    monkeypatch.setattr(near, "PAIR_COMPONENTS", 3)
+    for name, value in (("BLOCK_SETS", sets), ("BLOCKS", blocks), ("HOT", hot)):
+        monkeypatch.setattr(near, name, value)
     every = rows + family
     table = spark.createDataFrame(every, SCHEMA)
     got = near.near_duplicates(table).select("doc_id", "n_shingles", "component_id").collect()
@@ -301,6 +303,17 @@ def test_near_duplicates(spark, docs, rows, empty, monkeypatch):
     assert near.near_duplicates(empty).count() == 0
 
 
+def test_links_between_blocks_equal_all_pairs():
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(40, 61)], rng.integers(0, 2**63, rng.integers(0, 9)).astype(np.uint64)])) for _ in range(40)] + [np.arange(3, dtype=np.uint64)]
+    similar = lambda x, y: 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))
+    got, n = near.links_between(sets, None), len(sets)
+    # A set with itself is no pair.
+    assert all(got[i, j] == similar(sets[i], sets[j]) for i in range(n) for j in range(n) if i != j)
+    assert near.links_between(sets[:9], sets[9:]).tolist() == [[similar(x, y) for y in sets[9:]] for x in sets[:9]]
+
+
 def test_leaders_without_a_sort_of_the_group(spark):
     rows = [(1, v) for v in (5, 3, 9, 3, 5)] + [(2, 7), (2, 7), (3, -1), (3, 4)]
     led = near._to_leader(spark.createDataFrame(rows, "sig long, v long"))
