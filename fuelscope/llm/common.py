@@ -131,37 +131,29 @@ def hashed_words(texts, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     return found.hashes, found.begins
 
 
-def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
-    """For ``mapInPandas``: hand ``fn`` at most ``rows`` rows at a time, so that
-    long texts stay few in memory."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), rows):
-                out = fn(frame.iloc[at : at + rows])
-                if len(out):
-                    yield out
-
-    return run
-
-
-def by_bytes(fn: Callable[[pd.DataFrame], pd.DataFrame], size: int = 1 << 22, column: str = "text"):
+def by_bytes(fn: Callable[[pd.DataFrame], pd.DataFrame], size: int = 1 << 22, column: str = "text", rows: int | None = None):
     """For ``mapInPandas``: hand ``fn`` rows whose texts hold about ``size`` characters
-    together; a longer text comes alone."""
+    together, at most ``rows`` of them; a longer text comes alone."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            ends = np.cumsum([len(t) + 64 if t else 64 for t in frame[column]])
+            ends = np.cumsum([len(t) + 64 if t is not None else 64 for t in frame[column]])
             at = 0
             while at < len(frame):
                 done = ends[at - 1] if at else 0
                 to = max(int(np.searchsorted(ends, done + size, side="right")), at + 1)
-                out = fn(frame.iloc[at:to])
+                out = fn(frame.iloc[at : to if rows is None else min(to, at + rows)])
+                at = to if rows is None else min(to, at + rows)
                 if len(out):
                     yield out
-                at = to
 
     return run
 
 
+def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
+    """For ``mapInPandas``: hand ``fn`` at most ``rows`` rows of bounded texts at a time, so
+    that long texts stay few in memory."""
+    return by_bytes(fn, rows=rows)
+
+
 __all__ = ["QUERIES", "SQL", "WORD", "Words", "by_bytes", "cut_lineage", "fresh_name", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]

@@ -72,7 +72,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3,
         docs["doc_id"].alias("doc_id"),
         docs["source"].alias("source"),
         n_words(docs["text"]).alias("size"),
-        F.md5(F.concat(F.lit(seed), F.coalesce(docs["doc_id"].cast("string"), F.lit("-")))).alias("h"),
+        # Rows without an id are told apart by their texts, so that they spread as others do.
+        F.md5(F.concat(F.lit(seed), F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("-"), F.md5(F.coalesce(docs["text"].cast("string"), F.lit(""))))))).alias("h"),
     )
     narrow = cut_lineage(rows.select("doc_id", "source", "size", "h"))
     sources = cut_lineage(targets(narrow, weights, epochs))
@@ -142,7 +143,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
 
 OP1_SQL = r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(concat('mix', coalesce(doc_id::VARCHAR, '-'))) AS h FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(concat('mix', coalesce(doc_id::VARCHAR, concat('-', md5(coalesce(text, '')))))) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
 w AS (SELECT *, (rank - 1) % 3 + 1 AS weight, source_size * 3 AS fill, sum(source_size) OVER ()::BIGINT AS total FROM s),
 c AS (SELECT *, sum(weight) OVER ()::BIGINT AS all_weight, coalesce(sum(fill) OVER p, 0)::BIGINT AS used, coalesce(sum(weight) OVER p, 0)::BIGINT AS gone

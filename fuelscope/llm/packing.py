@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import in_batches, query, read
+from .common import fresh_name, in_batches, query, read
 from .tokenize import encoder
 
 CAPACITY = 4096
@@ -103,37 +103,40 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS, part_pieces: int = PART_PIECES) -> DataFrame:
-    """``items`` (with a column length of 1..capacity) plus sequence_id and offset."""
-    columns = items.columns
+    """``items`` (with a column length of 1..capacity) plus sequence_id and offset, which
+    replace columns of these names; other columns pass through, whatever their names."""
+    columns = [c for c in items.columns if c.lower() not in ("sequence_id", "offset")]
+    items = items.select(*columns)
+    at, bin_, fill_, gap, part_ = (fresh_name(items, c) for c in ("_at", "_bin", "_fill", "_gap", "_part"))
     # Written, so that the row numbers hold when a task runs again.
-    items = cut_lineage(items.withColumn("_at", F.monotonically_increasing_id()))
-    whole = items.where(F.col("length") == capacity).select(*columns, F.col("_at").bitwiseOR(F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    items = cut_lineage(items.withColumn(at, F.monotonically_increasing_id()))
+    whole = items.where(F.col("length") == capacity).select(*columns, F.col(at).bitwiseOR(F.lit(1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     todo, done, before = items.where(F.col("length") < capacity), [whole], None
-    schema = f"{todo._jdf.schema().toDDL()}, _bin long, offset long, _fill long, _gap long, _part long"
+    schema = f"{todo._jdf.schema().toDDL()}, {bin_} long, offset long, {fill_} long, {gap} long, {part_} long"
 
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "_at"], ascending=[False, True], ignore_index=True)
+        frame = frame.sort_values(["length", at], ascending=[False, True], ignore_index=True)
         lengths = frame["length"].to_numpy(np.int64)
         bin_of, offset, fill = best_fit(lengths, capacity)
-        return frame.assign(_bin=bin_of, offset=offset, _fill=fill[bin_of], _gap=len(fill) - lower_bound(lengths, capacity))
+        return frame.assign(**{bin_: bin_of, "offset": offset, fill_: fill[bin_of], gap: len(fill) - lower_bound(lengths, capacity)})
 
     for r in range(rounds):
         n = todo.count()
         if not n:
             break
         parts = -(-n // part_pieces)
-        dealt = todo.withColumn("_part", F.pmod(F.xxhash64("_at", F.lit(r)), F.lit(parts)))
-        out = cut_lineage(dealt.groupBy("_part").applyInPandas(packed, schema))
-        sequence = (F.lit(r << 56).cast("long").bitwiseOR(F.shiftleft(F.col("_part"), 28))).bitwiseOR(F.col("_bin"))
+        dealt = todo.withColumn(part_, F.pmod(F.xxhash64(at, F.lit(r)), F.lit(parts)))
+        out = cut_lineage(dealt.groupBy(part_).applyInPandas(packed, schema))
+        sequence = (F.lit(r << 56).cast("long").bitwiseOR(F.shiftleft(F.col(part_), 28))).bitwiseOR(F.col(bin_))
         out = out.withColumn("sequence_id", sequence)
-        open_bins = out.where((F.col("_gap") > 0) & (F.col("_fill") < capacity))
-        left = open_bins.agg(F.countDistinct("sequence_id").alias("bins"), F.max("_gap").alias("gap")).first()
+        open_bins = out.where((F.col(gap) > 0) & (F.col(fill_) < capacity))
+        left = open_bins.agg(F.countDistinct("sequence_id").alias("bins"), F.max(gap).alias("gap")).first()
         final = r == rounds - 1 or parts == 1 or not left["bins"] or (before is not None and left["bins"] >= before)
-        held = out if final else out.where(~((F.col("_gap") > 0) & (F.col("_fill") < capacity)))
+        held = out if final else out.where(~((F.col(gap) > 0) & (F.col(fill_) < capacity)))
         done.append(held.select(*columns, "sequence_id", "offset"))
         if final:
             break
-        before, todo = left["bins"], open_bins.select(*columns, "_at")
+        before, todo = left["bins"], open_bins.select(*columns, at)
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)

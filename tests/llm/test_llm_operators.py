@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 import time
 import zlib
@@ -303,6 +304,35 @@ def test_near_duplicates(spark, docs, rows, empty, monkeypatch, sets, blocks, ho
     assert near.near_duplicates(empty).count() == 0
 
 
+def test_packing_beside_columns_of_the_same_names(spark):
+    names = ["_at", "_bin", "_fill", "_gap", "_part", "Offset", "sequence_id"]
+    rows = [(i, 1 + i * 37 % 4096, *range(7)) for i in range(300)]
+    got = packing.pack(spark.createDataFrame(rows, "id long, length long, " + ", ".join(f"{n} long" for n in names)))
+    assert got.columns == ["id", "length", *names[:5], "sequence_id", "offset"] and got.count() == 300
+    assert all(tuple(r)[:7] == rows[r.id][:7] for r in got.collect())
+    ends = got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+    assert all(r.n == r.end <= 4096 for r in ends)
+
+
+def test_batches_are_bounded_by_characters():
+    import pandas as pd
+
+    frame = pd.DataFrame({"text": ["x" * 3_000_000, None, "y" * 3_000_000, "z" * 9_000_000, "", "w"]})
+    sizes = []
+    for run in (common.in_batches(lambda f: sizes.append(f["text"].str.len().sum()) or f), common.by_bytes(lambda f: f)):
+        assert pd.concat(run([frame])).equals(frame)
+    assert sizes == [3_000_000, 3_000_000, 9_000_000, 1]
+
+
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None if i % 2 else i, "s", prose(i, 5 + i % 9, 10**6)) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    first, second = (sorted(map(str, mix.mix(t).collect())) for t in (table, table.repartition(5)))
+    assert first == second and len(first) == 400
+    h = F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.md5("text")))))
+    assert table.select(h).distinct().count() == 400
+
+
 def test_links_between_blocks_equal_all_pairs():
     rng = np.random.default_rng(11)
     base = rng.integers(0, 2**63, 60).astype(np.uint64)
@@ -354,7 +384,7 @@ def test_top_k(spark):
 
 
 def test_boilerplate_lines(docs, rows, empty):
-    got = lines.drop_boilerplate(docs, ratio=0.2, min_pages=3)
+    got = lines.drop_boilerplate(docs)
     assert got.columns == [*docs.columns, "n_dropped"] and got.count() == len(rows)
     by = {r.doc_id: r for r in got.collect()}
     assert all(by[i].n_dropped == 1 and "common line" not in by[i].text for i in range(15, 27))
@@ -362,6 +392,18 @@ def test_boilerplate_lines(docs, rows, empty):
     assert lines.drop_boilerplate(empty).count() == 0
 
 
+def test_boilerplate_of_small_and_large_hosts(spark):
+    """The fewest pages that make a line boilerplate, for hosts of one page and more."""
+    for total, least in ((1, None), (2, 2), (4, 3), (5, 3), (100, 11), (2000, 109)):
+        held = lambda n: [(i, ("again\n" if i < n else "") + f"page {i}\n" + "x" * 10, f"h{total}") for i in range(total)]  # noqa: E731, B023
+        for n in ([least - 1, least] if least else [1]):
+            got = lines.drop_boilerplate(spark.createDataFrame(held(n), "doc_id long, text string, source string"))
+            gone = got.where("n_dropped > 0 and text not like '%again%'").count()
+            rest = got.where("text like '%again%'").count()
+            # The line of x is on all pages.
+            assert (gone, rest) == ((total if total > 1 else 0, 0) if n == least else (total - n if total > 1 else 0, n))
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_same_as_sql(spark, sf_dir, name):
     con = duckdb.connect()
@@ -405,7 +447,7 @@ def _plain_lines(rows):
     for r in rows:
         seen.update({(r[3], trim(x)) for x in (r[1] or "").split("\n") if trim(x)})
     for r in rows:
-        gone = lambda x: trim(x) and seen[r[3], trim(x)] >= 5 and 20 * seen[r[3], trim(x)] > pages[r[3]]  # noqa: B023, E731
+        gone = lambda x: trim(x) and seen[r[3], trim(x)] > 1 + 0.05 * pages[r[3]] + 0.95 * math.log(pages[r[3]])  # noqa: B023, E731
         text = None if r[1] is None else "\n".join(x for x in r[1].split("\n") if not gone(x))
         out.append((r[0], text, *r[2:4], None if text is None else len(text)))
     return out
@@ -442,7 +484,7 @@ def _plain_mix(rows):
         filled |= more
     target = {s: float(3 * own[s]) if s in filled else weight[s] * rest / open_weight for s in order}
     copies, so_far = [], Counter()
-    md5 = lambda r: hashlib.md5(f"mix{'-' if r[0] is None else r[0]}".encode()).hexdigest()
+    md5 = lambda r: hashlib.md5(f"mix{'-' + hashlib.md5((r[1] or '').encode()).hexdigest() if r[0] is None else r[0]}".encode()).hexdigest()
     for n, r in sorted(zip(size, rows), key=lambda x: (md5(x[1]), x[0])):
         so_far[r[3]] += n
         copies += [((so_far[r[3]] + e * own[r[3]]) / target[r[3]], order.index(r[3]), e, md5(r), n, r) for e in range(3) if n]
