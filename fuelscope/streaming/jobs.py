@@ -1,8 +1,8 @@
 """Streaming ingest, screen and running aggregates.
 
-Each job, run to the end of its input, equals its batch twin. Rows later than the
-watermark are dropped and counted in the progress of the query; the batch form has
-no such rule.
+Each job, run to the end of its input, equals its batch twin if no row is later than the
+watermark. Such rows are an output of their own in the screen; elsewhere they are dropped
+and counted in the progress of the query. The batch form has no such rule.
 """
 
 from __future__ import annotations
@@ -50,28 +50,71 @@ def run_ingest(stream: DataFrame, folder: str, keys: list[str] = KEY, order: str
     return query
 
 
+# Held rows are looked at when the watermark passes the end of such a span.
+RELEASE_US = 86_400 * 1_000_000
+
+
 class Screen(StatefulProcessor):
-    """Last accepted price, the newest accepted price at least a week old, and the
-    accepted prices in between. The old one has no expiry: it stays a reference
-    until a newer one is a week old."""
+    """Rows wait until the watermark has passed them and are then judged in order of time
+    and tie, whatever the order of arrival. Kept: the last accepted price, the newest
+    accepted price at least a week old, the accepted prices in between, and the waiting
+    rows. The old price has no expiry: it stays a reference until a newer one is a week
+    old. Rows behind the watermark come out as late, not judged."""
 
-    def __init__(self, time: str, tie: str, limit: float):
-        self.time, self.tie, self.limit = time, tie, limit
+    def __init__(self, row: T.StructType, time: str, tie: str, limit: float):
+        self.row, self.time, self.tie, self.limit = row, time, tie, limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         number = T.StructType([T.StructField("t", T.LongType()), T.StructField("p", T.DoubleType())])
+        self.handle = handle
         self.week = handle.getValueState("week", number)
         self.recent = handle.getListState("recent", number)
+        self.waiting = handle.getListState("waiting", self.row)
+        self.earliest = handle.getValueState("earliest", T.StructType([T.StructField("t", T.LongType())]))
+
+    def _micros(self, frame: pd.DataFrame):
+        return frame[self.time].to_numpy("datetime64[us]").astype("int64")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values([self.time, self.tie])
-        times = pdf[self.time].to_numpy("datetime64[us]").astype("int64").tolist()
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        for pdf in rows:
+            pdf = pdf[self.row.names]
+            times = self._micros(pdf)
+            late = times < passed
+            if late.any():
+                yield pdf[late].assign(accepted=None, late=True)
+            if late.all():
+                continue
+            times, held = times[~late], pdf[~late]
+            self.waiting.appendList([tuple(None if v is pd.NaT or v != v else v for v in r) for r in held.astype(object).itertuples(index=False)])
+            least = int(times.min())
+            if not self.earliest.exists() or least < int(self.earliest.get()[0]):
+                self.earliest.update((least,))
+            for span in sorted(set((times // RELEASE_US).tolist())):
+                self.handle.registerTimer((span + 1) * RELEASE_US // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        if not self.earliest.exists() or int(self.earliest.get()[0]) >= passed:
+            return
+        held = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=self.row.names)
+        times = self._micros(held)
+        due = times < passed
+        if due.all():
+            self.waiting.clear()
+            self.earliest.clear()
+        else:
+            self.waiting.put([tuple(r) for r in held[~due].astype(object).itertuples(index=False)])
+            self.earliest.update((int(times[~due].min()),))
+        yield self._judged(held[due].sort_values([self.time, self.tie], ignore_index=True))
+
+    def _judged(self, pdf: pd.DataFrame) -> pd.DataFrame:
         kept = [(int(t), float(p)) for t, p in self.recent.get()] if self.recent.exists() else []
         old = self.week.get() if self.week.exists() else None
         old = (int(old[0]), float(old[1])) if old is not None else None
         head = 0
         flags = []
-        for t, p in zip(times, pdf["price"].to_numpy("float64").tolist()):
+        for t, p in zip(self._micros(pdf).tolist(), pd.to_numeric(pdf["price"]).to_numpy("float64").tolist()):
             while head < len(kept) and kept[head][0] <= t - WEEK_US:
                 old = kept[head]
                 head += 1
@@ -87,23 +130,49 @@ class Screen(StatefulProcessor):
             self.recent.clear()
         if old is not None:
             self.week.update(old)
-        yield pdf.assign(accepted=flags)
+        return pdf.assign(accepted=flags, late=False)
 
     def close(self) -> None:
         pass
 
 
 def screen_stream(
-    stream: DataFrame, keys: list[str], time: str = "scraped_at", tie: str = "seq", limit: float = 0.50
+    stream: DataFrame, keys: list[str], time: str = "scraped_at", tie: str = "seq", limit: float = 0.50, delay: str = "7 days"
 ) -> DataFrame:
-    """``accepted`` for every row in order of time within a batch."""
+    """``accepted`` and ``late`` for every row: judged in order of time once the watermark,
+    ``delay`` behind the newest row, has passed it; rows that come after that are late.
+    Rows without a time cannot be ordered and are left out."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    shape = T.StructType([*stream.schema.fields, T.StructField("accepted", T.BooleanType())])
-    return stream.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=Screen(time, tie, limit), outputStructType=shape, outputMode="Append", timeMode="None"
+    shape = T.StructType([*stream.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("late", T.BooleanType())])
+    # The clock is dropped again: a column with a watermark would have late rows removed.
+    clocked = stream.where(F.col(time).isNotNull()).withColumn("_clock", F.col(time).cast("timestamp")).withWatermark("_clock", delay)
+    return clocked.select(*stream.columns).groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=Screen(stream.schema, time, tie, limit), outputStructType=shape, outputMode="Append", timeMode="EventTime"
     )
 
 
+def run_screen(stream: DataFrame, folder: str, keys: list[str], time: str = "scraped_at", **rules) -> DataFrame:
+    """Judge everything available now, rows still waiting at the end included, and read the
+    result back. Judged rows and late rows lie in folders of their own. The end is told by
+    a row of the year 2262 (about the last that pandas knows), read after all others; it never comes out."""
+    spark = stream.sparkSession
+    end = f"{folder}/end"
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(end)
+    whole = stream.unionByName(read_stream(spark, end, stream.schema, "*.parquet"))
+    judged = screen_stream(whole, keys, time, **rules)
+
+    def run() -> None:
+        writer = judged.writeStream.format("parquet").partitionBy("late").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state")
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    kinds = {f.name: f.dataType for f in stream.schema.fields}
+    last = [F.lit("2262-01-01").cast(t).alias(c) if c == time else F.lit(None).cast(t).alias(c) for c, t in kinds.items()]
+    spark.range(1).select(*last).write.mode("append").parquet(end)
+    run()
+    return spark.read.schema(judged.schema).parquet(f"{folder}/out")
+
+
 def daily_mean_stream(stream: DataFrame, keys: list[str], delay: str = "7 days") -> DataFrame:
     """Mean per New York day."""
     wall = stream.withColumn("_ny", to_new_york(F.col("scraped_at")).cast("timestamp")).withWatermark("_ny", delay)

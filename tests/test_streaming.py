@@ -50,10 +50,9 @@ def test_distinct_ingest(spark, files):
 def test_screen_equals_replay(spark, files):
     folder = new_folder(spark, "t")
     columns = ["seq", "source", "price", "scraped_at"]
-    out = jobs.screen_stream(read(spark, files).select(*columns), ["source"])
-    query = jobs.run_append(out, folder)
-    assert len(query.recentProgress) >= 5
-    got = spark.read.schema(out.schema).parquet(f"{folder}/out").select("seq", "accepted")
+    got = jobs.run_screen(read(spark, files).select(*columns), folder, ["source"], delay="3650 days")
+    assert got.where("late").count() == 0
+    got = got.select("seq", "accepted")
     same(got, replay(files[1].select(*columns), ["source"]).select("seq", "accepted"))
 
 
@@ -89,17 +88,39 @@ def test_latest(spark, files):
     same(jobs.current_rows(spark, folder, out.schema, ["source"]), lookup.latest_value(files[1], ["source"], tie="seq"))
 
 
-def test_old_reference_outlives_the_week(spark, tmp_path):
-    """An accepted price stays the week-old reference until a newer one is old."""
+def arrived(spark, folder, steps):
+    """A stream of one file a step, of (seq, price, day)."""
     schema = "seq long, source string, price double, scraped_at timestamp_ntz"
     start = datetime(2024, 5, 1)
-    steps = [(0, 1.0, 0), (1, 1.4, 20), (2, 1.6, 21), (3, 1.45, 22), (4, 2.0, 40)]
-    folder = str(tmp_path / "run")
-    for seq, price, day in steps:
-        one = spark.createDataFrame([(seq, "s", price, start + timedelta(days=day))], schema)
-        one.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = jobs.read_stream(spark, str(tmp_path / "in"), one.schema, "*.parquet")
-        out = jobs.screen_stream(stream, ["source"])
-        jobs.run_append(out, folder)
-    got = [r["accepted"] for r in spark.read.parquet(f"{folder}/out").orderBy("seq").collect()]
+    for step in steps:
+        rows = [(seq, "s", price, start + timedelta(days=day)) for seq, price, day in step]
+        one = spark.createDataFrame(rows, schema)
+        one.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return jobs.read_stream(spark, f"{folder}/in", one.schema, "*.parquet", 1)
+
+
+def test_old_reference_outlives_the_week(spark, tmp_path):
+    """An accepted price stays the week-old reference until a newer one is old."""
+    steps = [[(0, 1.0, 0)], [(1, 1.4, 20)], [(2, 1.6, 21)], [(3, 1.45, 22)], [(4, 2.0, 40)]]
+    out = jobs.run_screen(arrived(spark, str(tmp_path), steps), str(tmp_path / "run"), ["source"])
+    got = [r["accepted"] for r in out.orderBy("seq").collect()]
     assert got == [True, True, False, True, True]
+
+
+def test_screen_in_order_of_time_whatever_the_arrival(spark, tmp_path):
+    """Rows of an earlier time in a later file are judged first, and change later flags."""
+    steps = [[(2, 2.0, 2), (1, 1.7, 1)], [(0, 1.0, 0)], [(5, 1.2, 5)], [(3, 1.1, 3), (4, float("nan"), 4)]]
+    out = jobs.run_screen(arrived(spark, str(tmp_path), steps), str(tmp_path / "run"), ["source"])
+    got = [tuple(r) for r in out.orderBy("seq").select("seq", "accepted", "late").collect()]
+    batch = replay(spark.read.parquet(f"{tmp_path}/in"), ["source"]).orderBy("seq").select("seq", "accepted").collect()
+    assert got == [(r["seq"], r["accepted"], False) for r in batch]
+    assert [f for _, f, _ in got] == [True, False, False, True, False, True]
+
+
+def test_rows_behind_the_watermark_are_an_output_of_their_own(spark, tmp_path):
+    """What comes too late is neither judged nor lost, and changes no flag."""
+    steps = [[(0, 1.0, 0)], [(1, 1.2, 30)], [(2, 9.0, 31), (3, 0.1, 2)], [(4, 1.3, 32), (5, 1.25, 29)]]
+    out = jobs.run_screen(arrived(spark, str(tmp_path), steps), str(tmp_path / "run"), ["source"])
+    got = {r["seq"]: (r["accepted"], r["late"]) for r in out.collect()}
+    assert got == {0: (True, False), 1: (True, False), 2: (False, False), 3: (None, True), 4: (True, False), 5: (True, False)}
+    assert spark.read.parquet(f"{tmp_path}/run/out/late=true").count() == 1
