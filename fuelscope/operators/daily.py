@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import as_of_by_lag, month_start, ny_date, to_new_york, week_anchor
-from ..session import cut_lineage
-from .skew import ROWS_PER_SEGMENT, SEGMENT, same_keys, segment
+from ..joins import join_same
 
 
 def daily_mean(df: DataFrame, keys: list[str], day: Column, value: str = "price", out: str = "price") -> DataFrame:
@@ -107,50 +106,60 @@ def sigma_buckets(days: DataFrame, keys: list[str], value: str = "price") -> Dat
     )
 
 
-def percentiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    shares: dict[str, float],
-    rows_per_segment: int = ROWS_PER_SEGMENT,
-) -> DataFrame:
+# Buckets to a step of the logarithm, and finer ones to a bucket.
+COARSE, FINE = 64, 4096
+
+
+def _height(value: Column) -> Column:
+    """A number that never falls as the value rises, with equal steps for equal ratios."""
+    high = F.signum(value) * F.log1p(F.abs(value) * 1e6) * COARSE
+    return F.when(F.isnan(value), F.lit(1e9)).otherwise(F.least(F.greatest(high, F.lit(-1e8)), F.lit(1e8)))
+
+
+def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """Exact percentiles by linear interpolation, one row per key, columns named by
-    ``shares``; also ``mean``. Equal values are counted first; a key with too many
-    distinct values is ranked in pieces, so no task holds a whole large group."""
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k"))
-    counted = cut_lineage(counted)
-    cut, _ = segment(counted, keys, value, None, rows_per_segment)
-    piece = [*keys, *SEGMENT]
-    totals = cut.groupBy(*piece).agg(F.sum("_k").alias("_size"), F.sum(F.col(value) * F.col("_k")).alias("_sum"))
-    by_piece = W.partitionBy(*keys).orderBy(*SEGMENT)
-    totals = totals.withColumns(
-        {
-            "_before": F.coalesce(F.sum("_size").over(by_piece.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
-            "_total": F.sum("_size").over(W.partitionBy(*keys)),
-            "_all": F.sum("_sum").over(W.partitionBy(*keys)),
-        }
-    ).drop("_size", "_sum")
-    inside = W.partitionBy(*piece).orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    ranked = cut.withColumn("_upto", F.sum("_k").over(inside)).alias("l")
-    ranked = ranked.join(totals.alias("r"), same_keys("l", "r", piece)).select(
-        "l.*", "r._before", "r._total", "r._all"
-    )
-    last = F.col("_before") + F.col("_upto") - 1
-    first = last - F.col("_k") + 1
-    ends = []
-    for name, share in shares.items():
-        at = (F.col("_total") - 1) * F.lit(float(share))
-        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            ends.append(F.max(F.when((first <= rank) & (rank <= last), F.col(value))).alias(f"{name}_{side}"))
-    found = ranked.groupBy(*keys).agg(
-        F.max("_total").alias("_total"), (F.max("_all") / F.max("_total")).alias("mean"), *ends
-    )
+    ``shares``; also ``mean``.
+
+    Selection by refinement: equal values are counted, then coarse buckets of value; of
+    the buckets that hold a wanted rank the finer ones are counted, and only the values
+    of a finer bucket with a wanted rank are put in order. Each level is a partial
+    aggregate, so no task holds a large group, and the plan runs nothing while built.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+    high = _height(F.col("_v").cast("double"))
+    coarse, fine = F.floor(high).alias("_b"), F.floor((high - F.floor(high)) * FINE).alias("_f")
+    counted = counted.select(*keys, "_v", "_k", coarse, fine)
+
+    def ranked(sums: DataFrame, inside: list[str], by: str) -> DataFrame:
+        """``sums`` with the rows in front of each, in its group."""
+        before = W.partitionBy(*inside).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+        return sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+    def narrowed(sums: DataFrame, wanted: DataFrame, inside: list[str], by: str) -> DataFrame:
+        """Where each wanted rank falls, and its rank there."""
+        here = join_same(wanted, ranked(sums, inside, by), inside)
+        here = here.filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
+        return here.withColumn("_rank", F.col("_rank") - F.col("_before")).drop("_before", "_n")
+
+    first = counted.groupBy(*keys, "_b").agg(F.sum("_k").alias("_n"), F.sum(F.col("_v") * F.col("_k")).alias("_s"))
+    totals = first.groupBy(*keys).agg(F.sum("_n").alias("_total"), (F.sum("_s") / F.sum("_n")).alias("mean"))
+    at = lambda share: (F.col("_total") - 1) * F.lit(float(share))
+    ends = [F.struct(F.lit(f"{name}_{side}").alias("name"), f(at(share)).cast("long").alias("rank")) for name, share in shares.items() for side, f in (("lo", F.floor), ("hi", F.ceil))]
+    wanted = totals.select(*keys, F.explode(F.array(*ends)).alias("_e")).select(*keys, F.col("_e.name").alias("_name"), F.col("_e.rank").alias("_rank"))
+    wanted = narrowed(first.drop("_s"), wanted, keys, "_b")
+    buckets = wanted.select(*keys, "_b").distinct()
+    second = join_same(counted, buckets, [*keys, "_b"], "left_semi").groupBy(*keys, "_b", "_f").agg(F.sum("_k").alias("_n"))
+    wanted = narrowed(second, wanted, [*keys, "_b"], "_f")
+    buckets = wanted.select(*keys, "_b", "_f").distinct()
+    third = join_same(counted, buckets, [*keys, "_b", "_f"], "left_semi").select(*keys, "_b", "_f", "_v", F.col("_k").alias("_n"))
+    found = narrowed(third, wanted, [*keys, "_b", "_f"], "_v")
+    names = [f"{name}_{side}" for name in shares for side in ("lo", "hi")]
+    found = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(f"_{n}") for n in names])
     out = [F.col("mean")]
     for name, share in shares.items():
-        at = (F.col("_total") - 1) * F.lit(float(share))
-        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
-    return found.select(*keys, *out)
+        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        out.append((lo + (hi - lo) * (at(share) - F.floor(at(share)))).alias(name))
+    return join_same(totals, found, keys).select(*keys, *out)
 
 
 def exceedance(df: DataFrame, keys: list[str], value: str, threshold: Column) -> DataFrame:

@@ -8,7 +8,6 @@ from ..functions.arith import jump
 from ..joins import join_same
 from ..schema import DAILY_AVG, KEY
 from ..session import broadcast_if_small
-from .skew import ROWS_PER_SEGMENT, SEGMENT, lookup, segment
 
 
 def latest_rows(df: DataFrame, keys: list[str], time: str = "scraped_at") -> DataFrame:
@@ -66,21 +65,25 @@ def asof(
     lag: str = "0 seconds",
     time: str = "scraped_at",
     tie: str = "seq",
-    rows_per_segment: int = ROWS_PER_SEGMENT,
+    piece: str = "DAY",
 ) -> DataFrame:
     """Newest ``refs.value`` of the same key at or before ``probe time - lag``.
 
-    One sorted pass over both sides. A key too large for one task is cut into
-    pieces of time; a piece starts from the last reference before it.
+    A key's time is cut into calendar pieces (a unit of ``date_trunc``), so that a heavy
+    key is many tasks. The last reference of each piece, a partial aggregate, is carried
+    on to the pieces behind it and stands there in front of all rows; one sorted pass
+    inside each piece does the rest. Nothing runs while the plan is built, and nothing
+    is broadcast.
     """
     columns = probes.columns
-    kind = refs.schema[value].dataType.simpleString()
+    kind = f"struct<v:{refs.schema[value].dataType.simpleString()}>"
+    order = refs.schema[tie].dataType
     asked = probes.withColumns(
         {
             "_t": F.col(time) - F.expr(f"interval {lag}"),
             "_side": F.lit(1),
             "_tie": F.col(tie),
-            "_ref": F.lit(None).cast(f"struct<v:{kind}>"),
+            "_ref": F.lit(None).cast(kind),
         }
     )
     given = refs.filter(F.col(time).isNotNull()).select(
@@ -90,34 +93,22 @@ def asof(
         F.col(tie).alias("_tie"),
         F.struct(F.col(value).alias("v")).alias("_ref"),
     )
-    both = asked.unionByName(given, allowMissingColumns=True)
-    cut, split = segment(both, keys, "_t", "_tie", rows_per_segment)
-    if split:
-        # Of an instant that is itself cut into pieces only the last reference
-        # counts; it stands before all probes of the instant.
-        inner = (F.col("_side") == 0) & (F.col("_sub") > 0)
-        last = cut.filter(inner).groupBy(*keys, "_t", "_side", "_seg").agg(
-            F.max_by("_ref", "_tie").alias("_ref"),
-            F.lit(None).cast(refs.schema[tie].dataType).alias("_tie"),
-            F.lit(1).alias("_sub"),
-        )
-        cut = cut.filter(~inner).unionByName(last, allowMissingColumns=True)
-    order = W.partitionBy(*keys, *SEGMENT).orderBy("_t", "_side", F.asc_nulls_first("_tie"))
-    found = cut.withColumn(
-        "_got", F.last("_ref", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0))
+    unit = F.date_trunc(piece, "_t").alias("_unit")
+    asked, given = asked.select("*", unit), given.select("*", unit)
+    ends = given.groupBy(*keys, "_unit").agg(F.max_by("_ref", F.struct("_t", "_tie")).alias("_end"))
+    reached = asked.groupBy(*keys, "_unit").agg(F.lit(None).cast(kind).alias("_end"))
+    pieces = ends.unionByName(reached).groupBy(*keys, "_unit").agg(F.first("_end", ignorenulls=True).alias("_end"))
+    # One row per piece of a key: bounded by the calendar, not by the rows.
+    earlier = W.partitionBy(*keys).orderBy("_unit").rowsBetween(W.unboundedPreceding, -1)
+    carried = pieces.select(*keys, "_unit", F.last("_end", ignorenulls=True).over(earlier).alias("_ref"))
+    carried = carried.filter("_ref is not null and _unit is not null").select(
+        *keys, "_unit", F.lit(-1).alias("_side"), F.lit(None).cast(order).alias("_tie"), "_ref"
     )
-    if split:
-        # Every piece once, with its last reference if it has one.
-        ends = cut.groupBy(*keys, *SEGMENT).agg(
-            F.max_by("_ref", F.when(F.col("_side") == 0, F.struct("_t", "_tie"))).alias("_end")
-        )
-        earlier = W.partitionBy(*keys).orderBy(*SEGMENT).rowsBetween(W.unboundedPreceding, -1)
-        carried = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
-        # Only pieces after the first can start from anything: rows/bound of them.
-        carried = carried.filter("_before is not null")
-        found = lookup(found, carried, [*keys, *SEGMENT])
-        found = found.withColumn("_got", F.coalesce("_got", "_before"))
-    return found.filter("_side = 1").select(*columns, F.col("_got.v").alias(out))
+    both = asked.unionByName(given, allowMissingColumns=True).unionByName(carried, allowMissingColumns=True)
+    # What is carried has no time, so it comes first.
+    inside = W.partitionBy(*keys, "_unit").orderBy(F.asc_nulls_first("_t"), "_side", F.asc_nulls_first("_tie"))
+    got = F.last("_ref", ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, 0))
+    return both.withColumn("_got", got).filter("_side = 1").select(*columns, F.col("_got.v").alias(out))
 
 
 def newest(df: DataFrame, n: int = 20, time: str = "scraped_at", tie: str = "seq") -> DataFrame:

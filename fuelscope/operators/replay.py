@@ -141,7 +141,7 @@ def _settle(
         good = tail.unionByName(now.filter("accepted").select(*tail.columns))
         ends = now.groupBy(*piece).agg(F.max_by("price", F.when(F.col("accepted"), order)).alias("_end"))
         starts = ends.unionByName(origin).withColumn("_last", F.last("_end", ignorenulls=True).over(before))
-        asked = asof(now, good, keys, "price", "_week", "7 days", time, tie, per)
+        asked = asof(now, good, keys, "price", "_week", "7 days", time, tie)
         ready = join_same(asked, broadcast_if_small(starts.drop("_end")), piece, "left")
         shape = T.StructType([*_with_flag(ready).fields, T.StructField("_old", T.BooleanType())])
         after = cut_lineage(ready.groupBy(*piece).applyInPandas(run, shape))

@@ -1,6 +1,7 @@
 """Split keys give the same rows as whole keys and as plain Python."""
 
 import random
+import uuid
 from bisect import bisect_right
 from datetime import datetime, timedelta
 
@@ -45,19 +46,19 @@ def asof_python(rows, lag):
     return want
 
 
-@pytest.mark.parametrize("per", [40, 100, 10**6])
-def test_asof_split(spark, per):
+@pytest.mark.parametrize("piece", ["HOUR", "DAY", "YEAR"])
+def test_asof_split(spark, piece):
     rows = hot_rows()
     df = spark.createDataFrame(rows, SCHEMA)
-    got = lookup.asof(df, df, ["source"], "price", "ref", "7 days", rows_per_segment=per)
+    got = lookup.asof(df, df, ["source"], "price", "ref", "7 days", piece=piece)
     assert {r["seq"]: r["ref"] for r in got.collect()} == asof_python(rows, timedelta(days=7))
 
 
 def test_asof_zero_lag_sees_all_of_the_instant(spark):
     rows = hot_rows(seed=3)
     df = spark.createDataFrame(rows, SCHEMA)
-    for per in (60, 10**6):
-        got = lookup.asof(df, df, ["source"], "price", "ref", rows_per_segment=per)
+    for piece in ("DAY", "YEAR"):
+        got = lookup.asof(df, df, ["source"], "price", "ref", piece=piece)
         assert {r["seq"]: r["ref"] for r in got.collect()} == asof_python(rows, timedelta(0))
 
 
@@ -79,17 +80,53 @@ def test_null_key_is_split_too(spark):
     assert split and cut.select("_seg").distinct().count() >= 5
 
 
-@pytest.mark.parametrize("per", [50, 170, 10**6])
-def test_percentiles_split(spark, per):
+def jobs_run(spark, build):
+    """Spark jobs that run while ``build`` is called."""
+    group = f"building-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_job_while_plans_are_built(spark):
+    df = spark.createDataFrame(hot_rows(), SCHEMA)
+    assert jobs_run(spark, lambda: df.count()) > 0
+    assert jobs_run(spark, lambda: lookup.asof(df, df, ["source"], "price", "ref", "7 days")) == 0
+    assert jobs_run(spark, lambda: daily.percentiles(df, ["source"], "price", {"p": 0.3})) == 0
+
+
+def test_asof_with_missing_keys_and_times(spark):
+    rows = [(0, None, 1.0, START), (1, None, 2.0, START + timedelta(days=3)), (2, "a", 3.0, None), (3, "a", None, START), (4, "a", 5.0, START + timedelta(days=400))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["seq"]: r["ref"] for r in lookup.asof(df, df, ["source"], "price", "ref", "1 day").collect()}
+    assert got == {0: None, 1: 1.0, 2: None, 3: None, 4: None}
+
+
+@pytest.mark.parametrize("kind", ["normal", "equal", "wide", "close"])
+def test_percentiles_of_large_keys(spark, kind):
     rnd = random.Random(5)
-    rows = [("hot", rnd.choice([rnd.gauss(0, 1), 0.5, 0.25])) for _ in range(1500)] + [("x", 2.0), ("x", 4.0)]
-    df = spark.createDataFrame(rows, "k string, v double")
-    got = {r["k"]: r for r in daily.percentiles(df, ["k"], "v", {"p05": 0.05, "p95": 0.95}, per).collect()}
-    for k in ("hot", "x"):
-        v = np.array([r[1] for r in rows if r[0] == k])
-        assert got[k]["p05"] == pytest.approx(np.percentile(v, 5), abs=1e-12)
-        assert got[k]["p95"] == pytest.approx(np.percentile(v, 95), abs=1e-12)
-        assert got[k]["mean"] == pytest.approx(v.mean(), abs=1e-12)
+    draw = {
+        "normal": lambda: rnd.choice([rnd.gauss(0, 1), 0.5, 0.25]),
+        "equal": lambda: 3.25,
+        "wide": lambda: rnd.choice([-1, 1]) * 10 ** rnd.uniform(-300, 300),
+        # Many values of one fine bucket.
+        "close": lambda: 1e6 + rnd.random() * 1e-4,
+    }[kind]
+    rows = [("hot", draw()) for _ in range(1500)] + [("x", 2.0), ("x", 4.0), (None, 1.0), (None, 7.0), ("y", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    shares = {"p00": 0.0, "p05": 0.05, "half": 0.5, "p95": 0.95, "p100": 1.0}
+    got = {r["k"]: r for r in daily.percentiles(df, ["k"], "v", shares).collect()}
+    assert set(got) == {"hot", "x", None}
+    for k in got:
+        v = np.sort([r[1] for r in rows if r[0] == k])
+        for name, share in shares.items():
+            at = (len(v) - 1) * share
+            lo, hi = v[int(np.floor(at))], v[int(np.ceil(at))]
+            assert got[k][name] == lo + (hi - lo) * (at - np.floor(at))
+        assert got[k]["mean"] == pytest.approx(v.mean(), rel=1e-9)
 
 
 def replay_python(rows, limit=0.5, week=True):
