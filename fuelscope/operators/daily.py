@@ -116,19 +116,21 @@ def _height(value: Column) -> Column:
     return F.when(F.isnan(value), F.lit(1e9)).otherwise(F.least(F.greatest(high, F.lit(-1e8)), F.lit(1e8)))
 
 
-def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], times: str | None = None) -> DataFrame:
     """Exact percentiles by linear interpolation, one row per key, columns named by
-    ``shares``; also ``mean``.
+    ``shares``; also ``mean``. A row stands for as many as its column ``times`` says.
 
-    Selection by refinement: equal values are counted, then coarse buckets of value; of
-    the buckets that hold a wanted rank the finer ones are counted, and only the values
-    of a finer bucket with a wanted rank are put in order. Each level is a partial
-    aggregate, so no task holds a large group, and the plan runs nothing while built.
+    Selection by refinement: coarse buckets of value are counted; of the buckets that hold
+    a wanted rank the finer ones are counted, and only the values of a finer bucket with
+    a wanted rank are counted one by one and put in order. Each level reads the rows again
+    and is a partial aggregate, so what is shuffled are counts of buckets, no task holds a
+    large group, and the plan runs nothing while built.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
-    high = _height(F.col("_v").cast("double"))
+    high = _height(F.col(value).cast("double"))
     coarse, fine = F.floor(high).alias("_b"), F.floor((high - F.floor(high)) * FINE).alias("_f")
-    counted = counted.select(*keys, "_v", "_k", coarse, fine)
+    k = F.lit(1) if times is None else F.col(times).cast("long")
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), k.alias("_k"), coarse, fine)
+    count = F.sum("_k").alias("_n")
 
     def ranked(sums: DataFrame, inside: list[str], by: str) -> DataFrame:
         """``sums`` with the rows in front of each, in its group."""
@@ -141,17 +143,17 @@ def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, fl
         here = here.filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
         return here.withColumn("_rank", F.col("_rank") - F.col("_before")).drop("_before", "_n")
 
-    first = counted.groupBy(*keys, "_b").agg(F.sum("_k").alias("_n"), F.sum(F.col("_v") * F.col("_k")).alias("_s"))
+    first = rows.groupBy(*keys, "_b").agg(count, F.sum(F.col("_v") * F.col("_k")).alias("_s"))
     totals = first.groupBy(*keys).agg(F.sum("_n").alias("_total"), (F.sum("_s") / F.sum("_n")).alias("mean"))
     at = lambda share: (F.col("_total") - 1) * F.lit(float(share))
     ends = [F.struct(F.lit(f"{name}_{side}").alias("name"), f(at(share)).cast("long").alias("rank")) for name, share in shares.items() for side, f in (("lo", F.floor), ("hi", F.ceil))]
     wanted = totals.select(*keys, F.explode(F.array(*ends)).alias("_e")).select(*keys, F.col("_e.name").alias("_name"), F.col("_e.rank").alias("_rank"))
     wanted = narrowed(first.drop("_s"), wanted, keys, "_b")
     buckets = wanted.select(*keys, "_b").distinct()
-    second = join_same(counted, buckets, [*keys, "_b"], "left_semi").groupBy(*keys, "_b", "_f").agg(F.sum("_k").alias("_n"))
+    second = join_same(rows, buckets, [*keys, "_b"], "left_semi").groupBy(*keys, "_b", "_f").agg(count)
     wanted = narrowed(second, wanted, [*keys, "_b"], "_f")
     buckets = wanted.select(*keys, "_b", "_f").distinct()
-    third = join_same(counted, buckets, [*keys, "_b", "_f"], "left_semi").select(*keys, "_b", "_f", "_v", F.col("_k").alias("_n"))
+    third = join_same(rows, buckets, [*keys, "_b", "_f"], "left_semi").groupBy(*keys, "_b", "_f", "_v").agg(count)
     found = narrowed(third, wanted, [*keys, "_b", "_f"], "_v")
     names = [f"{name}_{side}" for name in shares for side in ("lo", "hi")]
     found = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_v"))).alias(f"_{n}") for n in names])

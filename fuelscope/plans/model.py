@@ -289,18 +289,30 @@ def exceedance_exact(resid: DataFrame, targets: DataFrame, keys: list[str], poin
 
 
 def bootstrap(resid: DataFrame, targets: DataFrame, keys: list[str], point: str, draws: int, seed: int) -> DataFrame:
-    """``draws`` samples point + residual with replacement. The pick is a hash of
-    seed, region and draw number, so a rerun gives the same samples. Residuals are
-    at most one training window per region."""
+    """Samples point + residual of ``draws`` draws with replacement, as (keys, sample, n):
+    how often each residual is drawn. Draw number i picks by the md5 of seed, keys and i,
+    so every engine and every rerun draws the same. Residuals are at most one training
+    window per region; draws only meet a partial count."""
     pool = resid.groupBy(*keys).agg(F.array_sort(F.collect_list("resid")).alias("_pool"))
-    each = join_same(targets.select(*keys, point), pool, keys)
-    each = each.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    pick = F.pmod(F.xxhash64(F.lit(seed), *keys, "draw"), F.size("_pool").cast("bigint")).cast("int")
-    return each.select(*keys, "draw", (F.col(point) + F.get("_pool", pick)).alias("sample"))
-
-
-def sample_summary(samples: DataFrame, keys: list[str]) -> DataFrame:
-    return percentiles(samples, keys, "sample", {"p05": 0.05, "p95": 0.95})
+    each = join_same(targets.filter(F.col(point).isNotNull()).select(*keys, point), pool, keys)
+    sizes = each.select(*keys, F.size("_pool").cast("long").alias("_size"))
+    named = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    drawn = sizes.withColumn("_draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *named, F.col("_draw").cast("string")))
+    # Fifteen hexadecimal digits are a positive long.
+    pick = F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.col("_size"))
+    counted = drawn.groupBy(*keys, pick.cast("int").alias("_pick")).agg(F.count(F.lit(1)).alias("n"))
+    both = join_same(each, counted, keys)
+    return both.select(*keys, (F.col(point) + F.get("_pool", F.col("_pick"))).alias("sample"), "n")
+
+
+def sample_summary(samples: DataFrame, keys: list[str], threshold: Column | None = None) -> DataFrame:
+    """Mean, 5 and 95 percent of samples, and the share above ``threshold`` if given."""
+    out = percentiles(samples, keys, "sample", {"p05": 0.05, "p95": 0.95}, "n")
+    if threshold is None:
+        return out
+    above = F.sum(F.when(F.col("sample") > threshold, F.col("n")).otherwise(0)) / F.sum("n")
+    return join_same(out, samples.groupBy(*keys).agg(above.alias("probability")), keys)
 
 
 def threshold_grid(centers: DataFrame, keys: list[str], center: str) -> DataFrame:

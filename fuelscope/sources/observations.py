@@ -76,14 +76,22 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
 
 
 def describe_schema(df: DataFrame) -> DataFrame:
-    """Name, type and nullability of the columns in order."""
-    rows = [
-        (i + 1, f.name, f.dataType.simpleString(), "YES" if f.nullable else "NO")
-        for i, f in enumerate(df.schema.fields)
+    """Name, type and nullability of the columns in order, with their numbers of rows and
+    of values, counted in one pass over all columns."""
+    fields = df.schema.fields
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"_{i}") for i, f in enumerate(fields)])
+    described = [
+        F.struct(
+            F.lit(i + 1).alias("ordinal"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit("YES" if f.nullable else "NO").alias("is_nullable"),
+            F.col("_rows").alias("n_rows"),
+            F.col(f"_{i}").alias("n_values"),
+        )
+        for i, f in enumerate(fields)
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "ordinal int, column_name string, data_type string, is_nullable string"
-    )
+    return counts.select(F.inline(F.array(*described)))
 
 
 def contract_violations(df: DataFrame, schema: T.StructType = OBSERVATION) -> DataFrame:

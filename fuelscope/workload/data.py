@@ -126,6 +126,23 @@ def _(spark, d):
     return sinks.evolve(old.unionByName(new, allowMissingColumns=True))
 
 
+_A11 = [("seq", "bigint", "seq"), ("source", "string", "source"), ("price", "double", "CASE WHEN price >= 100 THEN price END"), ("scraped_at", "timestamp_ntz", "scraped_at"), ("as_of_date", "date", "CAST(NULL AS DATE)")]
+
+
+@query(
+    "a11_columns",
+    f"WITH {OBS} "
+    + " UNION ALL ".join(
+        f"SELECT {i + 1} AS ordinal, '{name}' AS column_name, '{kind}' AS data_type, count(*) AS n_rows, count({value}) AS n_values FROM obs"
+        for i, (name, kind, value) in enumerate(_A11)
+    ),
+)
+def _(spark, d):
+    """Columns of a table some of whose values are missing."""
+    df = observations(spark, d).withColumn("price", F.when(F.col("price") >= 100, F.col("price"))).withColumn("as_of_date", F.lit(None).cast("date"))
+    return obs_source.describe_schema(df.select(*[name for name, _, _ in _A11])).drop("is_nullable")
+
+
 @query(
     "a12_contract",
     f"""WITH {OBS} SELECT 'source' AS column_name, 'null' AS problem, count(*) AS n FROM obs WHERE consensus < 10 HAVING count(*) > 0

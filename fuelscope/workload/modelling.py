@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators.daily import exceedance
 from ..plans import model
 from ..plans.panel import DESIGN, daily_panel, features, training_rows
+from ..session import cut_lineage
 from . import panel_sql
 from .frames import OBS, ORD, observations, order_observations
 from .registry import NUDGE, bigint, query, rounded
@@ -139,49 +141,68 @@ def _(spark, d):
     return rounded(result(spark, d, min_rows=NO_MODEL).residuals)
 
 
+# The real model: its forecast, its residuals, and the points read off them.
+BETAS = [f"beta[{i + 1}]" for i in range(10)]
+MODELLED = f"""{CHOSEN}, {panel_sql.STARTS}, {panel_sql.recursion(BETAS)}, forecast AS (SELECT region, date, h, yhat FROM y),
+    resid AS (SELECT region, date, Y - ({panel_sql.predicted('beta', 10)}) AS resid FROM fit JOIN chosen USING (region)), {panel_sql.POINTS}"""
+
+
 @query(
     "i8_exceedance_exact",
-    f"""{WITH_RESID} SELECT p.region, round(eom_point, 6) AS eom_point, round(avg(CASE WHEN eom_point + resid > 2.5 THEN 1.0 ELSE 0.0 END), 8) AS probability
+    f"""{MODELLED} SELECT p.region, round(eom_point, 5) AS eom_point, round(avg(CASE WHEN eom_point + resid > 2.5 THEN 1.0 ELSE 0.0 END), 8) AS probability
         FROM points p JOIN resid USING (region) GROUP BY p.region, eom_point""",
 )
 def _(spark, d):
-    done = result(spark, d, min_rows=NO_MODEL)
+    done = result(spark, d)
     targets = done.points.select("region", "eom_point", F.lit(2.5).alias("threshold"))
     out = model.exceedance_exact(done.residuals, targets, KEYS, "eom_point", "threshold").drop("threshold")
-    return rounded(rounded(out, 8, "probability"), 6, "eom_point")
+    return rounded(rounded(out, 8, "probability"), 5, "eom_point")
+
 
+DRAWS = (5000, 10000)
 
-@query("i8_bootstrap")
+
+@query(
+    "i8_bootstrap",
+    f"""{MODELLED}, pool AS (SELECT region, list(resid ORDER BY resid) AS pool FROM resid GROUP BY region),
+        n AS (SELECT unnest({list(DRAWS)}) AS draws), draw AS (SELECT draws, unnest(range(1, draws + 1)) AS i FROM n),
+        pick AS (SELECT draws, region, eom_point, pool, md5(concat('42|', region, '|', i)) AS m FROM draw, points JOIN pool USING (region)),
+        sample AS (SELECT draws, region, eom_point + pool[CAST('0x' || substr(m, 1, 15) AS BIGINT) % len(pool) + 1] AS sample FROM pick)
+        SELECT CAST(draws AS INTEGER) AS draws, region, round(avg(sample), 5) AS mean, round(quantile_cont(sample, 0.05), 5) AS p05, round(quantile_cont(sample, 0.95), 5) AS p95,
+            round(avg(CASE WHEN sample > 2.5 THEN 1.0 ELSE 0.0 END), 8) AS probability FROM sample GROUP BY ALL""",
+)
 def _(spark, d):
     done = result(spark, d)
-    samples = model.bootstrap(done.residuals, done.points, KEYS, "eom_point", 5000, 42)
-    return rounded(
-        model.sample_summary(samples, KEYS).join(exceedance(samples, KEYS, "sample", F.lit(2.5)), KEYS)
-    )
+    # Small frames behind long plans: worked out once for all that reads them.
+    resid, points = cut_lineage(done.residuals.select("region", "resid")), cut_lineage(done.points.select("region", "eom_point"))
+    drawn = [model.bootstrap(resid, points, KEYS, "eom_point", n, 42).withColumn("draws", F.lit(n)) for n in DRAWS]
+    samples = cut_lineage(reduce(DataFrame.unionByName, drawn))
+    out = model.sample_summary(samples, ["draws", *KEYS], F.lit(2.5))
+    return rounded(rounded(out, 8, "probability"), 5, "mean", "p05", "p95")
 
 
 @query(
     "i9_threshold_table",
-    f"""{WITH_RESID}, g AS (SELECT region, eom_point, round_even(eom_point * 20, 0) / 20 + unnest([-0.10, -0.05, 0.0, 0.05, 0.10, 0.15]) AS threshold FROM points)
+    f"""{MODELLED}, g AS (SELECT region, eom_point, round_even(eom_point * 20, 0) / 20 + unnest([-0.10, -0.05, 0.0, 0.05, 0.10, 0.15]) AS threshold FROM points)
         SELECT g.region, round(threshold, 6) AS threshold, round(avg(CASE WHEN eom_point + resid > threshold THEN 1.0 ELSE 0.0 END), 8) AS probability,
             '$' || printf('%.2f', threshold) AS threshold_text
         FROM g JOIN resid USING (region) GROUP BY g.region, threshold""",
 )
 def _(spark, d):
-    done = result(spark, d, min_rows=NO_MODEL)
+    done = result(spark, d)
     out = model.threshold_table(done.residuals, done.points, KEYS).drop("probability_text")
     return rounded(rounded(out, 8, "probability"), 6, "threshold")
 
 
 @query(
     "i10_points",
-    f"{WITH_RESID} SELECT region, next_sunday, round(next_sunday_point, 6) AS next_sunday_point, month_end, round(eom_point, 6) AS eom_point FROM points",
+    f"{MODELLED} SELECT region, next_sunday, round(next_sunday_point, 5) AS next_sunday_point, month_end, round(eom_point, 5) AS eom_point FROM points",
 )
 def _(spark, d):
-    return rounded(result(spark, d, min_rows=NO_MODEL).points)
+    return rounded(result(spark, d).points, 5)
 
 
-SUNDAY = f"""{WITH_RESID}, z AS (SELECT region, day - 1 AS sunday, avg(price) AS value FROM ord WHERE source = 'aaa_gas_prices' AND isodow(day - 1) = 7 GROUP BY ALL),
+SUNDAY = f"""{MODELLED}, z AS (SELECT region, day - 1 AS sunday, avg(price) AS value FROM ord WHERE source = 'aaa_gas_prices' AND isodow(day - 1) = 7 GROUP BY ALL),
     z1 AS (SELECT region, round_even(arg_max(value, sunday), 3) AS reference FROM z GROUP BY region),
     prob AS (SELECT p.region, next_sunday, next_sunday_point, reference, avg(CASE WHEN next_sunday_point + resid > reference THEN 1.0 ELSE 0.0 END) AS probability
         FROM points p JOIN z1 USING (region) JOIN resid USING (region) GROUP BY ALL)"""
@@ -189,9 +210,9 @@ SUNDAY = f"""{WITH_RESID}, z AS (SELECT region, day - 1 AS sunday, avg(price) AS
 
 @query(
     "i11_sunday_probability",
-    f"{SUNDAY} SELECT region, next_sunday, round(next_sunday_point, 6) AS next_sunday_point, reference, round(probability, 8) AS probability FROM prob",
+    f"{SUNDAY} SELECT region, next_sunday, round(next_sunday_point, 5) AS next_sunday_point, reference, round(probability, 8) AS probability FROM prob",
 )
 def _(spark, d):
     df = order_observations(spark, d)
-    out = model.sunday_probability(df, model.nowcast(df, KEYS, min_rows=NO_MODEL), KEYS)
-    return rounded(rounded(out, 8, "probability"), 6, "next_sunday_point")
+    out = model.sunday_probability(df, model.nowcast(df, KEYS), KEYS)
+    return rounded(rounded(out, 8, "probability"), 5, "next_sunday_point")

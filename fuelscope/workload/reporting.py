@@ -102,11 +102,11 @@ def _(spark, d):
     "i17_kpis",
     f"""{modelling.SUNDAY}, k AS (SELECT region, count(*) AS records,
             arg_max(price, (scraped_at, seq)) FILTER (source = '{RETAIL}') AS retail FROM ord GROUP BY region)
-        SELECT k.region, records, round(retail, 6) AS retail, round(next_sunday_point, 6) AS next_sunday_point, round(probability, 8) AS probability
+        SELECT k.region, records, round(retail, 6) AS retail, round(next_sunday_point, 5) AS next_sunday_point, round(probability, 8) AS probability
         FROM k LEFT JOIN prob USING (region)""",
 )
 def _(spark, d):
     df = order_observations(spark, d)
-    done = model.nowcast(df, ["region"], min_rows=modelling.NO_MODEL)
+    done = model.nowcast(df, ["region"])
     out = reports.kpis(df, done.points, model.sunday_probability(df, done, ["region"]), ["region"])
-    return rounded(rounded(out, 8, "probability"), 6, "retail", "next_sunday_point")
+    return rounded(rounded(rounded(out, 8, "probability"), 6, "retail"), 5, "next_sunday_point")

@@ -129,6 +129,13 @@ def test_percentiles_of_large_keys(spark, kind):
         assert got[k]["mean"] == pytest.approx(v.mean(), rel=1e-9)
 
 
+def test_percentiles_of_counted_rows(spark):
+    rows = [("a", float(v), n) for v, n in [(1, 3), (2, 1), (5, 4), (9, 0), (7, 2)]]
+    got = daily.percentiles(spark.createDataFrame(rows, "k string, v double, n int"), ["k"], "v", {"p30": 0.3, "p95": 0.95}, "n").first()
+    flat = np.repeat([r[1] for r in rows], [r[2] for r in rows])
+    assert got["p30"] == pytest.approx(np.percentile(flat, 30)) and got["p95"] == pytest.approx(np.percentile(flat, 95)) and got["mean"] == pytest.approx(flat.mean())
+
+
 def replay_python(rows, limit=0.5, week=True):
     """The collecting job, row by row."""
     state, want = {}, {}

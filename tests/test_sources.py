@@ -155,6 +155,8 @@ def test_export_is_newest_first(spark, tmp_path):
 def test_schema_checks(spark, tmp_path):
     rows = src.describe_schema(schema.conform(batch(spark).withColumn("scraped_at", ntz(NOW)))).collect()
     assert [(r["column_name"], r["data_type"]) for r in rows][2] == ("price", "decimal(10,4)")
+    sizes = {(r["column_name"], r["n_rows"], r["n_values"]) for r in src.describe_schema(spark.createDataFrame([(1, None), (2, "x"), (3, None)], "`a.b` int, c string")).collect()}
+    assert sizes == {("a.b", 3, 3), ("c", 3, 1)}
     good = stored_rows(spark).select(*schema.BASE_COLUMNS)
     problems = {(r["column_name"], r["problem"], r["n"]) for r in src.contract_violations(good).collect()}
     assert problems == {("consensus", "missing", 1), ("surprise", "missing", 1), ("as_of_date", "missing", 1)}
