@@ -4,7 +4,7 @@ The network reads a word's bytes in both directions and labels every byte with a
 distribution over the languages; a document's probabilities are the geometric mean
 over all its bytes, made to sum to one. It is trained in numpy by backpropagation
 through time on words of a bounded sample of labelled documents (``TRAIN_DOCS`` a
-language, ``TRAIN_WORDS`` words spread over each whole text), then labels all words of
+language, ``TRAIN_WORDS`` words or pieces of long ones spread over each whole text), then labels all words of
 all documents: equal words have equal labels, so each task runs the network once for
 each different word it meets.
 
@@ -160,9 +160,14 @@ def training_words(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: i
     def spread(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for lang, text in zip(frame["lang"], frame["text"]):
+            # Pieces of all words, long ones included, evenly over the whole text.
             found = text.encode("utf-8", "surrogatepass").split()
-            for i in np.unique(np.linspace(0, len(found) - 1, min(train_words, len(found))).astype(int)) if found else []:
-                out += [(lang, found[i][at : at + PIECE]) for at in range(0, min(len(found[i]), 4 * PIECE), PIECE)]
+            upto = np.cumsum([-(-len(w) // PIECE) for w in found]) if found else np.zeros(1, np.int64)
+            some = np.unique(np.linspace(0, upto[-1] - 1, min(train_words, int(upto[-1]))).astype(int)) if found else []
+            for k in some:
+                i = int(np.searchsorted(upto, k, side="right"))
+                at = PIECE * int(k - (upto[i - 1] if i else 0))
+                out.append((lang, found[i][at : at + PIECE]))
         return pd.DataFrame(out, columns=["lang", "word"])
 
     return chosen.mapInPandas(in_batches(spread), "lang string, word binary")

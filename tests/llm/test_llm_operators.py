@@ -314,6 +314,14 @@ def test_packing_beside_columns_of_the_same_names(spark):
     assert all(r.n == r.end <= 4096 for r in ends)
 
 
+def test_training_reads_long_words_whole(spark):
+    text = "".join(map(chr, np.random.default_rng(3).integers(97, 123, 5000)))
+    docs = spark.createDataFrame([(i, text, "xx") for i in range(3)] + [(9, None, "xx"), (10, "", "xx")], "doc_id long, text string, lang string")
+    pieces = {bytes(r.word) for r in language.training_words(docs).collect()}
+    places = sorted(text.encode().find(p) for p in pieces)
+    assert len(pieces) == language.TRAIN_WORDS and min(places) < 50 and max(places) > 4900
+
+
 def test_batches_are_bounded_by_characters():
     import pandas as pd
 
