@@ -61,6 +61,7 @@ ADAPTER_LABEL = [
 ]
 TICKER_PRICE = "#tickingAvgPriceText"
 TICKER_LABEL = "div[data-bind*='tickingAvgLastUpdated']"
+TICKER = [TICKER_PRICE, TICKER_LABEL, "body"]
 AVERAGE_LABEL = "Current Avg."
 
 
@@ -75,13 +76,17 @@ def labelled_price(pages: DataFrame, label: str = AVERAGE_LABEL, html: str = "ht
     A body of less than 20 characters is not a table yet."""
     rest = [c for c in pages.columns if c != html]
     rows = pages.select(*rest, rows_of(html).alias("_rows"))
+    return rows.select(*rest, labelled_text(F.col("_rows"), label).alias("price_text"))
+
+
+def labelled_text(rows: Column, label: str = AVERAGE_LABEL) -> Column:
+    """The price text of ``labelled_price`` out of parsed rows."""
     hit = F.get(
-        F.filter("_rows", lambda r: (F.size(r["cells"]) >= 2) & F.get(r["cells"], F.lit(0)).contains(label)),
+        F.filter(rows, lambda r: (F.size(r["cells"]) >= 2) & F.get(r["cells"], F.lit(0)).contains(label)),
         F.lit(0),
     )
-    body = F.array_join(F.flatten(F.transform("_rows", lambda r: r["cells"])), " ")
-    ready = F.length(F.trim(body)) >= 20
-    return rows.select(*rest, F.when(ready, F.get(hit["cells"], F.lit(1))).alias("price_text"))
+    body = F.array_join(F.flatten(F.transform(rows, lambda r: r["cells"])), " ")
+    return F.when(F.length(F.trim(body)) >= 20, F.get(hit["cells"], F.lit(1)))
 
 
 def first_text(texts: Column, start: int, end: int, need_digit: bool) -> Column:
@@ -101,15 +106,20 @@ def quote(
     price there is no label either, without a label it is ``Unknown``."""
     rest = [c for c in pages.columns if c != html]
     read = pages.select(*rest, texts_of(F.col(html), [*price_selectors, *label_selectors]).alias("_t"))
-    n, m = len(price_selectors), len(price_selectors) + len(label_selectors)
-    price = first_text(F.col("_t"), 0, n, need_digit)
-    label = clean_label(F.coalesce(first_text(F.col("_t"), n, m, False), F.lit("Unknown")), F.lit(""))
-    return read.select(*rest, price.alias("price_text"), F.when(price.isNotNull(), label).alias("label"))
+    price, label = quote_texts(F.col("_t"), len(price_selectors), len(label_selectors), need_digit)
+    return read.select(*rest, price.alias("price_text"), label.alias("label"))
 
 
-def _release(pages: DataFrame, html: str, usable, actual, missing: str) -> DataFrame:
-    """Row of the latest date among the usable ones, the first of equal dates."""
-    rest = [c for c in pages.columns if c != html]
+def quote_texts(texts: Column, prices: int, labels: int, need_digit: bool = False) -> tuple[Column, Column]:
+    """Price text and label of ``quote`` out of the texts of its selectors."""
+    price = first_text(texts, 0, prices, need_digit)
+    label = clean_label(F.coalesce(first_text(texts, prices, prices + labels, False), F.lit("Unknown")), F.lit(""))
+    return price, F.when(price.isNotNull(), label)
+
+
+def release_entry(rows: Column, usable, actual) -> Column:
+    """Row of the latest date among the usable ones, the first of equal dates; NULL
+    where no row is usable."""
 
     def cell(r, i):
         return F.trim(F.get(r["cells"], F.lit(i)))
@@ -128,36 +138,48 @@ def _release(pages: DataFrame, html: str, usable, actual, missing: str) -> DataF
             cell(r, 6).alias("consensus"),
         )
 
-    entries = F.filter(
-        F.transform("_rows", entry), lambda e: e["date"].isNotNull() & (e["actual"] != "") & usable(e)
+    return F.array_max(
+        F.filter(F.transform(rows, entry), lambda e: e["date"].isNotNull() & (e["actual"] != "") & usable(e))
     )
+
+
+def release_values(entry: Column, missing: str = "zero") -> dict[str, Column]:
+    """Numbers of an entry. A number that cannot be read drops the record: all are NULL."""
+    actual = magnitude(entry["actual"])
+    consensus = consensus_value(entry["consensus"], missing)
+    empty = F.trim(F.coalesce(entry["consensus"], F.lit(""))) == ""
+    read = entry.isNotNull() & actual.isNotNull() & (empty | consensus.isNotNull())
+    values = {
+        "date": entry["date"],
+        "actual": actual,
+        "previous": magnitude(entry["previous"]),
+        "consensus": consensus,
+        "surprise": actual - consensus,
+    }
+    return {name: F.when(read, value) for name, value in values.items()}
+
+
+def _release(pages: DataFrame, html: str, usable, actual, missing: str) -> DataFrame:
+    rest = [c for c in pages.columns if c != html]
     rows = pages.select(*rest, rows_of(html).alias("_rows"))
-    best = rows.select(*rest, F.array_max(entries).alias("_e")).filter("_e is not null")
-    consensus = consensus_value(F.col("_e.consensus"), missing)
-    out = best.select(
-        *rest,
-        F.col("_e.date").alias("date"),
-        magnitude(F.col("_e.actual")).alias("actual"),
-        magnitude(F.col("_e.previous")).alias("previous"),
-        consensus.alias("consensus"),
-        (F.trim(F.coalesce("_e.consensus", F.lit(""))) == "").alias("_empty"),
-    )
-    # A number that cannot be read drops the record.
-    out = out.filter(F.col("actual").isNotNull() & (F.col("_empty") | F.col("consensus").isNotNull()))
-    return out.drop("_empty").withColumn("surprise", F.col("actual") - F.col("consensus"))
+    best = rows.select(*rest, release_entry(F.col("_rows"), usable, actual).alias("_e"))
+    values = release_values(F.col("_e"), missing)
+    return best.select(*rest, *[v.alias(n) for n, v in values.items()]).filter("actual is not null")
 
 
-def nearest_release(pages: DataFrame, today: Column, html: str = "html", missing: str = "zero") -> DataFrame:
-    """Latest row up to ``today`` with seven or more cells and a filled cell 4."""
-    return _release(
-        pages,
-        html,
+def nearest_rule(today: Column):
+    """Rows up to ``today`` with seven or more cells and a filled cell 4, for ``release_entry``."""
+    return (
         lambda e: (e["width"] >= 7) & (e["date"] <= today),
         lambda r: F.trim(F.get(r["cells"], F.lit(4))),
-        missing,
     )
 
 
+def nearest_release(pages: DataFrame, today: Column, html: str = "html", missing: str = "zero") -> DataFrame:
+    """Latest row up to ``today`` with seven or more cells and a filled cell 4."""
+    return _release(pages, html, *nearest_rule(today), missing)
+
+
 def latest_release(pages: DataFrame, html: str = "html", missing: str = "zero") -> DataFrame:
     """Latest row with a filled cell of id ``actual``; future dates count, and so do
     short rows."""
@@ -173,14 +195,20 @@ def ticker(pages: DataFrame, html: str = "html", fallback: bool = True) -> DataF
     """Price of the ticker element if it holds a digit, else the first plausible
     price anywhere in the page."""
     rest = [c for c in pages.columns if c != html]
-    read = pages.select(*rest, texts_of(F.col(html), [TICKER_PRICE, TICKER_LABEL, "body"]).alias("_t"))
-    shown, label, body = (F.get("_t", F.lit(i)) for i in range(3))
+    read = pages.select(*rest, texts_of(F.col(html), TICKER).alias("_t"))
+    price, label = ticker_texts(F.col("_t"), fallback)
+    return read.select(*rest, price.alias("price"), label.alias("label"))
+
+
+def ticker_texts(texts: Column, fallback: bool = True) -> tuple[Column, Column]:
+    """Price and label of ``ticker`` out of the texts of ``TICKER``."""
+    shown, label, body = (F.get(texts, F.lit(i)) for i in range(3))
     if fallback:
         own = F.when(shown.rlike("[0-9]"), parse_price(shown))
         price = F.coalesce(own, first_plausible_price(body))
     else:
         price = dollar_price(shown)
-    return read.select(*rest, price.alias("price"), F.coalesce(label, F.lit("Unknown")).alias("label"))
+    return price, F.coalesce(label, F.lit("Unknown"))
 
 
 def assemble(

@@ -227,3 +227,22 @@ def texts_of(html: Column, selectors: list[str]) -> Column:
         return pages.map(lambda page: first_texts(page, selectors))
 
     return read.asNondeterministic()(html)
+
+
+PARTS = T.StructType([T.StructField("rows", T.ArrayType(ROW)), T.StructField("texts", T.ArrayType(T.StringType()))])
+
+
+def parts_of_page(html: Column, kind: Column, selectors: dict[str, list[str]]) -> Column:
+    """What each kind of page is read for, in one parse: the texts of its selectors, or
+    its table rows if it has none."""
+
+    def part(page: str | None, kind: str | None) -> tuple[list, list]:
+        if kind in selectors:
+            return [], first_texts(page, selectors[kind])
+        return table_rows(page), []
+
+    @F.pandas_udf(PARTS)
+    def read(pages: pd.Series, kinds: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([part(p, k) for p, k in zip(pages, kinds)], columns=PARTS.names)
+
+    return read.asNondeterministic()(html, kind)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..schema import ADDED_LATER, BASE_COLUMNS, OBSERVATION, STOCKS, conform
 from .observations import project_existing
@@ -103,3 +104,19 @@ def write_report(rows: DataFrame, path: str) -> None:
     rows.orderBy("source", F.desc("scraped_at")).write.mode("overwrite").option("header", True).partitionBy(
         "source"
     ).csv(path)
+
+
+def append_collected(tagged: DataFrame, path: str) -> None:
+    """Accepted and refused records in one write, in folders of their own and in the
+    stored types; the table of observations is ``accepted=true``."""
+    _layout(stored_types(tagged)).write.mode("append").partitionBy("accepted", "source", "day").parquet(path)
+
+
+def read_collected(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All records written; ``schema`` is that of the tagged frame in stored types."""
+    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)
+
+
+def stored_types(df: DataFrame) -> DataFrame:
+    """Columns of the stored table in its types; others stay as they are."""
+    return df.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in OBSERVATION if f.name in df.columns})

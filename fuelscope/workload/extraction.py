@@ -5,11 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.clock import ntz
 from ..functions.text import dollar_price
 from ..operators import extract
-from ..schema import RETAIL
-from .frames import now, table
+from ..plans.collect import collect
+from ..schema import DAILY_AVG, RBOB, RETAIL, RUNS, STOCKS, WTI, as_double
+from ..session import new_folder
+from ..sources import sinks
+from .frames import OBS, now, ny, observations, source_of_event, table
 from .registry import query, rounded
+from .screening import NAMES, jump_sql
 
 K = "CAST(regexp_extract(props, '[0-9]+') AS DOUBLE)"
 
@@ -145,3 +150,68 @@ def _(spark, d):
     good, bad = extract.retail_observations(pages, F.col("read_at"))
     bad = bad.select(F.col("label").alias("label_ts"), F.col("read_at").alias("scraped_at"), F.lit(0).alias("kept"))
     return good.withColumn("kept", F.lit(1)).unionByName(bad, allowMissingColumns=True)
+
+
+COLLECT_FROM = "2024-01-15 12:30:00"
+
+
+def source_page():
+    """A page of the kind its source has; from k = 90 on it holds no price."""
+    told = F.col("k") < 90
+    quote = F.concat(
+        F.lit("<html><body>"),
+        F.when(told, F.concat(F.lit('<bg-quote class="value">$'), "v", F.lit("</bg-quote>"))).otherwise(""),
+        F.when(F.col("k") >= 20, F.concat(F.lit('<span class="timestamp__time">Last Updated: '), "event_type", F.lit("</span>"))).otherwise(""),
+        F.lit("</body></html>"),
+    )
+    wti = F.concat(
+        F.lit('<html><body><p class="price">'), F.when(told, F.col("v")).otherwise("closed"), F.lit('</p><p class="last-updated">now</p></body></html>')
+    )
+    label = F.when(told, "Current Avg.").otherwise("Month Ago Avg.")
+    average = page(tr("Yesterday Avg.", "$1.234"), tr(label, F.concat(F.lit("$"), "v")))
+    shown = F.when(told, F.concat(F.lit("$"), "v")).otherwise("loading")
+    retail = F.concat(F.lit('<html><body><p id="tickingAvgPriceText">'), shown, F.lit("</p></body></html>"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    expected = F.when(F.col("k") < 20, "").otherwise(F.concat(F.col("k").cast("int").cast("string"), F.lit("M")))
+    actual = F.when(told, F.concat("v", F.lit("M"))).otherwise("")
+    release = page(tr("2099-01-01", "", "", "", "9M", "1M", "2M"), tr(day, "", "", "", actual, "1M", expected))
+    kinds = {RETAIL: retail, DAILY_AVG: average, RBOB: quote, WTI: wti, STOCKS: release, RUNS: release}
+    return F.coalesce(*[F.when(F.col("source") == s, html) for s, html in kinds.items()])
+
+
+@query(
+    "a4_collect",
+    f"""WITH {OBS}, e AS (SELECT *, date_trunc('hour', scraped_at) AS hour_of, {ny("date_trunc('hour', scraped_at)")} AS w2,
+            scraped_at <= TIMESTAMP '{COLLECT_FROM}' AS old FROM obs),
+        l AS (SELECT source, arg_max(price, (hour_of, seq)) AS l FROM e WHERE old GROUP BY source),
+        w AS (SELECT source, arg_max(price, (hour_of, seq)) AS w FROM e WHERE old AND hour_of <= TIMESTAMP '{COLLECT_FROM}' - INTERVAL 7 DAY GROUP BY source),
+        j AS (SELECT e.*, {jump_sql('price', 'l')} AS lj, {jump_sql('price', 'w')} AS wj FROM e LEFT JOIN l USING (source) LEFT JOIN w USING (source) WHERE NOT old),
+        s AS (SELECT *, CASE WHEN consensus >= 90 THEN 'unread' WHEN source IN ({NAMES}) AND lj > 0.5 THEN 'last'
+            WHEN source IN ({NAMES}) AND wj > 0.5 THEN 'week' END AS r FROM j),
+        u AS (SELECT *, row_number() OVER (PARTITION BY source, hour_of, r IS NULL ORDER BY seq) AS i FROM s),
+        v AS (SELECT *, coalesce(r, CASE WHEN EXISTS (SELECT 1 FROM e x WHERE x.old AND x.source = u.source AND x.hour_of = u.hour_of) THEN 'stored' WHEN i > 1 THEN 'copy' END) AS reason FROM u)
+        SELECT seq AS page_id, source, fuel_type, CASE WHEN consensus < 90 THEN price END AS price,
+            CASE WHEN source = '{RETAIL}' THEN 'Unknown' WHEN source = '{DAILY_AVG}' THEN 'Current as of ' || strftime(w2, '%Y-%m-%d')
+                WHEN consensus >= 90 AND source <> '{WTI}' THEN NULL
+                WHEN source = '{RBOB}' THEN CASE WHEN consensus >= 20 THEN 'purchase' ELSE 'Unknown' END
+                WHEN source = '{WTI}' THEN 'now' ELSE strftime(scraped_at, '%Y-%m-%d') END AS label_ts,
+            'United States' AS region,
+            CASE WHEN source = '{STOCKS}' AND consensus < 90 THEN CASE WHEN consensus < 20 THEN 0.0 ELSE consensus END END AS consensus,
+            round(CASE WHEN source = '{STOCKS}' AND consensus < 90 THEN price - CASE WHEN consensus < 20 THEN 0.0 ELSE consensus END END, 6) AS surprise,
+            hour_of AS scraped_at, CASE WHEN source = '{DAILY_AVG}' THEN CAST(w2 AS DATE) - 1 END AS as_of_date,
+            CASE WHEN reason IS NULL THEN 1 ELSE 0 END AS accepted, reason FROM v""",
+)
+def _(spark, d):
+    """Pages of six kinds read by the hour, collected on top of the rows stored before
+    them; what was written is read back with its rejects."""
+    at = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    cut = ntz(COLLECT_FROM)
+    stored = observations(spark, d).filter(F.col("scraped_at") <= cut)
+    stored = stored.withColumn("scraped_at", F.date_trunc("hour", "scraped_at").cast("timestamp_ntz"))
+    seen = events(spark, d).filter(F.col("ts") > cut).withColumn("source", source_of_event())
+    pages = seen.select(F.col("event_id").alias("page_id"), "source", at.alias("read_at"), source_page().alias("html"))
+    tagged = collect(pages, stored, cut, F.col("read_at"), F.to_date("read_at"), tie="seq")
+    folder = new_folder(spark, "collected")
+    sinks.append_collected(tagged, folder)
+    back = as_double(sinks.read_collected(spark, folder, sinks.stored_types(tagged).schema))
+    return rounded(back.withColumn("accepted", F.col("accepted").cast("int")), 6, "surprise")

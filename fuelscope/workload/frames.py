@@ -18,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def as_observations(events: DataFrame) -> DataFrame:
-    k = F.regexp_extract("props", "(-?[0-9]+)", 1).cast("double")
+def source_of_event():
     kind = F.col("event_type")
-    source = (
+    k = F.regexp_extract("props", "(-?[0-9]+)", 1).cast("double")
+    return (
         F.when(kind == "view", RETAIL)
         .when(kind == "click", DAILY_AVG)
         .when(kind == "purchase", RBOB)
@@ -29,6 +29,12 @@ def as_observations(events: DataFrame) -> DataFrame:
         .when(k < 50, STOCKS)
         .otherwise(RUNS)
     )
+
+
+def as_observations(events: DataFrame) -> DataFrame:
+    k = F.regexp_extract("props", "(-?[0-9]+)", 1).cast("double")
+    kind = F.col("event_type")
+    source = source_of_event()
     wall = to_new_york(F.col("ts"))
     label = (
         F.when(kind == "view", F.date_format(wall, "M/d/yyyy h:mm:ss a"))
