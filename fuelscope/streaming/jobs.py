@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.clock import to_new_york
-from ..operators.lookup import insert_if_absent, keep_first
+from ..operators.lookup import insert_if_absent
 from ..operators.replay import WEEK_US, too_far
 from ..schema import KEY
+from ..session import cut_lineage
+from . import generations
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -33,17 +35,31 @@ def distinct_ingest(stream: DataFrame, keys: list[str] = KEY, time: str = "scrap
     return clocked.dropDuplicatesWithinWatermark(keys).drop("_clock")
 
 
-def run_ingest(stream: DataFrame, folder: str, keys: list[str] = KEY, order: str = "seq") -> StreamingQuery:
+def run_ingest(
+    stream: DataFrame, folder: str, keys: list[str] = KEY, order: str = "seq", part: Column | None = None
+) -> StreamingQuery:
     """Rows that a unique key lets in, checked against all rows stored, however old.
-    A batch has a folder of its own, which a repeated batch overwrites."""
+
+    The table is laid out by ``part``, a function of the key with few values (the day of
+    ``scraped_at`` unless given), and a batch reads the keys of its own parts only. Rows
+    without a part have an incomplete key and never conflict. In each part a batch has a
+    folder of its own, which a repeated batch overwrites.
+    """
     spark, out = stream.sparkSession, f"{folder}/out"
-    shape = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
-    spark.createDataFrame([], shape).write.mode("ignore").partitionBy("batch").parquet(out)
+    part = F.to_date("scraped_at").cast("string") if part is None else part.cast("string")
+    extra = [T.StructField("part", T.StringType()), T.StructField("batch", T.LongType())]
+    shape = T.StructType([*stream.schema.fields, *extra])
+    spark.createDataFrame([], shape).write.mode("ignore").partitionBy("part", "batch").parquet(out)
 
     def write(batch: DataFrame, number: int) -> None:
+        rows = cut_lineage(batch.withColumn("part", part))
+        # Days (or other parts) of one batch, not rows.
+        parts = [r[0] for r in rows.select("part").filter("part is not null").distinct().collect()]
         stored = batch.sparkSession.read.schema(shape).option("basePath", out).parquet(out)
-        earlier = stored.filter(F.col("batch") < number)
-        insert_if_absent(earlier, batch, keys, order).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        earlier = stored.filter(F.col("part").isin(parts) & (F.col("batch") < number))
+        fresh = insert_if_absent(earlier, rows, keys, order).withColumn("batch", F.lit(number).cast("long"))
+        writer = fresh.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("part", "batch").parquet(out)
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     query.awaitTermination()
@@ -200,12 +216,11 @@ def run_append(stream: DataFrame, folder: str) -> StreamingQuery:
     return query
 
 
-def run_update(stream: DataFrame, folder: str) -> StreamingQuery:
-    """Changed rows of each batch into a folder of the batch; a repeated batch
-    overwrites its own folder."""
+def run_update(stream: DataFrame, folder: str, keys: list[str], buckets: int = generations.BUCKETS) -> StreamingQuery:
+    """Changed rows of each batch, one for each key, merged into the stored ones."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
+        generations.merge(batch, number, f"{folder}/out", keys, buckets)
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -218,11 +233,9 @@ def run_update(stream: DataFrame, folder: str) -> StreamingQuery:
     return query
 
 
-def current_rows(spark: SparkSession, folder: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """Newest version of every key."""
-    shape = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(shape).option("basePath", f"{folder}/out").parquet(f"{folder}/out")
-    return keep_first(rows, keys, F.desc("batch")).drop("batch")
+def current_rows(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """Newest version of every key that ``run_update`` stored."""
+    return generations.current(spark, f"{folder}/out", schema)
 
 
 def late_rows(query: StreamingQuery) -> int:

@@ -9,7 +9,7 @@ from fuelscope.functions.clock import ny_date
 from fuelscope.operators import daily, lookup
 from fuelscope.operators.replay import replay
 from fuelscope.session import new_folder
-from fuelscope.streaming import jobs
+from fuelscope.streaming import generations, jobs
 from fuelscope.workload.frames import observations
 
 
@@ -59,9 +59,9 @@ def test_screen_equals_replay(spark, files):
 def test_daily_mean(spark, files):
     folder = new_folder(spark, "t")
     out = jobs.daily_mean_stream(read(spark, files), ["source"])
-    query = jobs.run_update(out, folder)
+    query = jobs.run_update(out, folder, ["source", "date"])
     assert jobs.late_rows(query) == 0
-    got = jobs.current_rows(spark, folder, out.schema, ["source", "date"]).withColumn("price", F.round("price", 6))
+    got = jobs.current_rows(spark, folder, out.schema).withColumn("price", F.round("price", 6))
     want = daily.daily_mean(files[1], ["source"], ny_date(F.col("scraped_at"))).withColumn("price", F.round("price", 6))
     same(got.select("source", "date", "price"), want)
 
@@ -76,16 +76,16 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
         spark.createDataFrame([("s", p, t) for t, p in step], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = jobs.read_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, "*.parquet")
         days = jobs.daily_mean_stream(stream, ["source"])
-        dropped += jobs.late_rows(jobs.run_update(days, folder))
-    got = {str(r["date"]): r["price"] for r in jobs.current_rows(spark, folder, days.schema, ["source", "date"]).collect()}
+        dropped += jobs.late_rows(jobs.run_update(days, folder, ["source", "date"]))
+    got = {str(r["date"]): r["price"] for r in jobs.current_rows(spark, folder, days.schema).collect()}
     assert got == {"2024-05-01": 1.0, "2024-05-31": 3.0} and dropped == 1
 
 
 def test_latest(spark, files):
     folder = new_folder(spark, "t")
     out = jobs.latest_stream(read(spark, files), ["source"])
-    jobs.run_update(out, folder)
-    same(jobs.current_rows(spark, folder, out.schema, ["source"]), lookup.latest_value(files[1], ["source"], tie="seq"))
+    jobs.run_update(out, folder, ["source"])
+    same(jobs.current_rows(spark, folder, out.schema), lookup.latest_value(files[1], ["source"], tie="seq"))
 
 
 def arrived(spark, folder, steps):
@@ -124,3 +124,56 @@ def test_rows_behind_the_watermark_are_an_output_of_their_own(spark, tmp_path):
     got = {r["seq"]: (r["accepted"], r["late"]) for r in out.collect()}
     assert got == {0: (True, False), 1: (True, False), 2: (False, False), 3: (None, True), 4: (True, False), 5: (True, False)}
     assert spark.read.parquet(f"{tmp_path}/run/out/late=true").count() == 1
+
+
+KEYED = "source string, day int, price double"
+
+
+def test_generations_replace_rows_of_equal_keys(spark, tmp_path):
+    folder = str(tmp_path)
+    frame = lambda *rows: spark.createDataFrame(rows, KEYED)
+    read = lambda: sorted(map(str, (tuple(r) for r in generations.current(spark, folder, frame(("a", 1, 1.0)).schema).collect())))
+    assert read() == []
+    generations.merge(frame(("a", 1, 1.0), (None, 1, 2.0), ("b", None, 3.0)), 0, folder, ["source", "day"], 4)
+    generations.merge(frame(("a", 2, 4.0), (None, 1, 5.0)), 1, folder, ["source", "day"], 4)
+    want = sorted(map(str, [("a", 1, 1.0), ("a", 2, 4.0), (None, 1, 5.0), ("b", None, 3.0)]))
+    assert read() == want
+    generations.merge(frame(("a", 2, 4.0), (None, 1, 5.0)), 1, folder, ["source", "day"], 4)
+    assert read() == want
+    generations.merge(frame(("a", 1, 0.0)).limit(0), 2, folder, ["source", "day"], 4)
+    assert read() == want
+
+
+def test_a_batch_that_was_not_published_is_not_seen(spark, tmp_path):
+    folder = str(tmp_path)
+    generations.merge(spark.createDataFrame([("a", 1, 1.0)], KEYED), 0, folder, ["source"], 4)
+    done = {p.name for p in tmp_path.glob("data/batch=0/*")}
+    generations.merge(spark.createDataFrame([("a", 1, 2.0)], KEYED), 1, folder, ["source"], 4)
+    (tmp_path / "lists/generation=1/_SUCCESS").unlink()
+    assert done and [r["price"] for r in generations.current(spark, folder, spark.createDataFrame([], KEYED).schema).collect()] == [1.0]
+    generations.merge(spark.createDataFrame([("a", 1, 2.0)], KEYED), 1, folder, ["source"], 4)
+    assert [r["price"] for r in generations.current(spark, folder, spark.createDataFrame([], KEYED).schema).collect()] == [2.0]
+
+
+def test_only_two_generations_stay(spark, tmp_path):
+    for n in range(5):
+        generations.merge(spark.createDataFrame([("a", n % 2, float(n))], KEYED), n, str(tmp_path), ["day"], 8)
+    assert len(list(tmp_path.glob("lists/generation=*"))) == 2
+    assert len(list(tmp_path.glob("data/batch=*"))) <= 3
+    got = generations.current(spark, str(tmp_path), spark.createDataFrame([], KEYED).schema).orderBy("day").collect()
+    assert [r["price"] for r in got] == [4.0, 3.0]
+
+
+def test_ingest_reads_only_the_days_of_the_batch(spark, tmp_path):
+    """Copies of stored rows are refused however old; files of other days are not needed."""
+    steps = [[(0, 1.0, 0), (1, 2.0, 100)], [(2, 1.0, 0), (3, 3.0, 200)]]
+    stream = arrived(spark, str(tmp_path), steps)
+    jobs.run_ingest(stream, str(tmp_path / "run"), ["source", "scraped_at"])
+    stored = spark.read.parquet(f"{tmp_path}/run/out")
+    assert sorted(r["seq"] for r in stored.collect()) == [0, 1, 3]
+    for f in tmp_path.glob("run/out/part=2024-08-09/batch=0/part-*"):
+        f.write_bytes(b"not a file of the table")
+    more = arrived(spark, str(tmp_path), [[(4, 1.0, 0), (5, 9.0, 200), (6, 9.0, 201)]])
+    jobs.run_ingest(more, str(tmp_path / "run"), ["source", "scraped_at"])
+    new = spark.read.parquet(f"{tmp_path}/run/out/part=2024-11-18")
+    assert [r["seq"] for r in new.collect()] == [6]
