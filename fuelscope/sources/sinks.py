@@ -10,6 +10,9 @@ from pyspark.sql.types import StructType
 from ..schema import ADDED_LATER, BASE_COLUMNS, OBSERVATION, STOCKS, conform
 from .observations import project_existing
 
+# Written text keeps the microseconds that the stored times have.
+CSV = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def append(df: DataFrame, path: str, now: Column) -> bool:
     """Append a batch under one ingest time, laid out by source and day; an empty
@@ -47,7 +50,7 @@ def evolve(df: DataFrame) -> DataFrame:
 def export_csv(df: DataFrame, path: str) -> None:
     """Everything, newest first across the numbered part files."""
     ordered = project_existing(df).orderBy(F.desc("scraped_at"))
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+    ordered.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def backup_slices(df: DataFrame, today: Column | date) -> DataFrame:
@@ -70,7 +73,7 @@ def backup_slices(df: DataFrame, today: Column | date) -> DataFrame:
 def write_backup(df: DataFrame, path: str, today: date) -> None:
     """One folder per slice that has rows."""
     slices = backup_slices(df, today)
-    slices.orderBy("slice", F.desc("scraped_at")).write.mode("overwrite").option("header", True).partitionBy(
+    slices.orderBy("slice", F.desc("scraped_at")).write.mode("overwrite").options(**CSV).partitionBy(
         "slice"
     ).csv(path)
 
@@ -101,7 +104,7 @@ def monthly_report(df: DataFrame, today: Column) -> DataFrame:
 
 def write_report(rows: DataFrame, path: str) -> None:
     """One section (folder) per source, newest first."""
-    rows.orderBy("source", F.desc("scraped_at")).write.mode("overwrite").option("header", True).partitionBy(
+    rows.orderBy("source", F.desc("scraped_at")).write.mode("overwrite").options(**CSV).partitionBy(
         "source"
     ).csv(path)
 

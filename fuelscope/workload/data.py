@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..functions import arith, clock, text
@@ -473,3 +475,76 @@ def _(spark, d):
     text_rows.write.option("header", True).csv(folder)
     out, _ = clean_import(obs_source.read_csv(spark, folder), now())
     return out.select("source", "fuel_type", "price", "label_ts", "region", "scraped_at", "as_of_date")
+
+
+@query(
+    "i18_bad_input",
+    f"""WITH {OBS}, t AS (SELECT *, seq % 11 = 0 AS bad, CASE WHEN source = '{DAILY_AVG}' THEN {utc("CAST(day AS TIMESTAMP) + INTERVAL 8 HOUR")}
+            WHEN source LIKE 'tradingeconomics%' THEN {utc("date_trunc('day', scraped_at)")} ELSE date_trunc('second', scraped_at) END AS at_time FROM obs)
+        SELECT source, fuel_type, CASE WHEN seq % 7 <> 0 THEN price END AS price, CASE WHEN bad THEN 'soon' ELSE label_ts END AS label_ts, region,
+            CASE WHEN bad THEN TIMESTAMP '{NOW}' ELSE at_time END AS scraped_at, CASE WHEN source = '{DAILY_AVG}' AND NOT bad THEN day END AS as_of_date
+        FROM t WHERE consensus >= 10 QUALIFY bad OR row_number() OVER (PARTITION BY bad, source, fuel_type, at_time ORDER BY seq) = 1""",
+)
+def _(spark, d):
+    """A file with unreadable prices and times and with blank names of both columns."""
+    folder = new_folder(spark, "drop")
+    bad = F.col("seq") % 11 == 0
+    label = F.when(bad, "soon").otherwise(F.col("label_ts"))
+    price = F.when(F.col("seq") % 7 != 0, F.format_string("%.2f", "price")).otherwise(F.when(F.col("seq") % 2 == 0, "n/a").otherwise(F.lit("1.2.3")))
+    text_rows = observations(spark, d).orderBy("seq").select(
+        F.when(F.col("consensus") >= 5, F.col("source")).otherwise("NaN").alias("source"),
+        F.when(F.col("consensus").between(5, 9), F.lit("  ")).otherwise(F.col("fuel_type")).alias("fuel_type"),
+        price.alias("price"),
+        label.alias("timestamp"),
+        "region",
+        label.alias("scraped_at"),
+    )
+    text_rows.write.option("header", True).csv(folder)
+    out, _ = clean_import(obs_source.read_csv(spark, folder), now())
+    return out.select("source", "fuel_type", "price", "label_ts", "region", "scraped_at", "as_of_date")
+
+
+def _read_back(spark, folder, *more):
+    """A written text table in the types of its columns."""
+    text_rows = spark.read.option("header", True).csv(folder)
+    kinds = {"price": "double", "consensus": "double", "surprise": "double", "scraped_at": "timestamp_ntz"}
+    typed = text_rows.withColumns({c: F.col(c).cast(t) for c, t in kinds.items() if c in text_rows.columns})
+    return rounded(typed.select("source", "fuel_type", "price", "label_ts", "region", "scraped_at", "consensus", "surprise", *more), 8, "surprise")
+
+
+@query(
+    "a6_export_read_back",
+    f"WITH {OBS} SELECT source, fuel_type, price, label_ts, region, scraped_at, consensus, round(surprise, 8) AS surprise FROM obs",
+)
+def _(spark, d):
+    folder = new_folder(spark, "export")
+    sinks.export_csv(observations(spark, d), folder)
+    return _read_back(spark, folder)
+
+
+@query(
+    "a7_backup_read_back",
+    f"""WITH {OBS}, t AS (SELECT DATE '2024-01-30' AS today), d AS (SELECT source, fuel_type, price, label_ts, region, scraped_at, consensus,
+            round(surprise, 8) AS surprise, CAST(scraped_at AS DATE) AS day FROM obs)
+        SELECT * EXCLUDE (day, today), 'today' AS slice FROM d, t WHERE day = today
+        UNION ALL SELECT * EXCLUDE (day, today), 'yesterday' FROM d, t WHERE day = today - 1
+        UNION ALL SELECT * EXCLUDE (day, today), 'month' FROM d, t WHERE day >= date_trunc('month', today)""",
+)
+def _(spark, d):
+    folder = new_folder(spark, "backup")
+    sinks.write_backup(observations(spark, d), folder, date(2024, 1, 30))
+    return _read_back(spark, folder, "slice")
+
+
+@query("a8_report_read_back", f"WITH {OBS} SELECT {REPORT} FROM obs WHERE CAST(scraped_at AS DATE) = DATE '2024-01-30'")
+def _(spark, d):
+    folder = new_folder(spark, "report")
+    sinks.write_report(sinks.daily_report(observations(spark, d), F.to_date(now())), folder)
+    return _read_back(spark, folder)
+
+
+@query("a9_report_read_back", f"WITH {OBS} SELECT {REPORT} FROM obs WHERE CAST(scraped_at AS DATE) >= DATE '2024-01-01'")
+def _(spark, d):
+    folder = new_folder(spark, "report")
+    sinks.write_report(sinks.monthly_report(observations(spark, d), F.to_date(now())), folder)
+    return _read_back(spark, folder)
