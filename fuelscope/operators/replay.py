@@ -1,16 +1,23 @@
 """Sequential plausibility replay: only accepted rows become reference prices.
 
-A key that fits one task is scanned in order. A larger key is cut into pieces of
-less than seven days. Every round scans all pieces of some weeks at the same time,
-each from the last accepted price before it and with week-old prices taken from the
-round before. A round in which nothing changes is the sequential answer: the first
-piece is right after one round, and every further round makes at least one more
-piece right. Two scans of a piece from different prices meet as soon as both accept
-the same row, so large pieces settle in few rounds.
+Against the last price alone, a calendar piece of a key is a map from the price that
+enters it to the price that leaves it. All pieces are tabulated at the same time, their
+maps are followed piece by piece, and all pieces are scanned at the same time from the
+prices found; no job runs while the plan is built, and no key is counted.
+
+With the week-old price a key that fits one task is scanned in order. A larger key goes
+through rounds: every round scans all days of some weeks at the same time, each from the
+last accepted price before it and with week-old prices taken from the round before. A
+round in which nothing changes is the sequential answer: the first day is right after
+one round, and every further round makes at least one more day right. Scans from
+different prices meet when both accept the same row, but the accepted rows of a whole
+week enter the next one, so these maps cannot be tabulated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
@@ -18,9 +25,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from ..joins import join_same
 from ..session import broadcast_if_small, cut_lineage, new_folder
 from .lookup import asof
-from .skew import SEGMENT, hot_keys, lookup, segment
 
-# Rows one Python task holds at a time.
+# A key of more rows is not held by one Python task.
 ROWS_PER_SCAN = 1_000_000
 WEEK_US = 7 * 86_400 * 1_000_000
 EPOCH = "timestamp_ntz'1970-01-05 00:00:00'"
@@ -49,14 +55,121 @@ def scan_week(times: np.ndarray, prices: np.ndarray, limit: float) -> np.ndarray
     return flags
 
 
-def scan_piece(prices: np.ndarray, week: np.ndarray, last: float, limit: float) -> np.ndarray:
-    """Flags of one piece from a given last price and given week-old prices."""
-    flags = np.zeros(len(prices), dtype=bool)
-    for i, (p, w) in enumerate(zip(prices.tolist(), week.tolist())):
-        if p == p and not too_far(p, last, limit) and not too_far(p, w, limit):
-            flags[i] = True
-            last = p
-    return flags
+class Passage:
+    """Which price leaves a piece, for every price that may enter it.
+
+    An entering price waits for the first row that accepts it and then shares the fate of
+    all others accepted there. Kept are the rows that are first for some entering price,
+    each with a state; states that accept the same row become one. Two living states are
+    too far apart to accept each other, so there are at most as many as steps of
+    ``1 + limit`` in the range of the prices.
+    """
+
+    def __init__(self, limit: float):
+        self.limit = limit
+        self.firsts: list[float] = []
+        self.state_of: list[int] = []
+        self.parent: list[int] = []
+        self.value: list[float] = []
+        self.living: list[int] = []
+        self.seen: set[float] = set()
+        self.covered: list[tuple[float, float]] = []
+
+    def step(self, p: float) -> None:
+        if p != p:
+            return
+        accepting = [s for s in self.living if not too_far(p, self.value[s], self.limit)]
+        state = accepting[0] if accepting else None
+        if len(accepting) > 1:
+            for other in accepting[1:]:
+                self.parent[other] = state
+            self.living = [s for s in self.living if s == state or s not in accepting]
+        if self._may_be_first(p):
+            if state is None:
+                state = len(self.value)
+                self.parent.append(state)
+                self.value.append(p)
+                self.living.append(state)
+            self.firsts.append(p)
+            self.state_of.append(state)
+        if state is not None:
+            self.value[state] = p
+
+    def _may_be_first(self, p: float) -> bool:
+        """False only if every price that accepts ``p`` has met an accepting row before.
+        Bounds are moved by more than rounding, so that doubt keeps the row."""
+        if p in self.seen:
+            return False
+        self.seen.add(p)
+        if not self.firsts:
+            self._cover(p)
+            return True
+        if not 0 <= self.limit < 1 or not np.isfinite(p):
+            return True
+        if p == 0:
+            # Only a price of zero or none accepts it, and those take the first row.
+            return False
+        low, high = self._bounds(p, 1e-9)
+        if any(a <= low and high <= b for a, b in self.covered):
+            return False
+        self._cover(p)
+        return True
+
+    def _bounds(self, p: float, slack: float) -> tuple[float, float]:
+        a, b = p / (1 + self.limit), p / (1 - self.limit)
+        low, high = (a, b) if p > 0 else (b, a)
+        return low - abs(low) * slack, high + abs(high) * slack
+
+    def _cover(self, p: float) -> None:
+        if not 0 <= self.limit < 1 or not np.isfinite(p) or p == 0:
+            return
+        low, high = self._bounds(p, -1e-12)
+        apart = [(a, b) for a, b in self.covered if b < low or high < a]
+        touching = [(a, b) for a, b in self.covered if not (b < low or high < a)]
+        self.covered = [*apart, (min([low, *[a for a, _ in touching]]), max([high, *[b for _, b in touching]]))]
+
+    def exits(self) -> list[float]:
+        """The leaving price behind each of ``firsts``."""
+        out = []
+        for s in self.state_of:
+            while self.parent[s] != s:
+                s = self.parent[s]
+            out.append(self.value[s])
+        return out
+
+
+def leaving(entering: float | None, firsts: list[float], exits: list[float], limit: float) -> float | None:
+    """The price that leaves a piece which ``entering`` enters."""
+    for p, out in zip(firsts, exits):
+        if not too_far(p, entering, limit):
+            return out
+    return entering
+
+
+def _begins(pdf: pd.DataFrame, columns: list[str], before: tuple | None) -> np.ndarray:
+    """Where a row differs from the one above it in ``columns``; NULLs are equal."""
+    new = np.zeros(len(pdf), dtype=bool)
+    for c in columns:
+        here, above = pdf[c], pdf[c].shift()
+        new |= ~((here == above) | (here.isna() & above.isna())).to_numpy(dtype=bool)
+    first = zip((pdf[c].iloc[0] for c in columns), before or ())
+    new[0] = before is None or not all((pd.isna(a) and pd.isna(b)) or a == b for a, b in first)
+    return new
+
+
+def _pieces(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Sorted batches, each with the rows that begin a new piece."""
+    before = None
+    for pdf in frames:
+        if len(pdf):
+            begins = _begins(pdf, columns, before)
+            before = tuple(pdf[c].iloc[-1] for c in columns)
+            yield pdf, begins
+
+
+def _in_order(df: DataFrame, piece: list[str], order: list) -> DataFrame:
+    """The rows of a piece behind each other in one task, which streams over them."""
+    return df.repartition(*piece).sortWithinPartitions(*piece, *order)
 
 
 def _with_flag(df: DataFrame) -> T.StructType:
@@ -74,14 +187,13 @@ def _whole(df: DataFrame, keys: list[str], time: str, tie: str, limit: float) ->
 
 
 def _large(
-    df: DataFrame, keys: list[str], time: str, tie: str, limit: float, per: int
+    df: DataFrame, keys: list[str], time: str, tie: str, limit: float
 ) -> DataFrame:
     """Week by week, or several weeks at once while they settle quickly."""
     spark, columns = df.sparkSession, df.columns
-    cut, _ = segment(df, keys, time, tie, per)
-    # Pieces never span a week, so week-old prices always come from earlier ones.
+    # Pieces are days, so week-old prices always come from earlier ones.
     slab = F.expr(f"cast(floor(timestampdiff(DAY, {EPOCH}, {time}) / 7.0) as int)")
-    cut = cut.withColumnsRenamed({"_seg": "_piece", "_sub": "_part"}).withColumn("_slab", slab)
+    cut = df.withColumns({"_day": F.date_trunc("DAY", time), "_slab": slab})
     folder = new_folder(spark, "weeks")
     cut.hint("rebalance", "_slab").write.partitionBy("_slab").parquet(folder)
     cut = spark.read.schema(cut.schema).parquet(folder)
@@ -93,7 +205,7 @@ def _large(
     while at < len(weeks):
         first, last = weeks[at], weeks[min(at + width, len(weeks)) - 1]
         part = cut.filter(F.col("_slab").between(first, last))
-        settled, rounds = _settle(part, tail, keys, time, tie, limit, per)
+        settled, rounds = _settle(part, tail, keys, time, tie, limit)
         done.append(settled.select(*columns, "accepted"))
         at += width
         width = width * 2 if rounds <= 3 else max(1, width // 2)
@@ -110,28 +222,30 @@ def _large(
 
 
 def _settle(
-    part: DataFrame, tail: DataFrame, keys: list[str], time: str, tie: str, limit: float, per: int
+    part: DataFrame, tail: DataFrame, keys: list[str], time: str, tie: str, limit: float
 ) -> tuple[DataFrame, int]:
     """Rounds over all pieces of ``part`` until none changes; ``tail`` holds the
     accepted rows before it."""
-    inner = ["_slab", "_piece", "_part"]
-    piece = [*keys, *inner]
+    piece = [*keys, "_day"]
     order = F.struct(time, tie)
-    before = W.partitionBy(*keys).orderBy(*inner).rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*keys).orderBy(F.asc_nulls_first("_day")).rowsBetween(W.unboundedPreceding, -1)
+    unit = part.schema["_day"].dataType
     origin = tail.groupBy(*keys).agg(F.max_by("price", order).alias("_end")).select(
-        *keys, F.lit(-(2**31)).alias("_slab"), F.lit(0).alias("_piece"), F.lit(0).alias("_part"), "_end"
+        *keys, F.lit(None).cast(unit).alias("_day"), "_end"
     )
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([time, tie])
-        start = pdf["_last"].iloc[0]
-        flags = scan_piece(
-            pdf["price"].to_numpy("float64"),
-            pdf["_week"].to_numpy("float64"),
-            float(start) if pd.notna(start) else float("nan"),
-            limit,
-        )
-        return pdf.assign(_old=pdf["accepted"], accepted=flags)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for pdf, begins in _pieces(frames, piece):
+            flags = np.zeros(len(pdf), dtype=bool)
+            columns = (pdf[c].to_numpy("float64").tolist() for c in ("price", "_week", "_last"))
+            for i, (new, p, week, start) in enumerate(zip(begins.tolist(), *columns)):
+                if new:
+                    last = start
+                if p == p and not too_far(p, last, limit) and not too_far(p, week, limit):
+                    flags[i] = True
+                    last = p
+            yield pdf.assign(_old=pdf["accepted"], accepted=flags)
 
     now = part.withColumn("accepted", F.col("price").isNotNull())
     columns = now.columns
@@ -144,7 +258,7 @@ def _settle(
         asked = asof(now, good, keys, "price", "_week", "7 days", time, tie)
         ready = join_same(asked, broadcast_if_small(starts.drop("_end")), piece, "left")
         shape = T.StructType([*_with_flag(ready).fields, T.StructField("_old", T.BooleanType())])
-        after = cut_lineage(ready.groupBy(*piece).applyInPandas(run, shape))
+        after = cut_lineage(_in_order(ready, piece, [time, tie]).mapInPandas(run, shape))
         now = after.select(*columns)
         if after.filter("accepted <> _old").isEmpty():
             return now, rounds
@@ -161,14 +275,13 @@ def replay(
     """The rows with ``accepted`` as a job run after each of them would have set it.
     Rows without a time stay and are not accepted."""
     df, untimed = _timed(df, time)
-    hot = hot_keys(df, keys, rows_per_segment)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = broadcast_if_small(counted.filter(F.col("_n") > rows_per_segment).drop("_n"))
     if hot.isEmpty():
         return _whole(df, keys, time, tie, limit).unionByName(untimed)
-    cold = lookup(df, hot, keys, "left_anti")
-    large = lookup(df, hot, keys, "left_semi")
-    return _whole(cold, keys, time, tie, limit).unionByName(
-        _large(large, keys, time, tie, limit, rows_per_segment)
-    ).unionByName(untimed)
+    cold = join_same(df, hot, keys, "left_anti")
+    large = join_same(df, hot, keys, "left_semi")
+    return _whole(cold, keys, time, tie, limit).unionByName(_large(large, keys, time, tie, limit)).unionByName(untimed)
 
 
 def _timed(df: DataFrame, time: str) -> tuple[DataFrame, DataFrame]:
@@ -182,31 +295,80 @@ def replay_last_only(
     time: str = "scraped_at",
     tie: str = "seq",
     limit: float = 0.50,
-    rows_per_segment: int = ROWS_PER_SCAN,
+    piece: str = "DAY",
 ) -> DataFrame:
-    """Replay against the last accepted price only; rows without a time as in ``replay``."""
+    """Replay against the last accepted price only; rows without a time as in ``replay``.
+    ``piece`` is a unit of ``date_trunc`` and changes the tasks, never the answer. What
+    follows the maps reads one row for each piece of a key, bounded by the calendar."""
     df, untimed = _timed(df, time)
+    rows = df.withColumn("_unit", F.date_trunc(piece, time))
+    by = [*keys, "_unit"]
+    passages = _in_order(rows.select(*by, time, tie, F.col("price").cast("double").alias("price")), by, [time, tie])
+    table = "_firsts array<double>, _exits array<double>"
+    maps = passages.select(*by, "price").mapInPandas(_tabulate(by, limit), _shape(rows, by, table))
+    entries = _in_order(maps, keys, ["_unit"]).mapInPandas(_follow(keys, limit), _shape(rows, by, "_last double"))
+    both = rows.withColumn("_side", F.lit(1)).unionByName(entries.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    ready = _in_order(both, by, ["_side", time, tie])
+    return ready.mapInPandas(_scan(by, limit), _with_flag(df)).unionByName(untimed)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([time, tie])
-        price = pdf["price"].to_numpy("float64")
-        last = float(pdf["_last"].iloc[0]) if pd.notna(pdf["_last"].iloc[0]) else float("nan")
-        return pdf.assign(accepted=scan_piece(price, np.full(len(price), np.nan), last, limit))
-
-    cut, split = segment(df, keys, time, tie, rows_per_segment)
-    piece = [*keys, *SEGMENT]
-    if not split:
-        ready = cut.withColumn("_last", F.lit(None).cast("double"))
-        return ready.groupBy(*piece).applyInPandas(run, _with_flag(ready)).drop("_last", *SEGMENT).unionByName(untimed)
-    cut = cut_lineage(cut.withColumn("accepted", F.col("price").isNotNull()))
-    before = W.partitionBy(*keys).orderBy(*SEGMENT).rowsBetween(W.unboundedPreceding, -1)
-    while True:
-        ends = cut.groupBy(*piece).agg(
-            F.max_by("price", F.when(F.col("accepted"), F.struct(time, tie))).alias("_end")
-        )
-        starts = ends.withColumn("_last", F.last("_end", ignorenulls=True).over(before)).drop("_end")
-        ready = join_same(cut.withColumnRenamed("accepted", "_old"), broadcast_if_small(starts), piece, "left")
-        after = cut_lineage(ready.groupBy(*piece).applyInPandas(run, _with_flag(ready)))
-        if after.filter("accepted <> _old").isEmpty():
-            return after.drop("_last", "_old", *SEGMENT).unionByName(untimed)
-        cut = after.select(*cut.columns)
+
+def _shape(df: DataFrame, columns: list[str], more: str) -> T.StructType:
+    return T.StructType([*[df.schema[c] for c in columns], *T.StructType.fromDDL(more)])
+
+
+def _tabulate(by: list[str], limit: float):
+    """One row for each piece: its first rows and the prices that leave behind them."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        passage, names = None, None
+        for pdf, begins in _pieces(frames, by):
+            done = []
+            for i, (new, p) in enumerate(zip(begins.tolist(), pdf["price"].tolist())):
+                if new:
+                    if passage is not None:
+                        done.append((*names, passage.firsts, passage.exits()))
+                    passage, names = Passage(limit), [pdf[c].iloc[i] for c in by]
+                passage.step(p)
+            if done:
+                yield pd.DataFrame(done, columns=[*by, "_firsts", "_exits"])
+        if passage is not None:
+            yield pd.DataFrame([(*names, passage.firsts, passage.exits())], columns=[*by, "_firsts", "_exits"])
+
+    return run
+
+
+def _follow(keys: list[str], limit: float):
+    """The price that enters each piece, piece by piece of a key."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for pdf, begins in _pieces(frames, keys):
+            entering = []
+            for new, firsts, exits in zip(begins.tolist(), pdf["_firsts"], pdf["_exits"]):
+                if new:
+                    last = None
+                entering.append(last)
+                last = leaving(last, firsts.tolist(), exits.tolist(), limit)
+            yield pdf.drop(columns=["_firsts", "_exits"]).assign(_last=pd.Series(entering, index=pdf.index, dtype="float64"))
+
+    return run
+
+
+def _scan(by: list[str], limit: float):
+    """Flags of the rows of each piece, which the entering price stands in front of."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for pdf, _ in _pieces(frames, by):
+            flags = np.zeros(len(pdf), dtype=bool)
+            sides = pdf["_side"].to_numpy()
+            columns = (pdf[c].to_numpy("float64").tolist() for c in ("price", "_last"))
+            for i, (side, p, start) in enumerate(zip(sides.tolist(), *columns)):
+                if side == 0:
+                    last = start
+                elif p == p and not too_far(p, last, limit):
+                    flags[i] = True
+                    last = p
+            yield pdf.assign(accepted=flags)[sides == 1].drop(columns=["_unit", "_side", "_last"])
+
+    return run

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fuelscope.operators import daily, lookup, replay, skew
+from fuelscope.operators import daily, lookup, replay
 from fuelscope.workload.frames import observations
 
 START = datetime(2024, 1, 1)
@@ -62,24 +62,6 @@ def test_asof_zero_lag_sees_all_of_the_instant(spark):
         assert {r["seq"]: r["ref"] for r in got.collect()} == asof_python(rows, timedelta(0))
 
 
-def test_segments_ascend_and_stay_small(spark):
-    df = spark.createDataFrame(hot_rows(n=4000, burst=1500), SCHEMA)
-    cut, split = skew.segment(df, ["source"], "scraped_at", "seq", 200)
-    assert split
-    rows = sorted((r["scraped_at"], r["seq"], r["_seg"], r["_sub"]) for r in cut.filter("source = 'hot'").collect())
-    pieces = [(r[2], r[3]) for r in rows]
-    assert pieces == sorted(pieces)
-    assert cut.groupBy("source", "_seg", "_sub").count().agg(F.max("count")).first()[0] <= 420
-    assert cut.count() == 5500
-
-
-def test_null_key_is_split_too(spark):
-    rows = [(i, None, 1.0 + i % 7, START + timedelta(minutes=i)) for i in range(500)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    cut, split = skew.segment(df, ["source"], "scraped_at", "seq", 100)
-    assert split and cut.select("_seg").distinct().count() >= 5
-
-
 def jobs_run(spark, build):
     """Spark jobs that run while ``build`` is called."""
     group = f"building-{uuid.uuid4()}"
@@ -96,6 +78,7 @@ def test_no_job_while_plans_are_built(spark):
     assert jobs_run(spark, lambda: df.count()) > 0
     assert jobs_run(spark, lambda: lookup.asof(df, df, ["source"], "price", "ref", "7 days")) == 0
     assert jobs_run(spark, lambda: daily.percentiles(df, ["source"], "price", {"p": 0.3})) == 0
+    assert jobs_run(spark, lambda: replay.replay_last_only(df, ["source"])) == 0
 
 
 def test_asof_with_missing_keys_and_times(spark):
@@ -165,11 +148,11 @@ def test_replay_split(spark, seed, per):
     assert 0 < sum(want.values()) < len(want)
 
 
-@pytest.mark.parametrize("per", [60, 10**6])
-def test_replay_last_only_split(spark, per):
+@pytest.mark.parametrize("piece", ["HOUR", "DAY", "YEAR"])
+def test_replay_last_only_split(spark, piece):
     rows = hot_rows(seed=4, n=700, burst=90)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = replay.replay_last_only(df, ["source"], rows_per_segment=per)
+    got = replay.replay_last_only(df, ["source"], piece=piece)
     assert {r["seq"]: r["accepted"] for r in got.collect()} == replay_python(rows, week=False)
 
 
@@ -197,13 +180,79 @@ def test_replay_week_rule_alone_rejects(spark):
     assert all(by_last) and by_week[:7] == [True] * 7 and not all(by_week)
 
 
-@pytest.mark.parametrize("run", [replay.replay, replay.replay_last_only])
-def test_replay_with_missing_keys_and_times(spark, run):
+def scan_last(prices, last, limit):
+    """Flags and leaving price of one piece, row by row."""
+    flags = []
+    for p in prices:
+        ok = p == p and not replay.too_far(p, last, limit)
+        flags.append(ok)
+        last = p if ok else last
+    return flags, last
+
+
+@pytest.mark.parametrize("limit", [0.5, 0.1, 0.9, 1.5, 0.0])
+def test_passage_equals_a_scan_from_every_price(limit):
+    rnd = random.Random(11)
+    draws = [
+        lambda: rnd.uniform(1, 4),
+        lambda: rnd.choice([1.1, 2.2, 3.3, 1.65, 0.7, 1.4, 0.0]),
+        lambda: rnd.choice([-1, 1]) * 10 ** rnd.uniform(-6, 6),
+        lambda: rnd.choice([1.0, float("nan"), float("inf"), -2.0, 0.0, 1.5]),
+    ]
+    for n in (0, 1, 2, 5, 60):
+        for draw in draws:
+            for _ in range(12):
+                prices = [draw() for _ in range(n)]
+                passage = replay.Passage(limit)
+                for p in prices:
+                    passage.step(p)
+                exits = passage.exits()
+                edges = [p * f for p in prices if p == p for f in (1, 1 / (1 + limit), 1 + limit, 1 / (1 - limit) if limit != 1 else 1)]
+                near = [float(np.nextafter(e, to)) for e in edges[:40] for to in (-np.inf, np.inf)]
+                for r in [None, 0.0, *edges, *near, *[draw() for _ in range(20)]]:
+                    if r is None or r == r:
+                        got = replay.leaving(r, passage.firsts, exits, limit)
+                        want = scan_last(prices, r, limit)[1]
+                        assert got == want, (prices, r)
+
+
+def test_passage_keeps_few_states_and_rows():
+    rnd = random.Random(3)
+    passage = replay.Passage(0.5)
+    for _ in range(50_000):
+        passage.step(3 * 10 ** rnd.gauss(0, 1))
+    assert len(passage.living) < 100 and len(passage.firsts) < 300
+
+
+def test_replay_last_only_with_many_keys_and_null_prices(spark):
+    """Several keys and pieces in one task, batches of a few rows."""
+    rng = np.random.default_rng(8)
+    rows = [
+        (i, [None, "a", "b"][rng.integers(3)], [None, 1, 2][rng.integers(3)], None if i % 13 == 0 else float(rng.choice([1, 1.4, 2, 5])), START + timedelta(hours=int(rng.integers(300))))
+        for i in range(900)
+    ]
+    df = spark.createDataFrame(rows, "seq long, k string, m int, price double, scraped_at timestamp_ntz")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {r["seq"]: r["accepted"] for r in replay.replay_last_only(df, ["k", "m"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, last = {}, {}
+    for seq, k, m, p, at in sorted(rows, key=lambda r: (r[4], r[0])):
+        ok = p is not None and not replay.too_far(p, last.get((k, m)), 0.5)
+        want[seq] = ok
+        if ok:
+            last[k, m] = p
+    assert got == want
+
+
+@pytest.mark.parametrize("run, sizes", [(replay.replay, [{"rows_per_segment": n} for n in (10_000, 100)]), (replay.replay_last_only, [{"piece": u} for u in ("YEAR", "HOUR")])])
+def test_replay_with_missing_keys_and_times(spark, run, sizes):
     """One answer for all sizes of a piece; every row comes back."""
     rng = np.random.default_rng(5)
     start = datetime(2024, 1, 1)
     rows = [(i, ["a", None][i % 2], None if i % 20 == 3 else start + timedelta(hours=int(rng.integers(0, 24 * 14))), float(rng.choice([1.0, 1.2, 3.0]))) for i in range(400)]
     df = spark.createDataFrame(rows, "seq long, k string, scraped_at timestamp_ntz, price double")
-    answers = [{r["seq"]: r["accepted"] for r in run(df, ["k"], rows_per_segment=per).collect()} for per in (10_000, 100)]
+    answers = [{r["seq"]: r["accepted"] for r in run(df, ["k"], **size).collect()} for size in sizes]
     assert answers[0] == answers[1] and len(answers[0]) == len(rows)
     assert not any(answers[0][r[0]] for r in rows if r[2] is None)
