@@ -150,10 +150,11 @@ def by_bytes(fn: Callable[[pd.DataFrame], pd.DataFrame], size: int = 1 << 22, co
     return run
 
 
-def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512):
+def in_batches(fn: Callable[[pd.DataFrame], pd.DataFrame], rows: int = 512, column: str = "text", size: int = 1 << 22):
     """For ``mapInPandas``: hand ``fn`` at most ``rows`` rows of bounded texts at a time, so
-    that long texts stay few in memory."""
-    return by_bytes(fn, rows=rows)
+    that long texts stay few in memory. ``size`` bounds what ``column`` holds, texts or
+    their compressed bytes."""
+    return by_bytes(fn, size, column, rows)
 
 
 __all__ = ["QUERIES", "SQL", "WORD", "Words", "by_bytes", "cut_lineage", "fresh_name", "hashed_words", "held_out", "in_batches", "mix64", "n_words", "powers", "query", "read", "words"]

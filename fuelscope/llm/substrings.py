@@ -128,6 +128,10 @@ def _pressed(texts: pd.Series) -> pd.Series:
     return pd.Series([press.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts])
 
 
+# Compressed bytes of one batch: texts of about four times as many characters.
+_PRESSED = 1 << 20
+
+
 def _opened(raw: bytes) -> str:
     return zstandard.ZstdDecompressor().decompress(raw).decode("utf-8", "surrogatepass")
 
@@ -177,7 +181,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     # A row that comes twice holds its windows twice.
     times = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    windows = cut_lineage(pressed.join(unsure, "row_key").mapInPandas(in_batches(single), "row_key long, h long, at int"))
+    windows = cut_lineage(pressed.join(unsure, "row_key").mapInPandas(in_batches(single, column="z", size=_PRESSED), "row_key long, h long, at int"))
     twice = cut_lineage(windows.groupBy(F.col("h").alias("of")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("of"))
     one_by_one = windows.join(twice, F.col("h") == F.col("of")).select("row_key", "at", F.lit(window).alias("n"))
     doubled = windows.join(times, "row_key").select("row_key", "at", F.lit(window).alias("n"))
@@ -209,7 +213,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True
         return pd.DataFrame(out, columns=names[: 5 if with_text else 4]).astype({"doc_id": "Int64"})
 
     joined = rows.join(spans, F.col("row_key") == F.col("of"), "left").select("doc_id", "z", "begins", "lengths")
-    return joined.mapInPandas(in_batches(cut), "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else ""))
+    return joined.mapInPandas(in_batches(cut, column="z", size=_PRESSED), "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string" if with_text else ""))
 
 
 @query("op2_repeats")
