@@ -5,22 +5,23 @@ enters it to the price that leaves it. All pieces are tabulated at the same time
 maps are followed piece by piece, and all pieces are scanned at the same time from the
 prices found; no job runs while the plan is built, and no key is counted.
 
-With the week-old price a key that fits one task is scanned in order. A larger key goes
-through rounds: every round scans all days of some weeks at the same time, each from the
-last accepted price before it and with week-old prices taken from the round before. A
-round in which nothing changes is the sequential answer: the first day is right after
-one round, and every further round makes at least one more day right. Scans from
-different prices meet when both accept the same row, but the accepted rows of a whole
-week enter the next one, so these maps cannot be tabulated.
+With the week-old price a key that fits one task is scanned in order, the keys of a task
+one behind the other. A larger key goes week by week: the week-old prices of all rows of
+a calendar week are accepted rows of the weeks before it, so they are known when the week
+begins. Rows they refuse are out; the others are a replay against the last price alone,
+whose days are tabulated, followed and scanned at the same time. Each week takes the same
+few passes, whatever the prices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..joins import join_same
 from ..session import broadcast_if_small, cut_lineage, new_folder
@@ -36,23 +37,37 @@ def too_far(new: float, ref: float | None, limit: float) -> bool:
     return ref is not None and ref == ref and ref != 0 and abs((new - ref) / ref) > limit
 
 
-def scan_week(times: np.ndarray, prices: np.ndarray, limit: float) -> np.ndarray:
-    """Flags of one whole series in order, last and week-old reference."""
-    kept_t: list[int] = []
-    kept_p: list[float] = []
-    week = -1
-    flags = np.zeros(len(prices), dtype=bool)
-    for i, (t, p) in enumerate(zip(times.tolist(), prices.tolist())):
-        while week + 1 < len(kept_t) and kept_t[week + 1] <= t - WEEK_US:
+class Series:
+    """One series after another, each row in its turn against the last accepted price and
+    the newest accepted one that is a week old. ``times`` and ``prices`` are the accepted
+    rows, ``week`` the place of the week-old one among them."""
+
+    def __init__(self, limit: float):
+        self.limit = limit
+        self.begin()
+
+    def begin(self) -> None:
+        self.times: list[int] = []
+        self.prices: list[float] = []
+        self.week = -1
+
+    def keep(self, t: int, p: float) -> None:
+        self.times.append(t)
+        self.prices.append(p)
+
+    def judge(self, t: int, p: float) -> bool:
+        times, prices, week = self.times, self.prices, self.week
+        while week + 1 < len(times) and times[week + 1] <= t - WEEK_US:
             week += 1
-        if p != p or (kept_p and too_far(p, kept_p[-1], limit)):
-            continue
-        if week >= 0 and too_far(p, kept_p[week], limit):
-            continue
-        flags[i] = True
-        kept_t.append(t)
-        kept_p.append(p)
-    return flags
+        self.week = week
+        if p != p or (prices and too_far(p, prices[-1], self.limit)) or (week >= 0 and too_far(p, prices[week], self.limit)):
+            return False
+        self.keep(t, p)
+        return True
+
+
+def micros(times: pd.Series) -> np.ndarray:
+    return times.to_numpy("datetime64[us]").astype("int64")
 
 
 class Passage:
@@ -146,7 +161,7 @@ def leaving(entering: float | None, firsts: list[float], exits: list[float], lim
     return entering
 
 
-def _begins(pdf: pd.DataFrame, columns: list[str], before: tuple | None) -> np.ndarray:
+def begin_flags(pdf: pd.DataFrame, columns: list[str], before: tuple | None) -> np.ndarray:
     """Where a row differs from the one above it in ``columns``; NULLs are equal."""
     new = np.zeros(len(pdf), dtype=bool)
     for c in columns:
@@ -162,7 +177,7 @@ def _pieces(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tupl
     before = None
     for pdf in frames:
         if len(pdf):
-            begins = _begins(pdf, columns, before)
+            begins = begin_flags(pdf, columns, before)
             before = tuple(pdf[c].iloc[-1] for c in columns)
             yield pdf, begins
 
@@ -178,90 +193,61 @@ def _with_flag(df: DataFrame) -> T.StructType:
 
 
 def _whole(df: DataFrame, keys: list[str], time: str, tie: str, limit: float) -> DataFrame:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([time, tie])
-        times = pdf[time].to_numpy("datetime64[us]").astype("int64")
-        return pdf.assign(accepted=scan_week(times, pdf["price"].to_numpy("float64"), limit))
+    """Many keys to a task, which streams over their rows; columns pass through as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        series, before = Series(limit), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.select(keys).to_pandas()
+            begins = begin_flags(names, keys, before)
+            before = tuple(names[c].iloc[-1] for c in keys)
+            times = micros(batch.column(time).to_pandas()).tolist()
+            prices = batch.column("price").to_pandas().to_numpy("float64").tolist()
+            flags = []
+            for new, t, p in zip(begins.tolist(), times, prices):
+                if new:
+                    series.begin()
+                flags.append(series.judge(t, p))
+            kept = batch.drop_columns([c for c in ("accepted",) if c in batch.schema.names])
+            yield kept.append_column("accepted", pa.array(flags, pa.bool_()))
 
-    return df.groupBy(*keys).applyInPandas(run, _with_flag(df))
+    ordered = df.repartition(*keys).sortWithinPartitions(*keys, time, F.asc_nulls_last(tie))
+    return ordered.mapInArrow(run, _with_flag(df))
 
 
 def _large(
     df: DataFrame, keys: list[str], time: str, tie: str, limit: float
 ) -> DataFrame:
-    """Week by week, or several weeks at once while they settle quickly."""
-    spark, columns = df.sparkSession, df.columns
-    # Pieces are days, so week-old prices always come from earlier ones.
+    """Week by week, the days of a week at the same time."""
+    spark, columns = df.sparkSession, [c for c in df.columns if c != "accepted"]
     slab = F.expr(f"cast(floor(timestampdiff(DAY, {EPOCH}, {time}) / 7.0) as int)")
-    cut = df.withColumns({"_day": F.date_trunc("DAY", time), "_slab": slab})
+    cut = df.select(*columns).withColumns({"_day": F.date_trunc("DAY", time), "_slab": slab})
     folder = new_folder(spark, "weeks")
     cut.hint("rebalance", "_slab").write.partitionBy("_slab").parquet(folder)
     cut = spark.read.schema(cut.schema).parquet(folder)
     # One number per calendar week.
     weeks = [r[0] for r in cut.select("_slab").distinct().orderBy("_slab").collect()]
     tail = spark.createDataFrame([], cut.select(*keys, "_slab", time, tie, "price").schema)
+    order = F.struct(time, tie)
     done: list[DataFrame] = []
-    at, width = 0, 1
-    while at < len(weeks):
-        first, last = weeks[at], weeks[min(at + width, len(weeks)) - 1]
-        part = cut.filter(F.col("_slab").between(first, last))
-        settled, rounds = _settle(part, tail, keys, time, tie, limit)
+    for week in weeks:
+        part = asof(cut.filter(F.col("_slab") == week), tail, keys, "price", "_week", "7 days", time, tie)
+        price, ref = F.col("price").cast("double"), F.col("_week").cast("double")
+        move = F.abs((price - ref) / F.nullif(ref, F.lit(0.0)))
+        refused = F.coalesce((move > limit) & ~F.isnan(move), F.lit(False))
+        part = cut_lineage(part.withColumn("_judged", F.when(~refused, price)).drop("_week").withColumnRenamed("_day", "_unit"))
+        before = tail.groupBy(*keys).agg(F.max_by("price", order).alias("_end"))
+        settled = cut_lineage(_against_last(part, keys, time, tie, limit, "_judged", before).drop("_judged"))
         done.append(settled.select(*columns, "accepted"))
-        at += width
-        width = width * 2 if rounds <= 3 else max(1, width // 2)
-        # The next weeks look back into the last one and to one older row per key.
+        # The next week looks back into this one and to one older row per key.
         seen = tail.unionByName(settled.filter("accepted").select(*tail.columns))
-        older = seen.filter(F.col("_slab") < last)
-        row = F.max_by(F.struct("_slab", time, tie, "price"), F.struct(time, tie)).alias("_r")
+        older = seen.filter(F.col("_slab") < week)
+        row = F.max_by(F.struct("_slab", time, tie, "price"), order).alias("_r")
         older = older.groupBy(*keys).agg(row).select(*keys, "_r.*")
-        tail = cut_lineage(seen.filter(F.col("_slab") >= last).unionByName(older))
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def _settle(
-    part: DataFrame, tail: DataFrame, keys: list[str], time: str, tie: str, limit: float
-) -> tuple[DataFrame, int]:
-    """Rounds over all pieces of ``part`` until none changes; ``tail`` holds the
-    accepted rows before it."""
-    piece = [*keys, "_day"]
-    order = F.struct(time, tie)
-    before = W.partitionBy(*keys).orderBy(F.asc_nulls_first("_day")).rowsBetween(W.unboundedPreceding, -1)
-    unit = part.schema["_day"].dataType
-    origin = tail.groupBy(*keys).agg(F.max_by("price", order).alias("_end")).select(
-        *keys, F.lit(None).cast(unit).alias("_day"), "_end"
-    )
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = None
-        for pdf, begins in _pieces(frames, piece):
-            flags = np.zeros(len(pdf), dtype=bool)
-            columns = (pdf[c].to_numpy("float64").tolist() for c in ("price", "_week", "_last"))
-            for i, (new, p, week, start) in enumerate(zip(begins.tolist(), *columns)):
-                if new:
-                    last = start
-                if p == p and not too_far(p, last, limit) and not too_far(p, week, limit):
-                    flags[i] = True
-                    last = p
-            yield pdf.assign(_old=pdf["accepted"], accepted=flags)
-
-    now = part.withColumn("accepted", F.col("price").isNotNull())
-    columns = now.columns
-    rounds = 0
-    while True:
-        rounds += 1
-        good = tail.unionByName(now.filter("accepted").select(*tail.columns))
-        ends = now.groupBy(*piece).agg(F.max_by("price", F.when(F.col("accepted"), order)).alias("_end"))
-        starts = ends.unionByName(origin).withColumn("_last", F.last("_end", ignorenulls=True).over(before))
-        asked = asof(now, good, keys, "price", "_week", "7 days", time, tie)
-        ready = join_same(asked, broadcast_if_small(starts.drop("_end")), piece, "left")
-        shape = T.StructType([*_with_flag(ready).fields, T.StructField("_old", T.BooleanType())])
-        after = cut_lineage(_in_order(ready, piece, [time, tie]).mapInPandas(run, shape))
-        now = after.select(*columns)
-        if after.filter("accepted <> _old").isEmpty():
-            return now, rounds
+        tail = cut_lineage(seen.filter(F.col("_slab") >= week).unionByName(older))
+    return reduce(DataFrame.unionByName, done)
 
 
 def replay(
@@ -302,14 +288,27 @@ def replay_last_only(
     follows the maps reads one row for each piece of a key, bounded by the calendar."""
     df, untimed = _timed(df, time)
     rows = df.withColumn("_unit", F.date_trunc(piece, time))
+    return _against_last(rows, keys, time, tie, limit).unionByName(untimed)
+
+
+def _against_last(
+    rows: DataFrame, keys: list[str], time: str, tie: str, limit: float, judged: str = "price", before: DataFrame | None = None
+) -> DataFrame:
+    """Flags against the last accepted price, in pieces ``_unit`` of a key, which is dropped.
+    Rows without a ``judged`` price are refused. ``before`` holds the price ``_end`` that
+    enters the first piece of a key."""
     by = [*keys, "_unit"]
-    passages = _in_order(rows.select(*by, time, tie, F.col("price").cast("double").alias("price")), by, [time, tie])
+    passages = _in_order(rows.select(*by, time, tie, F.col(judged).cast("double").alias("price")), by, [time, tie])
     table = "_firsts array<double>, _exits array<double>"
     maps = passages.select(*by, "price").mapInPandas(_tabulate(by, limit), _shape(rows, by, table))
+    if before is not None:
+        # A piece in front of all others, which the same price always leaves.
+        end, unit = F.array(F.col("_end").cast("double")), F.lit(None).cast(rows.schema["_unit"].dataType)
+        maps = maps.unionByName(before.select(*keys, unit.alias("_unit"), end.alias("_firsts"), end.alias("_exits")))
     entries = _in_order(maps, keys, ["_unit"]).mapInPandas(_follow(keys, limit), _shape(rows, by, "_last double"))
     both = rows.withColumn("_side", F.lit(1)).unionByName(entries.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     ready = _in_order(both, by, ["_side", time, tie])
-    return ready.mapInPandas(_scan(by, limit), _with_flag(df)).unionByName(untimed)
+    return ready.mapInPandas(_scan(by, limit, judged), _with_flag(rows.drop("_unit")))
 
 
 def _shape(df: DataFrame, columns: list[str], more: str) -> T.StructType:
@@ -354,7 +353,7 @@ def _follow(keys: list[str], limit: float):
     return run
 
 
-def _scan(by: list[str], limit: float):
+def _scan(by: list[str], limit: float, judged: str):
     """Flags of the rows of each piece, which the entering price stands in front of."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -362,7 +361,7 @@ def _scan(by: list[str], limit: float):
         for pdf, _ in _pieces(frames, by):
             flags = np.zeros(len(pdf), dtype=bool)
             sides = pdf["_side"].to_numpy()
-            columns = (pdf[c].to_numpy("float64").tolist() for c in ("price", "_last"))
+            columns = (pdf[c].to_numpy("float64").tolist() for c in (judged, "_last"))
             for i, (side, p, start) in enumerate(zip(sides.tolist(), *columns)):
                 if side == 0:
                     last = start

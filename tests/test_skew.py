@@ -256,3 +256,27 @@ def test_replay_with_missing_keys_and_times(spark, run, sizes):
     answers = [{r["seq"]: r["accepted"] for r in run(df, ["k"], **size).collect()} for size in sizes]
     assert answers[0] == answers[1] and len(answers[0]) == len(rows)
     assert not any(answers[0][r[0]] for r in rows if r[2] is None)
+
+
+def test_replay_streams_over_many_keys(spark):
+    """Keys of a task follow each other, and other columns pass through as they are."""
+    start = datetime(2024, 1, 1)
+    rows = [(2**60 + 2 * i + 1 if i % 5 else None, f"s{i % 300}", 1.0 + i * 7 % 13 / 4, start + timedelta(hours=i)) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "seq long, source string, price double, scraped_at timestamp_ntz")
+    out = replay.replay(df, ["source"])
+    assert "FlatMapGroups" not in out._jdf.queryExecution().toString()
+    got = {(r["seq"], r["scraped_at"]): r["accepted"] for r in out.collect()}
+    want = replay_python([(i, source, price, time) for i, (_, source, price, time) in enumerate(rows)])
+    assert got == {(seq, time): want[i] for i, (seq, _, _, time) in enumerate(rows)}
+
+
+def test_weeks_of_a_large_key_take_the_same_passes(spark, monkeypatch):
+    """Three tables are written for each week, whatever the prices."""
+    start = datetime(2024, 1, 1)
+    rows = [(i, "s", 1.0 + i * 37 % 101 / 9, start + timedelta(hours=i)) for i in range(21 * 24)]
+    df = spark.createDataFrame(rows, "seq long, source string, price double, scraped_at timestamp_ntz")
+    written, cut = [], replay.cut_lineage
+    monkeypatch.setattr(replay, "cut_lineage", lambda frame: written.append(1) or cut(frame))
+    got = replay.replay(df, ["source"], rows_per_segment=100)
+    assert {r["seq"]: r["accepted"] for r in got.collect()} == replay_python(rows)
+    assert len(written) == 9
