@@ -7,15 +7,17 @@ and counted in the progress of the query. The batch form has no such rule.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.clock import to_new_york
 from ..operators.lookup import insert_if_absent
-from ..operators.replay import WEEK_US, too_far
+from ..operators.replay import Series, begin_flags, micros
 from ..schema import KEY
 from ..session import cut_lineage
 from . import generations
@@ -68,102 +70,120 @@ def run_ingest(
 
 # Held rows are looked at when the watermark passes the end of such a span.
 RELEASE_US = 86_400 * 1_000_000
+# Groups of keys of the screen, and rows of a group that wait in one piece of its state.
+BUCKETS = 256
+WAITING_ROWS = 100_000
 
 
 class Screen(StatefulProcessor):
     """Rows wait until the watermark has passed them and are then judged in order of time
-    and tie, whatever the order of arrival. Kept: the last accepted price, the newest
-    accepted price at least a week old, the accepted prices in between, and the waiting
-    rows. The old price has no expiry: it stays a reference until a newer one is a week
-    old. Rows behind the watermark come out as late, not judged."""
+    and tie, whatever the order of arrival. A group is a bucket of keys, so that state is
+    read and written for many series at once, as frames: the waiting rows of a batch, and
+    the accepted ones that are still references (the newest at least a week old of each
+    key and all after it). The old price has no expiry: it stays a reference until a newer
+    one is a week old. Rows behind the watermark come out as late, not judged."""
 
-    def __init__(self, row: T.StructType, time: str, tie: str, limit: float):
-        self.row, self.time, self.tie, self.limit = row, time, tie, limit
+    def __init__(self, row: T.StructType, keys: list[str], time: str, tie: str, limit: float):
+        self.row, self.keys, self.time, self.tie, self.limit = row, keys, time, tie, limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        number = T.StructType([T.StructField("t", T.LongType()), T.StructField("p", T.DoubleType())])
+        frame = T.StructType([T.StructField("frame", T.BinaryType())])
         self.handle = handle
-        self.week = handle.getValueState("week", number)
-        self.recent = handle.getListState("recent", number)
-        self.waiting = handle.getListState("waiting", self.row)
+        self.references = handle.getValueState("references", frame)
+        self.waiting = handle.getListState("waiting", frame)
         self.earliest = handle.getValueState("earliest", T.StructType([T.StructField("t", T.LongType())]))
 
-    def _micros(self, frame: pd.DataFrame):
-        return frame[self.time].to_numpy("datetime64[us]").astype("int64")
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting, n = [], 0
         for pdf in rows:
             pdf = pdf[self.row.names]
-            times = self._micros(pdf)
-            late = times < passed
+            late = micros(pdf[self.time]) < passed
             if late.any():
                 yield pdf[late].assign(accepted=None, late=True)
-            if late.all():
-                continue
-            times, held = times[~late], pdf[~late]
-            self.waiting.appendList([tuple(None if v is pd.NaT or v != v else v for v in r) for r in held.astype(object).itertuples(index=False)])
-            least = int(times.min())
-            if not self.earliest.exists() or least < int(self.earliest.get()[0]):
-                self.earliest.update((least,))
-            for span in sorted(set((times // RELEASE_US).tolist())):
-                self.handle.registerTimer((span + 1) * RELEASE_US // 1000)
+            if not late.all():
+                waiting.append(pdf[~late])
+                n += len(waiting[-1])
+            if n >= WAITING_ROWS:
+                self._wait(waiting)
+                waiting, n = [], 0
+        if waiting:
+            self._wait(waiting)
+
+    def _wait(self, frames: list[pd.DataFrame]) -> None:
+        held = pd.concat(frames, ignore_index=True)
+        times = micros(held[self.time])
+        self.waiting.appendList([(pickle.dumps(held),)])
+        least = int(times.min())
+        if not self.earliest.exists() or least < int(self.earliest.get()[0]):
+            self.earliest.update((least,))
+        for span in np.unique(times // RELEASE_US).tolist():
+            self.handle.registerTimer((span + 1) * RELEASE_US // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         if not self.earliest.exists() or int(self.earliest.get()[0]) >= passed:
             return
-        held = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=self.row.names)
-        times = self._micros(held)
+        held = pd.concat([pickle.loads(r[0]) for r in self.waiting.get()], ignore_index=True)
+        times = micros(held[self.time])
         due = times < passed
         if due.all():
             self.waiting.clear()
             self.earliest.clear()
         else:
-            self.waiting.put([tuple(r) for r in held[~due].astype(object).itertuples(index=False)])
+            self.waiting.put([(pickle.dumps(held[~due]),)])
             self.earliest.update((int(times[~due].min()),))
-        yield self._judged(held[due].sort_values([self.time, self.tie], ignore_index=True))
-
-    def _judged(self, pdf: pd.DataFrame) -> pd.DataFrame:
-        kept = [(int(t), float(p)) for t, p in self.recent.get()] if self.recent.exists() else []
-        old = self.week.get() if self.week.exists() else None
-        old = (int(old[0]), float(old[1])) if old is not None else None
-        head = 0
-        flags = []
-        for t, p in zip(self._micros(pdf).tolist(), pd.to_numeric(pdf["price"]).to_numpy("float64").tolist()):
-            while head < len(kept) and kept[head][0] <= t - WEEK_US:
-                old = kept[head]
-                head += 1
-            last = kept[-1][1] if len(kept) > head else (old[1] if old else None)
-            fine = p == p and not too_far(p, last, self.limit)
-            fine = fine and not (old is not None and too_far(p, old[1], self.limit))
-            flags.append(fine)
-            if fine:
-                kept.append((t, p))
-        if head < len(kept):
-            self.recent.put(kept[head:])
-        elif self.recent.exists():
-            self.recent.clear()
-        if old is not None:
-            self.week.update(old)
-        return pdf.assign(accepted=flags, late=False)
+        yield self._judged(held[due].reset_index(drop=True))
+
+    def _judged(self, due: pd.DataFrame) -> pd.DataFrame:
+        """References stand in front of the due rows of their key."""
+        needed = due[[*self.keys, self.time, self.tie]].assign(_price=pd.to_numeric(due["price"]).astype("float64"), _due=True)
+        if self.references.exists():
+            needed = pd.concat([needed, pickle.loads(self.references.get()[0])])
+        needed = needed.sort_values([*self.keys, "_due", self.time, self.tie])
+        flags = np.zeros(len(due), dtype=bool)
+        series, accepted, kept = Series(self.limit), [], []
+        columns = (needed.index.tolist(), needed["_due"].tolist(), micros(needed[self.time]).tolist(), needed["_price"].tolist())
+        for place, (new, row, is_due, t, p) in enumerate(zip(begin_flags(needed, self.keys, None).tolist(), *columns)):
+            if new:
+                kept += accepted[max(series.week, 0) :]
+                accepted = []
+                series.begin()
+            if is_due:
+                flags[row] = fine = series.judge(t, p)
+                if not fine:
+                    continue
+            else:
+                series.keep(t, p)
+            accepted.append(place)
+        kept += accepted[max(series.week, 0) :]
+        self.references.update((pickle.dumps(needed.iloc[kept].assign(_due=False)),))
+        return due.assign(accepted=flags, late=False)
 
     def close(self) -> None:
         pass
 
 
 def screen_stream(
-    stream: DataFrame, keys: list[str], time: str = "scraped_at", tie: str = "seq", limit: float = 0.50, delay: str = "7 days"
+    stream: DataFrame,
+    keys: list[str],
+    time: str = "scraped_at",
+    tie: str = "seq",
+    limit: float = 0.50,
+    delay: str = "7 days",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """``accepted`` and ``late`` for every row: judged in order of time once the watermark,
     ``delay`` behind the newest row, has passed it; rows that come after that are late.
-    Rows without a time cannot be ordered and are left out."""
+    Rows without a time cannot be ordered and are left out. Keys share ``buckets`` groups,
+    a number that a checkpoint keeps; a group must fit one task."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     shape = T.StructType([*stream.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("late", T.BooleanType())])
     # The clock is dropped again: a column with a watermark would have late rows removed.
     clocked = stream.where(F.col(time).isNotNull()).withColumn("_clock", F.col(time).cast("timestamp")).withWatermark("_clock", delay)
-    return clocked.select(*stream.columns).groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=Screen(stream.schema, time, tie, limit), outputStructType=shape, outputMode="Append", timeMode="EventTime"
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_bucket")
+    return clocked.select(*stream.columns, bucket).groupBy("_bucket").transformWithStateInPandas(
+        statefulProcessor=Screen(stream.schema, keys, time, tie, limit), outputStructType=shape, outputMode="Append", timeMode="EventTime"
     )
 
 

@@ -177,3 +177,19 @@ def test_ingest_reads_only_the_days_of_the_batch(spark, tmp_path):
     jobs.run_ingest(more, str(tmp_path / "run"), ["source", "scraped_at"])
     new = spark.read.parquet(f"{tmp_path}/run/out/part=2024-11-18")
     assert [r["seq"] for r in new.collect()] == [6]
+
+
+def test_screen_of_many_keys_in_few_groups(spark, tmp_path):
+    """Keys share groups of state and are judged apart; a missing key is one of its own."""
+    schema = "seq long, region string, source string, price double, scraped_at timestamp_ntz"
+    start = datetime(2024, 5, 1)
+    keys = [(r, s) for r in ["a", "b", None] for s in ["x", "y", None]]
+    for k in range(3):
+        rows = [(i * 90 + j * 10 + d + k * 3, *key, 1.0 + (i * 7 + j * 5 + d * 3) % 11 / 5, start + timedelta(days=d + k * 3)) for i in [0] for j, key in enumerate(keys) for d in range(3)]
+        one = spark.createDataFrame(rows, schema)
+        one.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = jobs.read_stream(spark, f"{tmp_path}/in", one.schema, "*.parquet", 1)
+    out = jobs.run_screen(stream, str(tmp_path / "run"), ["region", "source"], delay="4 days", buckets=2)
+    got = {r["seq"]: r["accepted"] for r in out.collect()}
+    batch = {r["seq"]: r["accepted"] for r in replay(spark.read.parquet(f"{tmp_path}/in"), ["region", "source"]).collect()}
+    assert len(batch) == 81 and got == batch and len(set(got.values())) == 2
