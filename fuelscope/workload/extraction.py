@@ -20,8 +20,11 @@ K = "CAST(regexp_extract(props, '[0-9]+') AS DOUBLE)"
 
 
 def events(spark, d):
+    """Pages are many times as large as the events they are written from, whose files make
+    few tasks; the events are spread before that."""
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
-    return table(spark, d, "events").withColumn("k", k).withColumn("v", F.format_string("%.2f", "value"))
+    spread = table(spark, d, "events").repartition(4 * spark.sparkContext.defaultParallelism, "event_id")
+    return spread.withColumn("k", k).withColumn("v", F.format_string("%.2f", "value"))
 
 
 def tr(*cells, actual: int | None = None):

@@ -146,3 +146,21 @@ def test_assembled_records(spark):
     assert (good.first()["label_ts"], good.first()["surprise"]) == ("2025-08-13", -2.1)
     good, _ = extract.release_observations(pages(spark, table(*RELEASES)), RUNS, today, at, False)
     assert "consensus" not in good.columns
+
+
+def test_pages_are_written_and_read_in_many_tasks(spark, sf_dir):
+    """One small file of events makes pages for all cores."""
+    from fuelscope.workload import extraction
+
+    events = extraction.events(spark, sf_dir)
+    assert events.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    filled = events.groupBy(F.spark_partition_id()).count().count()
+    assert filled == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_whole_cells_are_read_as_their_parts():
+    """A cell of mere text, in one step, equals the same cell with a comment in it."""
+    page = "<table><tbody><tr><td>open<td id=\"actual\"> 7 &amp; > 8 </td><th>h<td></td></tr><tr><TD class=\"a\" id=\"b\">x\n y</TD></tr></tbody></table>"
+    assert html.table_rows(page) == html.table_rows(page.replace("</td>", "<!-- --></td>").replace("</TD>", "<!-- --></TD>"))
+    assert [r["cells"] for r in html.table_rows(page)] == [["open", "7 & > 8", ""], ["x y"]]
+    assert [r["ids"] for r in html.table_rows(page)] == [["", "actual", ""], ["b"]]
