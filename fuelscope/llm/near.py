@@ -55,6 +55,10 @@ NUMERATOR, DENOMINATOR = 80, 100
 # Sets and features of a block that is compared whole, and blocks of a remainder at most.
 BLOCK_SETS, BLOCK_FEATURES = 512, 1 << 20
 BLOCKS = 64
+# Characters of texts, or bytes of features, that a task works on at a time, about, and
+# cells of the table in which it counts what two blocks share.
+AT_ONCE = 1 << 20
+CELLS = 1 << 22
 # Windows from this size on use parts of several features.
 COARSE_FROM = 150
 # Documents looked at for frequent features and signatures, and how many are taken at
@@ -180,7 +184,7 @@ def vertices(docs: DataFrame) -> DataFrame:
         features, begins = shingles(frame["text"])
         return pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "h": frame["h"], "n_shingles": np.diff(begins), "v": fingerprints(features, begins)})
 
-    out = _texts(docs).withColumn("h", F.xxhash64("text")).mapInPandas(by_bytes(measured), "doc_id long, h long, n_shingles long, v long")
+    out = _texts(docs).withColumn("h", F.xxhash64("text")).mapInPandas(by_bytes(measured, AT_ONCE), "doc_id long, h long, n_shingles long, v long")
     return out.withColumn("v", F.when(F.col("n_shingles") > 0, F.col("v")))
 
 
@@ -200,7 +204,7 @@ def frequent_features(some: DataFrame, most: int = FREQUENT) -> np.ndarray:
         f, n = np.unique(features, return_counts=True)
         return pd.DataFrame({"f": f.view(np.int64), "n": n})
 
-    counted = some.mapInPandas(by_bytes(exploded), "f long, n long")
+    counted = some.mapInPandas(by_bytes(exploded, AT_ONCE), "f long, n long")
     top = counted.groupBy("f").agg(F.sum("n").alias("n")).where("n > 2").orderBy(F.desc("n"), "f").limit(most)
     return np.sort(top.toPandas()["f"].to_numpy(np.int64).view(np.uint64))
 
@@ -225,7 +229,7 @@ def _signer(frequent, hot=None):
             there = known[np.minimum(place, len(known) - 1)] == sig if len(known) else np.zeros(len(sig), bool)
             return pd.DataFrame({"sig": sig, "v": v[of], "hot": np.where(there, place, -1).astype(np.int32)})
 
-        yield from by_bytes(some)(frames)
+        yield from by_bytes(some, AT_ONCE)(frames)
 
     return sign
 
@@ -286,7 +290,7 @@ def feature_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = _texts(docs).withColumnRenamed("doc_id", "other")
     joined = texts.join(broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("other"))).select("v", "text")
-    sets = cut_lineage(joined.mapInPandas(by_bytes(found), "v long, features binary, sketch binary"))
+    sets = cut_lineage(joined.mapInPandas(by_bytes(found, AT_ONCE), "v long, features binary, sketch binary"))
     # Only repeated rows give a vertex twice; without them no set travels again.
     twice = sets.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
     return cut_lineage(sets.dropDuplicates(["v"])) if twice else sets
@@ -420,7 +424,7 @@ def links_between(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray
     keep = ((ours > 0) & (theirs > 0))[column]
     column, owner = np.unique(column[keep], return_inverse=True)[1], owner[keep]
     shared = np.zeros((len(a), len(both) - (0 if b is None else len(a))), np.float32)
-    step = max((1 << 24) // max(len(both), 1), 1)
+    step = max(CELLS // max(len(both), 1), 1)
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         lo, hi = np.searchsorted(column, [at, at + step])
         grid = np.zeros((len(both), min(step, int(column[-1]) + 1 - at)), np.float32)
@@ -514,7 +518,7 @@ def _signed_again(rows: DataFrame, sets: DataFrame, frequent, seed: int) -> Data
         sig, of = signatures(np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), frequent.value, seed)
         return pd.DataFrame({"other": frame["v"].to_numpy()[of], "new": sig.view(np.int64)})
 
-    signs = sets.join(rows.select("v").distinct(), "v", "left_semi").select("v", "features").mapInPandas(by_bytes(again, column="features"), "other long, new long")
+    signs = sets.join(rows.select("v").distinct(), "v", "left_semi").select("v", "features").mapInPandas(by_bytes(again, AT_ONCE, "features"), "other long, new long")
     return rows.join(signs, F.col("v") == F.col("other")).select(F.xxhash64("sig", "new").alias("sig"), "v")
 
 

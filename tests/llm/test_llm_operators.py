@@ -5,17 +5,21 @@ import itertools
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fuelscope.llm.tokenize import Encoder
 from fuelscope.llm import common, language, lines, mix, near, packing, quality, queries, substrings, tokenfile, topk, toxicity
+from fuelscope.session import BATCH_BYTES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, mix string, h int, v int"
@@ -341,6 +345,35 @@ def test_rows_without_an_id_are_spread(spark):
     assert table.select(h).distinct().count() == 400
 
 
+def test_long_texts_come_in_bounded_batches(spark):
+    def held(frames):
+        for frame in frames:
+            yield pd.DataFrame({"n": [frame["text"].str.len().sum()]})
+
+    long = spark.range(0, 1_500, 1, 1).select(F.repeat(F.lit("word "), 2_000).alias("text"))
+    sizes = [r["n"] for r in long.mapInPandas(held, "n long").collect()]
+    assert sum(sizes) == 1_500 * 10_000 and max(sizes) <= BATCH_BYTES + 10_000, sizes
+
+
+def test_signing_and_block_comparison_hold_little():
+    rng = np.random.default_rng(8)
+    vocabulary = np.array([f"w{i}" for i in range(5_000)])
+    frame = pd.DataFrame({"text": [" ".join(rng.choice(vocabulary, 400)) for _ in range(3_000)]})
+    sets = [np.unique(rng.integers(0, 1 << 18, 1_000).astype(np.uint64)) for _ in range(1_000)]
+    sign = near._signer(SimpleNamespace(value=np.zeros(0, np.uint64)))
+
+    def most(work):
+        tracemalloc.start()
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak / 1e6
+
+    assert sum(len(x["v"].unique()) for x in sign(iter([frame]))) == 3_000
+    assert most(lambda: [len(x) for x in sign(iter([frame]))]) < 60
+    assert most(lambda: near.links_between(sets[:500], sets[500:])) < 110
+
+
 def test_links_between_blocks_equal_all_pairs():
     rng = np.random.default_rng(11)
     base = rng.integers(0, 2**63, 60).astype(np.uint64)
