@@ -300,7 +300,7 @@ def _sketch(features: np.ndarray) -> bytes:
     """Features counted by hash in about a fourth as many cells (a power of two), at
     most 255 each. The cells of two sets differ in sum by no more than the sets do."""
     x = mix64(features)
-    cells = max(32, 1 << (len(x).bit_length() - 2))
+    cells = max(32, 1 << len(x).bit_length() >> 2)
     count = np.bincount((x >> np.uint64(65 - cells.bit_length())).astype(np.int64), minlength=cells)
     return len(x).to_bytes(8, "little") + np.minimum(count, 255).astype(np.uint8).tobytes()
 

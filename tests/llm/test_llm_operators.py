@@ -308,6 +308,18 @@ def test_near_duplicates(spark, docs, rows, empty, monkeypatch, sets, blocks, ho
     assert near.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_one_shingle_beside_longer_ones(spark):
+    # One shingle, and two of which one is the same: they share a signature and do not link.
+    rows = []
+    for i in range(40):
+        w = prose(100 + i, 9, 10**6).split()
+        rows += [(8 * i + n, " ".join(w[:n]), None, None, None, None, None, None, None) for n in (4, 5, 6, 7, 9)]
+        rows += [(8 * i + 3, " ".join(w[1:6]), None, None, None, None, None, None, None)]
+    got = near.near_duplicates(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == _components(rows)
+    assert {r["n_shingles"] for r in got} == {1, 2, 3, 5}
+
+
 def test_packing_beside_columns_of_the_same_names(spark):
     names = ["_at", "_bin", "_fill", "_gap", "_part", "Offset", "sequence_id"]
     rows = [(i, 1 + i * 37 % 4096, *range(7)) for i in range(300)]
