@@ -25,13 +25,18 @@ in common are compared with one of them, the leader. Those linked with it are it
 A vertex outside differs from a ball member at least by its difference from the leader
 less the member's, so most are clear of the whole ball at once. What may still be linked,
 those outside with each other and the unclear ones with the ball, is compared in blocks
-(``BLOCK_SETS``): a task gets two blocks, counts all shared features at once and returns
-only links that join what was not joined, so no group's pairs are ever rows. Signatures
-of one leader are handled together. Is the remainder of more than ``BLOCKS`` blocks, it gets
+(``BLOCK_SETS``), first by sketches: a set that differs too much from all across, or is
+joined with them, goes out of its two blocks before any features travel. For the others
+a task gets the two blocks, counts all shared features at once and returns only links
+that join what was not joined, so no group's pairs are ever rows. Signatures of one
+leader are handled together. Is the remainder of more than ``BLOCKS`` blocks, it gets
 a new leader if the ball took a good part, or signs anew under another seed, keeping only
 who shares the old and a new signature; that repeats until it is smaller. Either way
 every pair with a common signature is compared or excluded by its bound.
 
+Sketches are kept for all sets that meet another one, features only read for those that
+sketches leave: chance meetings, whose share grows with the table, carry no features.
+
 Signatures travel once. Those that a sample shows to be frequent have a leader named
 beforehand and are dealt by vertex, so no task holds a large group of them.
 
@@ -177,14 +182,15 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def vertices(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, n_shingles, v): the text's hash and the set's fingerprint, null for an
-    empty set."""
+    """(doc_id, h, n_shingles, v, sketch): the text's hash, the set's fingerprint and
+    its sketch, null for an empty set."""
 
     def measured(frame: pd.DataFrame) -> pd.DataFrame:
         features, begins = shingles(frame["text"])
-        return pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "h": frame["h"], "n_shingles": np.diff(begins), "v": fingerprints(features, begins)})
+        sketch = [_sketch(features[a:b]) if b > a else None for a, b in zip(begins[:-1], begins[1:])]
+        return pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "h": frame["h"], "n_shingles": np.diff(begins), "v": fingerprints(features, begins), "sketch": sketch})
 
-    out = _texts(docs).withColumn("h", F.xxhash64("text")).mapInPandas(by_bytes(measured, AT_ONCE), "doc_id long, h long, n_shingles long, v long")
+    out = _texts(docs).withColumn("h", F.xxhash64("text")).mapInPandas(by_bytes(measured, AT_ONCE), "doc_id long, h long, n_shingles long, v long, sketch binary")
     return out.withColumn("v", F.when(F.col("n_shingles") > 0, F.col("v")))
 
 
@@ -278,22 +284,31 @@ def led_rows(docs: DataFrame, frequent, hot) -> DataFrame:
     return dealt.mapInPandas(follow, "sig long, v long, leader long")
 
 
-def feature_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(v, features, sketch) of the vertices ``wanted`` (v, doc_id: one document each)."""
+def sketches(own: DataFrame, members: DataFrame) -> DataFrame:
+    """(v, doc_id, h, sketch) of ``members`` (v, distinct), with one document each."""
+    rows = own.join(members, "v", "left_semi")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h", "sketch"))
+    return cut_lineage(rows.groupBy("v").agg(first.alias("first")).select("v", "first.doc_id", "first.h", "first.sketch"))
+
+
+def feature_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(v, features) of the vertices ``wanted`` (v, distinct), of which ``sets`` names a
+    document each."""
 
     def found(frame: pd.DataFrame) -> pd.DataFrame:
         features, begins = shingles(frame["text"])
-        # A repeated doc_id may bring other texts along; only those of the vertex stay.
+        # Texts of one hash may differ; only those of the vertex stay.
         own = np.flatnonzero(fingerprints(features, begins) == frame["v"].to_numpy(np.int64))
-        sets = [features[begins[i] : begins[i + 1]] for i in own]
-        return pd.DataFrame({"v": frame["v"].to_numpy()[own], "features": [x.tobytes() for x in sets], "sketch": [_sketch(x) for x in sets]})
+        return pd.DataFrame({"v": frame["v"].to_numpy()[own], "features": [features[begins[i] : begins[i + 1]].tobytes() for i in own]})
 
-    texts = _texts(docs).withColumnRenamed("doc_id", "other")
-    joined = texts.join(broadcast_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("other"))).select("v", "text")
-    sets = cut_lineage(joined.mapInPandas(by_bytes(found, AT_ONCE), "v long, features binary, sketch binary"))
+    texts = _texts(docs).select(F.col("doc_id").alias("other"), F.xxhash64("text").alias("other_h"), "text")
+    named = broadcast_if_small(sets.join(wanted, "v").select("v", "doc_id", "h"))
+    # By hash too: rows without an id would all meet each other.
+    joined = texts.join(named, (F.col("h") == F.col("other_h")) & F.col("doc_id").eqNullSafe(F.col("other"))).select("v", "text")
+    out = cut_lineage(joined.mapInPandas(by_bytes(found, AT_ONCE), "v long, features binary"))
     # Only repeated rows give a vertex twice; without them no set travels again.
-    twice = sets.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    return cut_lineage(sets.dropDuplicates(["v"])) if twice else sets
+    twice = out.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    return cut_lineage(out.dropDuplicates(["v"])) if twice else out
 
 
 def _sketch(features: np.ndarray) -> bytes:
@@ -334,13 +349,14 @@ def _allowed(na, nb):
     return F.floor((DENOMINATOR - NUMERATOR) * (na + nb) / (DENOMINATOR + NUMERATOR))
 
 
-def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def measured(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, na, nb, delta, linked) of pairs (a, b). ``delta`` is how much they differ;
     where sizes and cell counts already forbid a link, a lower bound of it."""
     rough = pairs.join(sets.select(F.col("v").alias("a"), F.col("sketch").alias("sa")), "a").join(sets.select(F.col("v").alias("b"), F.col("sketch").alias("sb")), "b")
     rough = cut_lineage(rough.select("a", "b", _at_least("sa", "sb").alias("m")).select("a", "b", "m.*"))
-    close = rough.where(F.col("delta") <= _allowed(F.col("na"), F.col("nb")))
-    exact = close.select("a", "b").join(sets.select(F.col("v").alias("a"), F.col("features").alias("fa")), "a").join(sets.select(F.col("v").alias("b"), F.col("features").alias("fb")), "b")
+    close = rough.where(F.col("delta") <= _allowed(F.col("na"), F.col("nb"))).select("a", "b")
+    held = feature_sets(docs, sets, close.select(F.col("a").alias("v")).union(close.select("b")).distinct())
+    exact = close.join(held.select(F.col("v").alias("a"), F.col("features").alias("fa")), "a").join(held.select(F.col("v").alias("b"), F.col("features").alias("fb")), "b")
     exact = exact.select(F.col("a").alias("ea"), F.col("b").alias("eb"), _difference("fa", "fb").alias("exact"))
     out = rough.join(exact, (F.col("a") == F.col("ea")) & (F.col("b") == F.col("eb")), "left")
     linked = F.col("exact").isNotNull() & (F.col("exact") <= _allowed(F.col("na"), F.col("nb")))
@@ -380,22 +396,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id; h and component_h
     are the hashes of the row's text and of the component's first text."""
     spark = docs.sparkSession
-    own = cut_lineage(vertices(docs))
-    ids = own.where("v is not null").groupBy("v").agg(F.min("doc_id").alias("doc_id"))
+    every = cut_lineage(vertices(docs))
+    own = every.drop("sketch")
 
     some = cut_lineage(_sample(docs, SAMPLE_ROWS))
     frequent = spark.sparkContext.broadcast(frequent_features(some))
     hot = spark.sparkContext.broadcast(hot_signatures(some, frequent, HOT))
     led = cut_lineage(led_rows(docs, frequent, hot))
     members = led.select("v").union(led.select("leader")).distinct()
-    sets = feature_sets(docs, members.join(ids, "v"))
+    sets = sketches(every, members)
     edges, seed = None, 0
     while True:
-        found = measured(led.select(F.col("leader").alias("a"), F.col("v").alias("b")).distinct(), sets)
+        found = measured(led.select(F.col("leader").alias("a"), F.col("v").alias("b")).distinct(), sets, docs)
         new = found.where("linked").select("a", "b")
         edges = new if edges is None else edges.union(new)
         roots = components(spark, edges)
-        more, led = _next_round(led, found, roots, sets, frequent, seed + 1)
+        more, led = _next_round(led, found, roots, sets, docs, frequent, seed + 1)
         seed += 1
         edges = edges.union(more)
         if not led.limit(1).count():
@@ -434,6 +450,75 @@ def links_between(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray
     return DENOMINATOR * shared >= NUMERATOR * union
 
 
+def _folded(sketches: list[bytes], cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches of one length summed to ``cells`` cells, and which of these hold one at 255."""
+    x = np.frombuffer(b"".join(s[8:] for s in sketches), np.uint8).reshape(len(sketches), cells, -1)
+    return x.sum(axis=2, dtype=np.int32), (x == 255).any(axis=2)
+
+
+def may_link(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Which sets of ``a`` (rows) may link with which of ``b``, by sizes and sketches: all
+    that do, and some that do not."""
+    size, length = ([np.array([f(x) for x in side], np.int64) for side in (a, b)] for f in (lambda x: int.from_bytes(x[:8], "little"), lambda x: len(x) - 8))
+    allowed = (DENOMINATOR - NUMERATOR) * (size[0][:, None] + size[1][None, :]) // (DENOMINATOR + NUMERATOR)
+    out = np.abs(size[0][:, None] - size[1][None, :]) <= allowed
+    for p in np.unique(length[0]):
+        for q in np.unique(length[1]):
+            one, two, cells = np.flatnonzero(length[0] == p), np.flatnonzero(length[1] == q), int(min(p, q))
+            if not out[np.ix_(one, two)].any():
+                continue
+            (x, over_x), (y, over_y) = _folded([a[i] for i in one], cells), _folded([b[i] for i in two], cells)
+            capped = over_x.any() or over_y.any()
+            step = max(CELLS // (len(two) * cells), 1)
+            for at in range(0, len(one), step):
+                apart = np.abs(x[at : at + step, None, :] - y[None, :, :])
+                # A cell at 255 may hold more and then tells nothing.
+                if capped:
+                    apart[over_x[at : at + step, None, :] | over_y[None, :, :]] = 0
+                here = np.ix_(one[at : at + step], two)
+                out[here] &= apart.sum(axis=2) <= allowed[here]
+    return out
+
+
+_BLOCK = ["leader", "ball", "i", "j"]
+
+
+def _possible(frames):
+    """For ``mapInPandas`` over rows in order of ``_BLOCK``: those that may link with a
+    set across and are not joined with it, without their sketches."""
+
+    def kept(frame: pd.DataFrame, begins: np.ndarray) -> pd.DataFrame:
+        ball, i, j, side, root = (frame[c].to_numpy() for c in ("ball", "i", "j", "side", "root"))
+        sketch, keep = frame["sketch"].tolist(), np.zeros(len(frame), bool)
+        for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(frame)]):
+            one, two = a + np.flatnonzero(side[a:b] == 0), a + np.flatnonzero(side[a:b] == 1)
+            if i[a] == j[a] and not ball[a]:
+                two = one
+            if not len(one) or not len(two):
+                continue
+            may = root[one][:, None] != root[two][None, :]
+            if may.any():
+                may &= may_link([sketch[k] for k in one], [sketch[k] for k in two])
+                keep[one[may.any(axis=1)]] = True
+                keep[two[may.any(axis=0)]] = True
+        return frame.loc[keep].drop(columns="sketch")
+
+    rest = None
+    for frame in frames:
+        frame = frame.reset_index(drop=True) if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        new = np.ones(len(frame), bool)
+        new[1:] = np.any([frame[c].to_numpy()[1:] != frame[c].to_numpy()[:-1] for c in _BLOCK], axis=0)
+        begins = np.flatnonzero(new)
+        # The last one may go on in the next batch.
+        rest = frame.iloc[begins[-1] :]
+        if len(begins) > 1:
+            yield kept(frame.iloc[: begins[-1]], begins[:-1])
+    if rest is not None and len(rest):
+        yield kept(rest, np.zeros(1, np.int64))
+
+
 def _compared(frame: pd.DataFrame) -> pd.DataFrame:
     """Links between the sides of two blocks: enough of them to join all that are linked
     and were not joined yet."""
@@ -462,7 +547,7 @@ def _compared(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]) if out else none
 
 
-def _next_round(led: DataFrame, found: DataFrame, roots: DataFrame, sets: DataFrame, frequent, seed: int) -> tuple[DataFrame, DataFrame]:
+def _next_round(led: DataFrame, found: DataFrame, roots: DataFrame, sets: DataFrame, docs: DataFrame, frequent, seed: int) -> tuple[DataFrame, DataFrame]:
     """New links, and the (sig, v, leader) that go on."""
     root = lambda v: roots.select(F.col("v").alias(v), F.col("root").alias(f"root_{v}"))
     facts = found.select(F.col("a").alias("leader"), F.col("b").alias("v"), "nb", "delta", "linked")
@@ -488,7 +573,7 @@ def _next_round(led: DataFrame, found: DataFrame, roots: DataFrame, sets: DataFr
     among = rows.where(~F.col("linked") & (F.col("lo") != F.col("hi")) & (F.col("rest_blocks") <= BLOCKS))
     place = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["leader", "ball", "i", "j", "side", "v", "root"]
+    columns = [*_BLOCK, "side", "v", "root"]
     mine = among.select("leader", F.lit(False).alias("ball"), place("rest_blocks").alias("own"), every("rest_blocks").alias("k"), "v", F.col("root_v").alias("root"))
     mine = mine.withColumn("i", F.least("own", "k")).withColumn("j", F.greatest("own", "k")).withColumn("side", (F.col("own") > F.col("k")).cast("int")).select(*columns)
     # Only balls that something outside may touch.
@@ -496,9 +581,12 @@ def _next_round(led: DataFrame, found: DataFrame, roots: DataFrame, sets: DataFr
     ball = rows.where("linked").join(touched, F.col("leader") == F.col("of"), "left_semi")
     near = rows.where("unclear").select("leader", F.lit(True).alias("ball"), place("rest_blocks").alias("i"), every("ball_blocks").alias("j"), F.lit(0).alias("side"), "v", F.col("root_v").alias("root"))
     near = near.union(ball.select("leader", F.lit(True).alias("ball"), every("rest_blocks").alias("i"), place("ball_blocks").alias("j"), F.lit(1).alias("side"), "v", F.col("root_v").alias("root")))
-    held = sets.select(F.col("v").alias("of"), "features")
-    pairs = mine.union(near.select(*columns)).join(held, F.col("v") == F.col("of")).drop("of")
-    links = cut_lineage(pairs.groupBy("leader", "ball", "i", "j").applyInPandas(_compared, "a long, b long"))
+    sides = mine.union(near.select(*columns)).join(sets.select(F.col("v").alias("of"), "sketch"), F.col("v") == F.col("of")).drop("of")
+    dealt = sides.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+    pairs = cut_lineage(dealt.mapInPandas(_possible, "leader long, ball boolean, i int, j int, side int, v long, root long"))
+    held = feature_sets(docs, sets, pairs.select("v").distinct()).withColumnRenamed("v", "of")
+    pairs = pairs.join(held, F.col("v") == F.col("of")).drop("of")
+    links = cut_lineage(pairs.groupBy(*_BLOCK).applyInPandas(_compared, "a long, b long"))
     # Remainders of too many blocks get another leader, or other signatures.
     large = rows.where(many & ~F.col("linked")).select(F.col("leader").alias("of"), F.col("v").alias("out"), "ball", "rest")
     large = led.join(large, (F.col("leader") == F.col("of")) & (F.col("v") == F.col("out"))).select("sig", "v", "ball", "rest")
@@ -506,11 +594,11 @@ def _next_round(led: DataFrame, found: DataFrame, roots: DataFrame, sets: DataFr
     if not large.limit(1).count():
         return links, large.select("sig", "v", F.col("v").alias("leader"))
     again = large.where(F.col("ball") * 8 >= F.col("rest")).select("sig", "v")
-    signed_again = _signed_again(large.where(F.col("ball") * 8 < F.col("rest")).select("sig", "v"), sets, frequent, seed)
+    signed_again = _signed_again(large.where(F.col("ball") * 8 < F.col("rest")).select("sig", "v"), sets, docs, frequent, seed)
     return links, cut_lineage(_to_leader(again.union(signed_again)))
 
 
-def _signed_again(rows: DataFrame, sets: DataFrame, frequent, seed: int) -> DataFrame:
+def _signed_again(rows: DataFrame, sets: DataFrame, docs: DataFrame, frequent, seed: int) -> DataFrame:
     """(sig, v) of groups too large to pair, refined by signatures under another seed."""
 
     def again(frame: pd.DataFrame) -> pd.DataFrame:
@@ -518,7 +606,7 @@ def _signed_again(rows: DataFrame, sets: DataFrame, frequent, seed: int) -> Data
         sig, of = signatures(np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), frequent.value, seed)
         return pd.DataFrame({"other": frame["v"].to_numpy()[of], "new": sig.view(np.int64)})
 
-    signs = sets.join(rows.select("v").distinct(), "v", "left_semi").select("v", "features").mapInPandas(by_bytes(again, AT_ONCE, "features"), "other long, new long")
+    signs = feature_sets(docs, sets, rows.select("v").distinct()).mapInPandas(by_bytes(again, AT_ONCE, "features"), "other long, new long")
     return rows.join(signs, F.col("v") == F.col("other")).select(F.xxhash64("sig", "new").alias("sig"), "v")
 
 

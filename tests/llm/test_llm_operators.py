@@ -397,6 +397,59 @@ def test_links_between_blocks_equal_all_pairs():
     assert near.links_between(sets[:9], sets[9:]).tolist() == [[similar(x, y) for y in sets[9:]] for x in sets[:9]]
 
 
+def test_sketches_exclude_no_link():
+    rng = np.random.default_rng(21)
+    sets = []
+    for size in (1, 2, 5, 40, 120, 127, 128, 300, 2000):
+        base = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for keep in (1.0, 0.95, 0.9, 0.8, 0.5):
+            drop = rng.permutation(base)[: max(int(len(base) * keep), 1)]
+            sets.append(np.unique(np.concatenate([drop, rng.integers(0, 2**63, size // 20).astype(np.uint64)])))
+    sketches = [near._sketch(x) for x in sets]
+    # Full cells tell nothing.
+    sketches[-1] = sketches[-1][:8] + b"\xff" * (len(sketches[-1]) - 8)
+    linked, may = near.links_between(sets, None), near.may_link(sketches, sketches)
+    off = ~np.eye(len(sets), dtype=bool)
+    assert linked[off].sum() > 40 and may[linked & off].all() and may[:-1, :-1].sum() < 0.2 * may.size
+
+
+def test_groups_go_on_in_the_next_batch():
+    rng = np.random.default_rng(22)
+    base = rng.integers(0, 2**63, 90).astype(np.uint64)
+    rows = []
+    for leader, ball, j, count in ((1, False, 0, 6), (1, False, 1, 5), (1, True, 0, 4), (2, False, 0, 1), (3, False, 0, 7)):
+        for n in range(count):
+            x = np.unique(np.concatenate([base[n % 3 :], rng.integers(0, 2**63, 3).astype(np.uint64)]) if n % 4 else rng.integers(0, 2**63, 90).astype(np.uint64))
+            rows.append((leader, ball, 0, j, n % 2 if ball or j else 0, len(rows), n // 5 if leader == 3 else len(rows), near._sketch(x), x.tobytes()))
+    frame = pd.DataFrame(rows, columns=[*near._BLOCK, "side", "v", "root", "sketch", "features"])
+    near_by = {}
+    for key, g in frame.groupby(near._BLOCK):
+        pairs = [(p, q) for p in g.itertuples() for q in g.itertuples() if p.root != q.root and (p.side == 0 and q.side == 1 or key[2] == key[3] and not key[1])]
+        near_by[key] = {x.v for p, q in pairs if near.may_link([p.sketch], [q.sketch])[0, 0] for x in (p, q)}
+    want = set().union(*near_by.values())
+    assert 3 < len(want) < len(frame)
+    for size in (1, 4, 100):
+        got = pd.concat(near._possible(frame.drop(columns="features").iloc[k : k + size] for k in range(0, len(frame), size)))
+        assert set(got["v"]) == want and len(got) == len(want) and "sketch" not in got
+
+
+def test_chance_meetings_carry_no_features(spark, monkeypatch):
+    # Two by two they share a passage, which gives them signatures in common but no link.
+    texts = []
+    for i in range(30):
+        passage = prose(900 + i, 110, 10**6)
+        texts += [f"{passage} {prose(1000 + 2 * i, 150, 10**6)}", f"{prose(1001 + 2 * i, 150, 10**6)} {passage}"]
+    texts.append(texts[0].replace(texts[0].split()[200], "changed"))
+    rows = [(None if k % 3 else k, x, None, None, None, None, None, None, None) for k, x in enumerate(texts)]
+    met, read, led_rows, feature_sets = [], [], near.led_rows, near.feature_sets
+    monkeypatch.setattr(near, "led_rows", lambda *a: met.append(led_rows(*a)) or met[-1])
+    monkeypatch.setattr(near, "feature_sets", lambda *a: read.append(feature_sets(*a)) or read[-1])
+    got = near.near_duplicates(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == _components(rows)
+    assert met[0].select("v").distinct().count() > 10
+    assert sum(x.count() for x in read) == 2
+
+
 def test_leaders_without_a_sort_of_the_group(spark):
     rows = [(1, v) for v in (5, 3, 9, 3, 5)] + [(2, 7), (2, 7), (3, -1), (3, 4)]
     led = near._to_leader(spark.createDataFrame(rows, "sig long, v long"))
